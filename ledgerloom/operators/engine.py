@@ -129,27 +129,26 @@ def run_levels(
         raise ValueError("no definition has a usable execution level")
 
     outside = durable(_outside_values(inputs, base, scope, input_order))
+    result_columns = _result_columns(adjustments is not None)
     done: list[DataFrame] = []
     for level in levels:
         rows = definitions.filter(F.col("execution_level") == level).join(scopes.select(*scope), site)
-        wanted = refs.filter(F.col("execution_level") == level).select(*site, "_ref", "_key")
-        values = outside
+        wanted = refs.filter(F.col("execution_level") == level).select(*site, "_ref", "_defined", "_key")
+        # a KPI of the master takes its value from the formulas only, anything else from outside only
+        values = outside.withColumn("_defined", F.lit(False))
         for earlier in done:
-            values = values.unionByName(
-                earlier.filter("_last").select(*scope, F.col("_key").alias("_ref"), F.col("value").alias("_value"))
-            )
+            computed = earlier.filter("_last").select(*scope, F.col("_key").alias("_ref"), F.col("value").alias("_value"))
+            values = values.unionByName(computed.withColumn("_defined", F.lit(True)))
         operands = (
-            values.join(wanted, [*site, "_ref"])
+            values.join(wanted, [*site, "_ref", "_defined"])
             .groupBy(*scope, "_key")
             .agg(F.map_from_entries(F.collect_set(F.struct("_ref", "_value"))).alias("_operands"))
         )
         bound = rows.join(operands, [*scope, "_key"], "left")
-        if adjustments is None:
-            bound = bound.withColumn("_adj", F.lit(None).cast("double"))
-        else:
+        if adjustments is not None:
             added = adjustments.select(*scope, "matrix_id", F.col("adjustment").cast("double").alias("_adj"))
             bound = bound.join(added, [*scope, "matrix_id"], "left")
-        done.append(durable(_evaluated(bound)))
+        done.append(durable(bound.withColumns(result_columns).drop("_adj", "_operands", "_code", "_outside")))
 
     results = reduce(DataFrame.unionByName, done)
     missing = _missing_log(definitions, scopes, outside, site, scope)
@@ -173,9 +172,10 @@ def _static_part(master: DataFrame, site: list[str], order: str | None) -> tuple
         .join(newest.select(*site, F.col("_key").alias("_ref"), "_ref_level"), [*site, "_ref"], "left")
     )
     undefined = F.col("_ref_level").isNull()
-    refs = durable(used.filter(undefined | (F.col("_ref_level") < F.col("execution_level"))))
+    used = used.filter(undefined | (F.col("_ref_level") < F.col("execution_level")))
+    refs = durable(used.withColumn("_defined", ~undefined).drop("_ref_level"))
     strange = (
-        refs.filter(undefined & F.col("_ref").startswith("K")).groupBy(*keys).agg(F.collect_set("_ref").alias("_outside"))
+        refs.filter(~F.col("_defined") & F.col("_ref").startswith("K")).groupBy(*keys).agg(F.collect_set("_ref").alias("_outside"))
     )
     definitions = (
         named.join(newest.select(*keys, "_top"), keys)
@@ -219,23 +219,21 @@ def _operand_text(ref: Column) -> Column:
     return F.when(bound, float_text(F.try_element_at(F.col("_operands"), key))).otherwise(unbound)
 
 
-def _evaluated(bound: DataFrame) -> DataFrame:
+def _result_columns(adjusted: bool) -> dict[str, Column]:
+    """``value`` and ``resolved_formula`` of a bound row. Built once per run: the trees are large."""
     has_text = F.coalesce(F.trim("python_formula") != "", F.lit(False))
     computed = F.when(has_text, fx.evaluate(F.col("_code"), _operand)).otherwise(F.lit(0.0))
-    resolved = F.when(has_text, fx.substituted(F.col("python_formula"), _operand_text)).otherwise("")
+    text = F.when(has_text, fx.substituted(F.col("python_formula"), _operand_text)).otherwise("")
+    if not adjusted:
+        return {"value": computed, "resolved_formula": text}
     mark = F.concat(signed_fixed("_adj"), F.lit(" [ADJ]"))
-    return (
-        bound.withColumn("_plain", computed)
-        .withColumn("_text", resolved)
-        .withColumn("value", F.col("_plain") + F.coalesce("_adj", F.lit(0.0)))
-        .withColumn(
-            "resolved_formula",
-            F.when(F.col("_adj").isNull(), F.col("_text"))
-            .when(F.col("_text") == "", mark)
-            .otherwise(F.concat(F.lit("("), F.col("_text"), F.lit(") "), mark)),
-        )
-        .drop("_plain", "_text", "_adj", "_operands", "_code", "_outside")
+    marked = F.transform(
+        F.array(text),
+        lambda shown: F.when(F.col("_adj").isNull(), shown)
+        .when(shown == "", mark)
+        .otherwise(F.concat(F.lit("("), shown, F.lit(") "), mark)),
     )
+    return {"value": computed + F.coalesce("_adj", F.lit(0.0)), "resolved_formula": F.get(marked, F.lit(0))}
 
 
 def _missing_log(definitions: DataFrame, scopes: DataFrame, outside: DataFrame, site: list[str], scope: list[str]) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,10 +20,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="checkpoints-")
     sc.setCheckpointDir(shared)
-    return shared
+    return sc.getCheckpointDir()
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Write the rows once to the checkpoint folder and go on from there."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write the rows once to a table in the checkpoint folder and go on from there.
+
+    Unlike ``DataFrame.checkpoint``, which computes its last stage once to run and once to store,
+    this computes it once; and the table is columnar, so later steps read only what they use."""
+    path = f"{checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4()}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1 +1,348 @@
-QUERIES = {}
+"""Queries over latest versions, variance and adjustment marts, and reporting views."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ledgerloom.functions import scalar as sc
+from ledgerloom.operators.latest import all_versions_pivot, latest_scenario_pivot, rows_at_max_version
+from ledgerloom.operators.numbering import assign_surrogate_keys, global_row_number
+from ledgerloom.plans import marts, views
+from ledgerloom.sources.snapshots import append_version
+from workload.fixtures import AS_OF, REPORTING_MONTH, Tables, as_date, typed, with_ctes
+
+MONTH = f"DATE '{REPORTING_MONTH}'"
+
+
+# --- latest versions ------------------------------------------------------------------------
+
+
+def latest_version_qualify(t: Tables) -> DataFrame:
+    return views.latest_engine_values(t.engine_history)
+
+
+LATEST_VERSION_QUALIFY = typed(
+    with_ctes(
+        ["engine_history"],
+        """SELECT kpi_engine_key, matrix_id, date_key, fiscal_year, fiscal_month, kpi_id, kpi_dim_id, version_id, value AS kpi_value
+           FROM engine_history WHERE fiscal_year = (SELECT MAX(fiscal_year) FROM engine_history)
+           QUALIFY row_number() OVER (PARTITION BY kpi_engine_key, date_key ORDER BY version_id DESC) = 1""",
+    ),
+    double="kpi_value",
+    text="date_key",
+)
+
+
+def latest_version_semi(t: Tables) -> DataFrame:
+    return rows_at_max_version(t.engine_history.select("kpi_engine_key", "matrix_id", "date_key", "version_id", "value"))
+
+
+LATEST_VERSION_SEMI = typed(
+    with_ctes(
+        ["engine_history"],
+        """SELECT kpi_engine_key, matrix_id, date_key, version_id, value FROM engine_history
+           WHERE (date_key, version_id) IN (SELECT (date_key, MAX(version_id)) FROM engine_history GROUP BY date_key)""",
+    ),
+    double="value",
+    text="date_key",
+)
+
+
+def latest_pivot(t: Tables) -> DataFrame:
+    return latest_scenario_pivot(t.budget_forecast, ["kpi_id", "kpi_dim_id", "date_key"])
+
+
+_RANKED = """SELECT *, row_number() OVER (PARTITION BY kpi_id, kpi_dim_id, date_key, scenario ORDER BY version_id DESC) AS rn FROM budget_forecast"""
+_PIVOT = """SELECT kpi_id, kpi_dim_id, date_key, MAX(CASE WHEN scenario = 'Budgets' THEN value END) AS budget_value,
+    MAX(CASE WHEN scenario = 'Forecast' THEN value END) AS forecast_value FROM ranked WHERE rn = 1 GROUP BY ALL"""
+
+
+def allversions_pivot(t: Tables) -> DataFrame:
+    return all_versions_pivot(t.budget_forecast, ["kpi_id", "kpi_dim_id", "date_key", "kpi_unique_id"])
+
+
+_ALL_PIVOT = """SELECT kpi_id, kpi_dim_id, date_key, kpi_unique_id, MAX(version_id) AS latest_version_id,
+    MAX(CASE WHEN scenario = 'Budgets' THEN value END) AS budget_value, MAX(CASE WHEN scenario = 'Forecast' THEN value END) AS forecast_value
+    FROM budget_forecast GROUP BY kpi_id, kpi_dim_id, date_key, kpi_unique_id"""
+
+
+def history_append_version(t: Tables) -> DataFrame:
+    """A new run for every month, numbered after the month's versions; the old rows lack one column."""
+    old = t.engine_history.select("kpi_engine_key", "date_key", "value", "version_id")
+    new = t.engine_output.select("kpi_engine_key", "date_key", "value", "kpi_name")
+    return append_version(old, new)
+
+
+HISTORY_APPEND_VERSION = typed(
+    with_ctes(
+        ["engine_history", "engine_output"],
+        """SELECT kpi_engine_key, date_key, value, version_id, CAST(NULL AS VARCHAR) AS kpi_name FROM engine_history
+           UNION ALL SELECT kpi_engine_key, o.date_key, value, COALESCE(m.top, 0) + 1, kpi_name FROM engine_output o
+           LEFT JOIN (SELECT date_key, MAX(version_id) AS top FROM engine_history GROUP BY 1) m ON o.date_key = m.date_key""",
+    ),
+    double="value",
+    text="date_key",
+)
+
+# --- numbering ------------------------------------------------------------------------------
+
+
+def global_sequence(t: Tables) -> DataFrame:
+    return global_row_number(t.orders.select("o_orderpriority", "o_custkey", "o_orderkey"), ["o_orderpriority", "o_custkey", "o_orderkey"])
+
+
+GLOBAL_SEQUENCE = "SELECT o_orderpriority, o_custkey, o_orderkey, row_number() OVER (ORDER BY o_orderpriority, o_custkey, o_orderkey) AS seq FROM orders"
+
+
+def surrogate_keys(t: Tables) -> DataFrame:
+    target = t.supplier.select(F.col("s_suppkey").alias("party_key"))
+    return assign_surrogate_keys(t.customer.select("c_custkey", "c_name", F.lit(None).cast("bigint").alias("party_key")), target, "party_key", ["c_name", "c_custkey"])
+
+
+SURROGATE_KEYS = """SELECT c_custkey, c_name, (SELECT MAX(s_suppkey) FROM supplier) + row_number() OVER (ORDER BY c_name, c_custkey) AS party_key FROM customer"""
+
+# --- marts ----------------------------------------------------------------------------------
+
+
+def uom_lookup(t: Tables) -> DataFrame:
+    return marts.uom_lookup(t.engine_output, t.actuals_historic, t.budget_forecast)
+
+
+def _enriched(t: Tables) -> DataFrame:
+    return views.enriched_output(t.engine_output, t.locations)
+
+
+def value_adjustment_mart(t: Tables) -> DataFrame:
+    return marts.value_adjustment_mart(t.engine_output, t.naming, _enriched(t), uom_lookup(t))
+
+
+VALUE_ADJUSTMENT_MART = typed(
+    with_ctes(
+        ["enriched", "uoms", "naming"],
+        """SELECT e.kpi_engine_key, e.kpi_id AS kpi_reference, CAST(e.kpi_dim_id AS INTEGER) AS location_column_id, date_key AS month_date,
+             'ACTUAL' AS scenario, value AS original_value, CAST(NULL AS DOUBLE) AS adjusted_value, CAST(NULL AS VARCHAR) AS adjustment_reason,
+             CAST(NULL AS VARCHAR) AS adjusted_by, CAST(NULL AS VARCHAR) AS adjusted_at, 'DRAFT' AS status, CAST(NULL AS VARCHAR) AS approved_by,
+             CAST(NULL AS VARCHAR) AS approved_at, COALESCE(n.scr_category, category) AS kpi_category, subcategory AS kpi_subcategory,
+             kpi_name AS kpi_aggregation, dim_name AS location_name, CAST(year(date_key) AS INTEGER) AS year, CAST(month(date_key) AS INTEGER) AS month,
+             CAST(NULL AS INTEGER) AS priority,
+             CASE WHEN source = 'Calculated from other KPIs' THEN 'CALCULATED KPI' WHEN source IS NULL THEN 'N/A' ELSE 'BASE KPI' END AS source,
+             row_number() OVER (ORDER BY kpi_reference, location_column_id, month_date) AS adj_id,
+             'ADJ-' || CAST(year(date_key) AS VARCHAR) || '-' || CASE WHEN length(CAST(adj_id AS VARCHAR)) > 4 THEN CAST(adj_id AS VARCHAR)
+               ELSE lpad(CAST(adj_id AS VARCHAR), 4, '0') END AS adjustment_id,
+             site_code, u.uom AS unit_of_measure
+           FROM enriched e LEFT JOIN naming n ON e.matrix_id = n.matrix_id LEFT JOIN uoms u ON e.kpi_id = u.kpi_id""",
+    ),
+    double="original_value",
+    text="month_date",
+)
+
+
+def variance_current(t: Tables) -> DataFrame:
+    return marts.variance_current(t.engine_output, t.budget_forecast)
+
+
+def variance_history(t: Tables) -> DataFrame:
+    return marts.variance_history(_known_kpis(t), t.actuals_historic, t.budget_forecast, as_date(REPORTING_MONTH))
+
+
+def variance_history_concat(t: Tables) -> DataFrame:
+    return marts.variance_history_by_matrix(_known_kpis(t), t.actuals_historic, t.budget_forecast, as_date(REPORTING_MONTH))
+
+
+def _known_kpis(t: Tables) -> DataFrame:
+    """The current output of one month: one row per KPI and dim."""
+    return t.engine_output.filter(F.col("date_key") == as_date(REPORTING_MONTH))
+
+
+def _variance_sql(actual: str, unit: str, key: str, source: str, name: str = "{0}kpi_name", level: str = "{0}execution_level", p: str = "k.", month: str = "a.date_key") -> str:
+    return f"""{key} AS kpi_engine_key, a.kpi_id AS kpi_ref, {p}kpi_name AS kpi_aggregation, {p}category AS kpi_category, {p}subcategory AS kpi_subcategory,
+      {unit} AS unit_of_measure, {p}dim_name AS location_name, CAST(NULL AS VARCHAR) AS site_code, CAST(NULL AS VARCHAR) AS company_code,
+      a.date_key AS month_date, CAST(year(a.date_key) AS INTEGER) AS year, CAST(month(a.date_key) AS INTEGER) AS month,
+      CAST({p}execution_level AS BIGINT) AS computation_level, {actual} AS actual_value, budget_value, forecast_value,
+      {actual} - budget_value AS budget_variance,
+      CASE WHEN budget_value <> 0 THEN CAST(CAST({actual} - budget_value AS DECIMAL(18,2)) AS DOUBLE) / CAST(budget_value AS DOUBLE) * 100.0::DOUBLE END AS budget_variance_pct,
+      {actual} - forecast_value AS forecast_variance,
+      CASE WHEN forecast_value <> 0 THEN CAST(CAST({actual} - forecast_value AS DECIMAL(18,2)) AS DOUBLE) / CAST(forecast_value AS DOUBLE) * 100.0::DOUBLE END AS forecast_variance_pct,
+      CAST(NULL AS VARCHAR) AS variance_commentary, CAST(NULL AS INTEGER) AS var_id, CAST(NULL AS INTEGER) AS priority, {source} AS source"""
+
+
+_KIND = "CASE WHEN a.source = 'Calculated from other KPIs' THEN 'CALCULATED KPI' WHEN a.source IS NULL THEN 'N/A' ELSE 'BASE KPI' END"
+_DIGITS = "regexp_full_match(kpi_dim_id, '[0-9]+')"
+_VARIANCE = {
+    "ranked": _RANKED,
+    "pivoted": _PIVOT,
+    "v_current": "SELECT "
+    + _variance_sql("a.value", "CAST(NULL AS VARCHAR)", "a.kpi_engine_key", _KIND, p="a.")
+    + f""" FROM engine_output a LEFT JOIN (SELECT * FROM pivoted WHERE {_DIGITS}) b
+        ON a.kpi_id = b.kpi_id AND CAST(a.kpi_dim_id AS VARCHAR) = b.kpi_dim_id AND a.date_key = b.date_key""",
+    "known": f"SELECT * FROM engine_output WHERE date_key = {MONTH}",
+    "v_history": "SELECT "
+    + _variance_sql("a.value", "a.uom", "k.kpi_engine_key", "CAST(NULL AS VARCHAR)")
+    + f""" FROM actuals_historic a JOIN known k ON a.kpi_id = k.kpi_id AND TRY_CAST(a.kpi_dim_id AS BIGINT) = k.kpi_dim_id
+        LEFT JOIN (SELECT * FROM pivoted WHERE {_DIGITS} AND date_key <> {MONTH}) b
+        ON a.kpi_id = b.kpi_id AND TRY_CAST(a.kpi_dim_id AS BIGINT) = TRY_CAST(b.kpi_dim_id AS BIGINT) AND a.date_key = b.date_key""",
+    "all_pivoted": _ALL_PIVOT,
+    "v_matrix": "SELECT "
+    + _variance_sql("a.value", "a.uom", "COALESCE(a.kpi_unique_id, b.kpi_unique_id)", "CAST(NULL AS VARCHAR)")
+    + f""" FROM actuals_historic a JOIN known k ON a.kpi_id || '_' || a.kpi_dim_id = k.matrix_id
+        LEFT JOIN (SELECT * FROM all_pivoted WHERE {_DIGITS} AND date_key <> {MONTH}) b
+        ON a.kpi_id || '_' || a.kpi_dim_id = b.kpi_id || '_' || b.kpi_dim_id AND a.date_key = b.date_key
+        WHERE TRY_CAST(a.kpi_dim_id AS BIGINT) IS NOT NULL""",
+}
+_NUMBERS = "actual_value budget_value forecast_value budget_variance budget_variance_pct forecast_variance forecast_variance_pct"
+_FROM = ["engine_output", "actuals_historic", "budget_forecast"]
+
+
+def variance_final(t: Tables) -> DataFrame:
+    return marts.variance_final(variance_current(t), variance_history(t), _enriched(t), uom_lookup(t), t.teams, 1998)
+
+
+def variance_final_concat(t: Tables) -> DataFrame:
+    return marts.variance_final(variance_current(t), variance_history_concat(t), _enriched(t), uom_lookup(t), t.teams, 1998)
+
+
+def _final_sql(history: str) -> str:
+    body = f"""SELECT n.* EXCLUDE (var_id, source, rn, unit_of_measure, site_code, company_code), COALESCE(n.unit_of_measure, u.uom) AS unit_of_measure,
+          e.site_code, e.company_code, rn AS var_id,
+          'VAR-1998-' || CASE WHEN length(CAST(rn AS VARCHAR)) > 5 THEN CAST(rn AS VARCHAR) ELSE lpad(CAST(rn AS VARCHAR), 5, '0') END AS variance_id,
+          COALESCE(s.team_name, 'Unknown') AS site_leadership_team
+        FROM (SELECT *, row_number() OVER (ORDER BY kpi_ref NULLS FIRST, month_date NULLS FIRST, location_name NULLS FIRST, kpi_engine_key NULLS FIRST,
+                actual_value NULLS FIRST, budget_value NULLS FIRST, forecast_value NULLS FIRST, source NULLS FIRST) AS rn
+              FROM (SELECT * FROM v_current UNION ALL SELECT * FROM {history})) n
+        LEFT JOIN enriched e ON n.kpi_engine_key = e.kpi_engine_key LEFT JOIN uoms u ON n.kpi_ref = u.kpi_id
+        LEFT JOIN teams s ON e.matrix_id = s.kpi_matrix_id"""
+    return typed(with_ctes(["enriched", "uoms", "teams"], body, _VARIANCE), double=_NUMBERS, text="month_date")
+
+
+def _variance_query(cte: str) -> str:
+    return typed(with_ctes(_FROM, f"SELECT * FROM {cte}", _VARIANCE), double=_NUMBERS, text="month_date")
+
+
+# --- views ----------------------------------------------------------------------------------
+
+
+def active_master(t: Tables) -> DataFrame:
+    master = t.customer.select("c_custkey", "c_name", F.when(F.col("c_acctbal") > 0, 1).otherwise(0).alias("active_ind"))
+    return views.active_master(master)
+
+
+ACTIVE_MASTER = "SELECT c_custkey, c_name, 1 AS active_ind FROM customer WHERE c_acctbal > 0"
+
+
+def forecast_override(t: Tables) -> DataFrame:
+    return views.forecast_override(t.budget_forecast, views.engine_actuals(t.engine_history), as_date(AS_OF))
+
+
+_REPORT = {
+    "actuals": """SELECT kpi_engine_key AS kpi_unique_id, matrix_id AS kpi_matrix_id, date_key, fiscal_year, fiscal_month, 'Actual' AS scenario, kpi_id,
+        CAST(kpi_dim_id AS VARCHAR) AS kpi_dim_id, category, subcategory, kpi_name, dim_name, uom, value FROM engine_history
+        WHERE (date_key, version_id) IN (SELECT (date_key, MAX(version_id)) FROM engine_history GROUP BY date_key)""",
+    "plans": f"""SELECT b.kpi_unique_id, b.metric_id AS kpi_matrix_id, b.date_key, b.fiscal_year, b.fiscal_month,
+        CASE WHEN b.scenario = 'Budgets' THEN 'Budget' ELSE b.scenario END AS scenario, b.kpi_id, b.kpi_dim_id, b.category, b.subcategory, b.kpi_name,
+        b.dim_name, b.uom, CASE WHEN lower(b.scenario) = 'forecast' AND b.date_key <= date_trunc('month', DATE '{AS_OF}') THEN COALESCE(a.value, b.value)
+          ELSE b.value END AS value
+        FROM budget_forecast b LEFT JOIN actuals a ON b.kpi_unique_id = a.kpi_unique_id AND b.date_key = a.date_key
+        WHERE b.version_id = (SELECT MAX(version_id) FROM budget_forecast)""",
+    "report": """SELECT kpi_unique_id, metric_id AS kpi_matrix_id, date_key, fiscal_year, fiscal_month, 'Actual' AS scenario, kpi_id, kpi_dim_id, category,
+          subcategory, kpi_name, dim_name, uom, value FROM actuals_historic
+        UNION SELECT kpi_unique_id, kpi_matrix_id, date_key, fiscal_year, fiscal_month, scenario, kpi_id, kpi_dim_id, category, subcategory, kpi_name,
+          dim_name, uom, value FROM plans
+        UNION SELECT kpi_unique_id, kpi_matrix_id, date_key, fiscal_year, fiscal_month, scenario, kpi_id, kpi_dim_id, category, subcategory, kpi_name,
+          dim_name, uom, value FROM actuals""",
+}
+_RANK = "CASE WHEN l.loc_level IS NULL THEN NULL ELSE COALESCE(list_position(['location', 'company', 'site'], lower(l.loc_level)), 0) END"
+
+
+def report_rows(t: Tables) -> DataFrame:
+    return views.report_rows(t.engine_history, t.actuals_historic, t.budget_forecast, as_date(AS_OF))
+
+
+def report_snapshot(t: Tables) -> DataFrame:
+    return views.report_snapshot(
+        t.engine_history, t.actuals_historic, t.budget_forecast, t.locations, t.calendar, t.value_adjustments, t.variance_comments, as_date(AS_OF)
+    )
+
+
+REPORT_SNAPSHOT = typed(
+    with_ctes(
+        ["engine_history", "actuals_historic", "budget_forecast", "locations", "calendar", "value_adjustments", "variance_comments"],
+        f"""SELECT k.kpi_unique_id, k.kpi_id, k.kpi_name, k.category, k.subcategory, k.uom, k.scenario, k.date_key, k.value AS kpi_value,
+              a.original_value AS aaa_original_value, a.adjusted_value AS aaa_adjusted_value,
+              CASE WHEN COALESCE(a.adjusted_value, 0) = 0 THEN COALESCE(a.original_value, 0)
+                ELSE COALESCE(a.adjusted_value, 0) - COALESCE(a.original_value, 0) END AS aaa_adjustment_delta,
+              k.value AS current_amount, a.adjustment_reason, k.kpi_dim_id AS location_column_id, l.kpi_dim_name AS location_display_name,
+              l.loc_level AS location_level, l.company_code, l.company_name, l.site_code, l.site_name, l.loc_type AS location_type, l.loc_type AS mine_type,
+              l.company_split, d.fiscal_year, d.fiscal_month AS fiscal_period, d.fiscal_quarter, 'FY' || CAST(d.fiscal_year AS VARCHAR) AS fiscal_year_label,
+              d.month_name, v.variance_commentary, 'kpi_engine' AS data_source, k.kpi_matrix_id, k.kpi_dim_id,
+              CASE WHEN dense_rank() OVER (PARTITION BY k.kpi_id, k.date_key, k.scenario ORDER BY {_RANK} NULLS LAST) = 1 THEN 1 ELSE 0 END AS location_level_flag,
+              k.dim_name
+            FROM report k LEFT JOIN locations l ON k.kpi_dim_id = CAST(l.kpi_dim_id AS VARCHAR)
+            LEFT JOIN (SELECT DISTINCT * FROM calendar) d ON k.date_key = d.date
+            LEFT JOIN value_adjustments a ON k.kpi_unique_id = a.kpi_engine_key AND k.date_key = a.month_date AND upper(k.scenario) = a.scenario
+            LEFT JOIN variance_comments v ON k.kpi_unique_id = v.kpi_engine_key AND k.date_key = v.month_date AND k.scenario = 'Actual'""",
+        _REPORT,
+    ),
+    double="kpi_value current_amount aaa_original_value aaa_adjusted_value aaa_adjustment_delta",
+    text="date_key",
+)
+
+
+def location_level_flag(t: Tables) -> DataFrame:
+    placed = t.engine_output.join(t.locations.select("kpi_dim_id", "Level"), "kpi_dim_id", "left")
+    return views.level_flag(placed.select("kpi_id", "date_key", "kpi_dim_id", F.col("Level").alias("location_level")), ["kpi_id", "date_key"], "location_level")
+
+
+LOCATION_LEVEL_FLAG = typed(
+    with_ctes(
+        ["engine_output", "locations"],
+        f"""SELECT kpi_id, date_key, o.kpi_dim_id, l.loc_level AS location_level,
+            CASE WHEN dense_rank() OVER (PARTITION BY kpi_id, date_key ORDER BY {_RANK} NULLS LAST) = 1 THEN 1 ELSE 0 END AS location_level_flag
+            FROM engine_output o LEFT JOIN locations l ON o.kpi_dim_id = l.kpi_dim_id""",
+    ),
+    text="date_key",
+)
+
+
+def adjustment_delta(t: Tables) -> DataFrame:
+    return t.value_adjustments.select("kpi_engine_key", sc.adjustment_delta("original_value", "adjusted_value").alias("delta"))
+
+
+ADJUSTMENT_DELTA = typed(
+    with_ctes(
+        ["value_adjustments"],
+        """SELECT kpi_engine_key, CASE WHEN COALESCE(adjusted_value, 0) = 0 THEN COALESCE(original_value, 0) ELSE adjusted_value - COALESCE(original_value, 0) END AS delta
+           FROM value_adjustments""",
+    ),
+    double="delta",
+)
+
+
+def calendar_distinct(t: Tables) -> DataFrame:
+    return t.calendar.distinct()
+
+
+QUERIES = {
+    "latest_version_qualify": (latest_version_qualify, LATEST_VERSION_QUALIFY),
+    "latest_version_semi": (latest_version_semi, LATEST_VERSION_SEMI),
+    "latest_scenario_pivot": (latest_pivot, typed(with_ctes(["budget_forecast"], "SELECT * FROM pivoted", {"ranked": _RANKED, "pivoted": _PIVOT}), double="budget_value forecast_value", text="date_key")),
+    "allversions_pivot": (allversions_pivot, typed(with_ctes(["budget_forecast"], _ALL_PIVOT), double="budget_value forecast_value", text="date_key")),
+    "history_append_version": (history_append_version, HISTORY_APPEND_VERSION),
+    "global_sequence": (global_sequence, GLOBAL_SEQUENCE),
+    "surrogate_keys": (surrogate_keys, SURROGATE_KEYS),
+    "uom_lookup": (uom_lookup, with_ctes(["uoms"], "SELECT kpi_id, uom FROM uoms")),
+    "value_adjustment_mart": (value_adjustment_mart, VALUE_ADJUSTMENT_MART),
+    "variance_current": (variance_current, _variance_query("v_current")),
+    "variance_history": (variance_history, _variance_query("v_history")),
+    "variance_history_concat": (variance_history_concat, _variance_query("v_matrix")),
+    "variance_final": (variance_final, _final_sql("v_history")),
+    "variance_final_concat": (variance_final_concat, _final_sql("v_matrix")),
+    "enriched_output": (_enriched, typed(with_ctes(["enriched"], "SELECT * FROM enriched"), double="value", text="date_key")),
+    "active_master": (active_master, ACTIVE_MASTER),
+    "forecast_override": (forecast_override, typed(with_ctes(["engine_history", "budget_forecast"], "SELECT * FROM plans", {k: _REPORT[k] for k in ("actuals", "plans")}), double="value", text="date_key")),
+    "report_rows": (report_rows, typed(with_ctes(["engine_history", "actuals_historic", "budget_forecast"], "SELECT * FROM report", _REPORT), double="value", text="date_key")),
+    "report_snapshot": (report_snapshot, REPORT_SNAPSHOT),
+    "location_level_flag": (location_level_flag, LOCATION_LEVEL_FLAG),
+    "adjustment_delta": (adjustment_delta, ADJUSTMENT_DELTA),
+    "calendar_distinct": (calendar_distinct, typed(with_ctes(["calendar"], "SELECT DISTINCT * FROM calendar"), text="date")),
+}
