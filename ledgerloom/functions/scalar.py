@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -29,6 +29,11 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once; keeps large expressions from being repeated in the plan."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 # --- text and key normalisation ------------------------------------------------------------
 
 
@@ -221,37 +226,45 @@ def float_text(x: Column | str) -> Column:
     and from 1e16 on, with a two-digit exponent."""
     d = _col(x)
     raw = d.cast("string")
-    sign = F.when(raw.startswith("-"), "-").otherwise("")
+    plain = ~raw.contains("E")
     # the JVM may print up to 18 digits where fewer identify the number
     long_form = F.length(F.regexp_replace(raw, r"E.*|[-.]", "")) > 16
     tries = [F.format_string(f"%.{n}e", d) for n in (14, 15, 16)]
     short = F.coalesce(*[F.when(t.try_cast("double") == d, t) for t in tries], raw)
-    shown = F.when(long_form, short).otherwise(raw)
-    sci = r"^-?(\d)\.(\d+)[Ee]([+-]?\d+)$"
-    head = F.regexp_extract(shown, sci, 1)
-    tail = F.regexp_replace(F.regexp_extract(shown, sci, 2), r"0+$", "")
-    exp = F.regexp_extract(shown, sci, 3).try_cast("int")
-    digits = F.concat(head, tail)
-    whole = F.rpad(F.substring(digits, 1, 17), exp + 1, "0")
-    rest = F.substring(digits, exp + F.lit(2), F.lit(20))
-    fixed_big = F.concat(whole, F.lit("."), F.when(rest == "", "0").otherwise(rest))
-    exp_digits = F.abs(exp).cast("string")
-    mantissa = F.concat(head, F.when(tail == "", "").otherwise(F.concat(F.lit("."), tail)))
-    scientific = F.concat(
-        mantissa,
-        F.when(exp < 0, "e-").otherwise("e+"),
-        F.when(F.length(exp_digits) < 2, F.concat(F.lit("0"), exp_digits)).otherwise(exp_digits),
-    )
-    body = (
-        F.when(exp.between(7, 15), fixed_big)
-        .when(exp == -4, F.concat(F.lit("0.000"), digits))
-        .otherwise(scientific)
-    )
+
+    def parts(shown: Column) -> Column:
+        sci = r"^-?(\d)\.(\d+)[Ee]([+-]?\d+)$"
+        return F.struct(
+            F.regexp_extract(shown, sci, 1).alias("head"),
+            F.regexp_replace(F.regexp_extract(shown, sci, 2), r"0+$", "").alias("tail"),
+            F.regexp_extract(shown, sci, 3).try_cast("int").alias("exp"),
+        )
+
+    def rewritten(p: Column) -> Column:
+        head, tail, exp = p["head"], p["tail"], p["exp"]
+        digits = F.concat(head, tail)
+        rest = F.substring(digits, exp + F.lit(2), F.lit(20))
+        fixed = F.concat(
+            F.rpad(F.substring(digits, 1, 17), exp + 1, "0"), F.lit("."), F.when(rest == "", "0").otherwise(rest)
+        )
+        scientific = F.concat(
+            head,
+            F.when(tail == "", "").otherwise(F.concat(F.lit("."), tail)),
+            F.when(exp < 0, "e-").otherwise("e+"),
+            F.when(F.abs(exp) < 10, "0").otherwise(""),
+            F.abs(exp).cast("string"),
+        )
+        return (
+            F.when(exp.between(7, 15), fixed).when(exp == -4, F.concat(F.lit("0.000"), digits)).otherwise(scientific)
+        )
+
+    body = let(let(F.when(long_form, short).otherwise(raw), parts), rewritten)
+    sign = F.when(d < 0, "-").otherwise("")
     return (
         F.when(d.isNull() | F.isnan(d), "nan")
         .when(F.abs(d) == F.lit(float("inf")), F.concat(sign, F.lit("inf")))
-        .when(raw.contains("E"), F.concat(sign, body))
-        .otherwise(raw)
+        .when(plain, raw)
+        .otherwise(F.concat(sign, body))
     )
 
 
@@ -278,15 +291,21 @@ def signed_fixed(x: Column | str, digits: Column | int = 15) -> Column:
         return F.struct(total.alias("total"), lost.alias("lost"))
 
     start = F.struct(F.lit(0).cast("bigint").alias("total"), F.lit(False).alias("lost"))
-    end = F.aggregate(F.array(*[F.lit(i) for i in reversed(range(8))]), start, carry_up)
-    quotient = F.shiftright(end["total"], 13)
-    left_over = end["total"].bitwiseAND(F.lit(base - 1))
-    half = F.lit(base // 2)
-    up = (left_over > half) | ((left_over == half) & (end["lost"] | (quotient % 2 == 1)))
-    rounded = quotient + F.when(up, 1).otherwise(0)
-    carry = rounded >= unit
-    whole_text = (whole + F.when(carry, 1).otherwise(0)).cast("string")
-    frac_text = F.lpad(F.when(carry, F.lit(0)).otherwise(rounded).cast("string"), n, F.lit("0"))
-    sign = F.when(d.cast("string").startswith("-"), "-").otherwise("+")
-    exact = F.concat(sign, whole_text, F.lit("."), frac_text)
+    folded = F.aggregate(F.array(*[F.lit(i) for i in reversed(range(8))]), start, carry_up)
+
+    def rounded(end: Column) -> Column:
+        quotient = F.shiftright(end["total"], 13)
+        left_over = end["total"].bitwiseAND(F.lit(base - 1))
+        half = F.lit(base // 2)
+        up = (left_over > half) | ((left_over == half) & (end["lost"] | (quotient % 2 == 1)))
+        return quotient + F.when(up, 1).otherwise(0)
+
+    def text(fraction_units: Column) -> Column:
+        carry = fraction_units >= unit
+        whole_text = (whole + F.when(carry, 1).otherwise(0)).cast("string")
+        frac_text = F.lpad(F.when(carry, F.lit(0)).otherwise(fraction_units).cast("string"), n, F.lit("0"))
+        sign = F.when(d.cast("string").startswith("-"), "-").otherwise("+")
+        return F.concat(sign, whole_text, F.lit("."), frac_text)
+
+    exact = let(let(folded, rounded), text)
     return F.when(size < F.lit(float(2**62)), exact).otherwise(F.format_string("%+.15f", d))

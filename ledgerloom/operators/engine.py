@@ -7,7 +7,7 @@ any other. The largest thing one task builds for one row is the operand map of o
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -20,6 +20,7 @@ from ledgerloom.functions.scalar import (
     fiscal_year,
     float_text,
     key_text,
+    let,
     matrix_id,
     signed_fixed,
     sort_key,
@@ -203,20 +204,31 @@ def _outside_values(inputs: DataFrame, base: DataFrame | None, scope: list[str],
     return stacked.groupBy(*scope, "_ref").agg(F.max_by(F.struct("_value"), F.struct("_rank", "_value")).alias("_v")).select(*scope, "_ref", F.col("_v._value").alias("_value"))
 
 
+def _bound(ref: Column, known: Callable[[Column], Column], unknown: Callable[[Column], Column]) -> Column:
+    """Branch on whether a reference has a value; a bound value may itself be NULL."""
+
+    def by_key(key: Column) -> Column:
+        has = F.coalesce(F.map_contains_key("_operands", key), F.lit(False))
+        return F.when(has, known(F.try_element_at(F.col("_operands"), key))).otherwise(unknown(key))
+
+    return let(fx.ref_key(ref), by_key)
+
+
 def _operand(ref: Column) -> Column:
     """Bound value; a bound NULL or non-finite value is an error, an unbound reference is 0.0."""
-    key = fx.ref_key(ref)
-    value = F.try_element_at(F.col("_operands"), key)
-    bound = F.coalesce(F.array_contains(F.map_keys("_operands"), key), F.lit(False))
-    usable = value.isNotNull() & ~F.isnan(value) & (F.abs(value) != float("inf"))
-    return F.when(~bound, F.lit(0.0)).when(usable, value)
+
+    def usable(v: Column) -> Column:
+        return F.when(~F.isnan(v) & (F.abs(v) != float("inf")), v)
+
+    return _bound(ref, lambda v: let(v, usable), lambda _: F.lit(0.0))
 
 
 def _operand_text(ref: Column) -> Column:
-    key = fx.ref_key(ref)
-    bound = F.coalesce(F.array_contains(F.map_keys("_operands"), key), F.lit(False))
-    unbound = F.when(F.array_contains(F.col("_outside"), key), "0").otherwise("0.0")
-    return F.when(bound, float_text(F.try_element_at(F.col("_operands"), key))).otherwise(unbound)
+    return _bound(
+        ref,
+        lambda v: let(v, float_text),
+        lambda key: F.when(F.array_contains(F.col("_outside"), key), "0").otherwise("0.0"),
+    )
 
 
 def _result_columns(adjusted: bool) -> dict[str, Column]:
@@ -227,13 +239,13 @@ def _result_columns(adjusted: bool) -> dict[str, Column]:
     if not adjusted:
         return {"value": computed, "resolved_formula": text}
     mark = F.concat(signed_fixed("_adj"), F.lit(" [ADJ]"))
-    marked = F.transform(
-        F.array(text),
+    marked = let(
+        text,
         lambda shown: F.when(F.col("_adj").isNull(), shown)
         .when(shown == "", mark)
         .otherwise(F.concat(F.lit("("), shown, F.lit(") "), mark)),
     )
-    return {"value": computed + F.coalesce("_adj", F.lit(0.0)), "resolved_formula": F.get(marked, F.lit(0))}
+    return {"value": computed + F.coalesce("_adj", F.lit(0.0)), "resolved_formula": marked}
 
 
 def _missing_log(definitions: DataFrame, scopes: DataFrame, outside: DataFrame, site: list[str], scope: list[str]) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.scalar import signed_fixed
+from ledgerloom.functions.scalar import let, signed_fixed
 from ledgerloom.operators import formula_code
 from ledgerloom.operators.formula_code import ANY_REF, KPI_REF, OPS
 
@@ -137,11 +137,14 @@ def evaluate(code: Column, value_of_ref) -> Column:
                 "or": F.when(x != 0, x).when(x == 0, y),
             },
         )
+        rare = {n: fn for n, fn in both.items() if OPS[n] > OPS["error"]}
         rare_pair = F.when(
-            x.isNotNull() & y.isNotNull(), pick(op, {n: fn(x, y) for n, fn in both.items() if OPS[n] > OPS["error"]})
+            x.isNotNull() & y.isNotNull(),
+            let(F.struct(x.alias("x"), y.alias("y")), lambda v: pick(op, {n: fn(v["x"], v["y"]) for n, fn in rare.items()})),
         )
         single = F.when(
-            x.isNotNull(), pick(op, {**{n: fn(x) for n, fn in one.items()}, "round_to": _round_to(x, ins["num"])})
+            x.isNotNull(),
+            let(x, lambda v: pick(op, {**{n: fn(v) for n, fn in one.items()}, "round_to": _round_to(v, ins["num"])})),
         )
         value = (
             F.when(op < OPS["if"], plain)
