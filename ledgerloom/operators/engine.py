@@ -131,6 +131,7 @@ def run_levels(
 
     outside = durable(_outside_values(inputs, base, scope, input_order))
     result_columns = _result_columns(adjustments is not None)
+    working = ("_adj", "_operands", "_code", "_outside", "_between", "_refs")
     done: list[DataFrame] = []
     for level in levels:
         rows = definitions.filter(F.col("execution_level") == level).join(scopes.select(*scope), site)
@@ -149,7 +150,7 @@ def run_levels(
         if adjustments is not None:
             added = adjustments.select(*scope, "matrix_id", F.col("adjustment").cast("double").alias("_adj"))
             bound = bound.join(added, [*scope, "matrix_id"], "left")
-        done.append(durable(bound.withColumns(result_columns).drop("_adj", "_operands", "_code", "_outside")))
+        done.append(durable(bound.withColumns(result_columns).drop(*working)))
 
     results = reduce(DataFrame.unionByName, done)
     missing = _missing_log(definitions, scopes, outside, site, scope)
@@ -181,10 +182,12 @@ def _static_part(master: DataFrame, site: list[str], order: str | None) -> tuple
     definitions = (
         named.join(newest.select(*keys, "_top"), keys)
         .withColumn("_last", rank.eqNullSafe(F.col("_top")))
+        .withColumn("_between", fx.text_between("python_formula"))
+        .withColumn("_refs", F.transform(fx.references("python_formula"), fx.ref_key))
         .join(strange, keys, "left")
         .select(
             *keys, "kpi_id", "kpi_dim_id", "matrix_id", "execution_level", *payload, "resolved_formula_names",
-            "_code", "_last", "_outside",
+            "_code", "_last", "_outside", "_between", "_refs",
         )
     )
     return durable(definitions), refs
@@ -204,30 +207,26 @@ def _outside_values(inputs: DataFrame, base: DataFrame | None, scope: list[str],
     return stacked.groupBy(*scope, "_ref").agg(F.max_by(F.struct("_value"), F.struct("_rank", "_value")).alias("_v")).select(*scope, "_ref", F.col("_v._value").alias("_value"))
 
 
-def _bound(ref: Column, known: Callable[[Column], Column], unknown: Callable[[Column], Column]) -> Column:
+def _bound(key: Column, known: Callable[[Column], Column], unknown: Callable[[Column], Column]) -> Column:
     """Branch on whether a reference has a value; a bound value may itself be NULL."""
+    has = F.coalesce(F.map_contains_key("_operands", key), F.lit(False))
+    return F.when(has, known(F.try_element_at(F.col("_operands"), key))).otherwise(unknown(key))
 
-    def by_key(key: Column) -> Column:
-        has = F.coalesce(F.map_contains_key("_operands", key), F.lit(False))
-        return F.when(has, known(F.try_element_at(F.col("_operands"), key))).otherwise(unknown(key))
 
-    return let(fx.ref_key(ref), by_key)
-
-
-def _operand(ref: Column) -> Column:
+def _operand(key: Column) -> Column:
     """Bound value; a bound NULL or non-finite value is an error, an unbound reference is 0.0."""
 
     def usable(v: Column) -> Column:
         return F.when(~F.isnan(v) & (F.abs(v) != float("inf")), v)
 
-    return _bound(ref, lambda v: let(v, usable), lambda _: F.lit(0.0))
+    return _bound(key, lambda v: let(v, usable), lambda _: F.lit(0.0))
 
 
-def _operand_text(ref: Column) -> Column:
+def _operand_text(key: Column) -> Column:
     return _bound(
-        ref,
+        key,
         lambda v: let(v, float_text),
-        lambda key: F.when(F.array_contains(F.col("_outside"), key), "0").otherwise("0.0"),
+        lambda k: F.when(F.array_contains(F.col("_outside"), k), "0").otherwise("0.0"),
     )
 
 
@@ -235,7 +234,7 @@ def _result_columns(adjusted: bool) -> dict[str, Column]:
     """``value`` and ``resolved_formula`` of a bound row. Built once per run: the trees are large."""
     has_text = F.coalesce(F.trim("python_formula") != "", F.lit(False))
     computed = F.when(has_text, fx.evaluate(F.col("_code"), _operand)).otherwise(F.lit(0.0))
-    text = F.when(has_text, fx.substituted(F.col("python_formula"), _operand_text)).otherwise("")
+    text = F.when(has_text, fx.rejoined(F.col("_between"), F.col("_refs"), _operand_text)).otherwise("")
     if not adjusted:
         return {"value": computed, "resolved_formula": text}
     mark = F.concat(signed_fixed("_adj"), F.lit(" [ADJ]"))
@@ -250,8 +249,7 @@ def _result_columns(adjusted: bool) -> dict[str, Column]:
 
 def _missing_log(definitions: DataFrame, scopes: DataFrame, outside: DataFrame, site: list[str], scope: list[str]) -> DataFrame:
     """One row per occurrence of a KPI reference that neither the master nor any outside value defines."""
-    occurring = F.transform(fx.references("python_formula", fx.KPI_REF), fx.ref_key)
-    undefined = F.filter(occurring, lambda r: F.array_contains(F.col("_outside"), r))
+    undefined = F.filter("_refs", lambda r: F.array_contains(F.col("_outside"), r))
     occurrences = definitions.filter("_outside is not null").select(*site, F.explode(undefined).alias("_ref"))
     return (
         occurrences.join(scopes.select(*scope), site)

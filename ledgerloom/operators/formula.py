@@ -46,14 +46,21 @@ def ref_key(ref: Column) -> Column:
     return F.when(ref.startswith("K"), F.concat(kpi_of(ref), F.lit("_"), dim)).otherwise(ref)
 
 
-def substituted(formula: Column, text_of_ref) -> Column:
-    """Formula text with each reference replaced by ``text_of_ref(ref)``."""
-    between = F.split(formula, ANY_REF, -1)
-    refs = references(formula)
+def text_between(formula: Column | str) -> Column:
+    """The text pieces around the references: one more piece than there are references."""
+    return F.split(F.col(formula) if isinstance(formula, str) else formula, ANY_REF, -1)
+
+
+def rejoined(between: Column, refs: Column, text_of_ref) -> Column:
+    """Formula text with ``text_of_ref(ref)`` in place of each reference."""
     pieces = F.zip_with(between, refs, lambda p, r: F.concat(p, F.when(r.isNull(), "").otherwise(text_of_ref(r))))
     return F.array_join(pieces, "")
 
 
+def substituted(formula: Column, text_of_ref) -> Column:
+    return rejoined(text_between(formula), references(formula), text_of_ref)
+
+
 # --- evaluation ---------------------------------------------------------------------------
 
 
