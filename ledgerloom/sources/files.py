@@ -71,14 +71,15 @@ def read_period_file(
         return None
     reader = spark.read.format(fmt)
     if fmt == "csv":
-        # a value that occurs nowhere, so that blank cells are kept as empty text
-        reader = reader.option("header", True).option("nullValue", "\u0000").option("emptyValue", "")
+        reader = reader.option("header", True)
     try:
         raw = reader.load(path)
         if columns is not None:
             raw = raw.select(*columns)
         names = raw.columns
         placed = raw.select(*names, "_metadata.file_path", "_metadata.file_block_start")
+        if fmt == "csv":
+            placed = placed.fillna("", subset=names)
     except AnalysisException:
         return None
     # row order inside a file: start of the split, then the position within it

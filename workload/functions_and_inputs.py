@@ -236,8 +236,8 @@ def _balance(t: Tables) -> DataFrame:
     """Every supplier account once, those with a large balance twice; no movement where the balance is small."""
     rows = t.supplier.select(
         F.col("s_suppkey").cast("string").alias("account_number"),
-        F.when(F.col("s_acctbal") >= 7000, money("s_acctbal")).alias("current_movement"),
-        F.explode(F.when(F.col("s_acctbal") > 8000, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("listing"),
+        F.when(F.col("s_acctbal") >= 4000, money("s_acctbal")).alias("current_movement"),
+        F.explode(F.when(F.col("s_acctbal") > 6000, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("listing"),
     )
     return rows.drop("listing")
 
@@ -245,8 +245,8 @@ def _balance(t: Tables) -> DataFrame:
 _TB = {
     "gl": """SELECT 'I' || CAST(l_partkey AS VARCHAR) AS input_ref, l_suppkey AS account, year(l_shipdate + INTERVAL 6 MONTH) AS fy,
         month(l_shipdate + INTERVAL 6 MONTH) AS fm, CAST(l_extendedprice AS DECIMAL(18,2)) AS measure FROM lineitem""",
-    "tb": """SELECT s_suppkey AS account, CASE WHEN s_acctbal >= 7000 THEN CAST(s_acctbal AS DECIMAL(18,2)) END AS movement FROM supplier
-        UNION ALL SELECT s_suppkey, CAST(s_acctbal AS DECIMAL(18,2)) FROM supplier WHERE s_acctbal > 8000""",
+    "tb": """SELECT s_suppkey AS account, CASE WHEN s_acctbal >= 4000 THEN CAST(s_acctbal AS DECIMAL(18,2)) END AS movement FROM supplier
+        UNION ALL SELECT s_suppkey, CAST(s_acctbal AS DECIMAL(18,2)) FROM supplier WHERE s_acctbal > 6000""",
     "joined": "SELECT gl.*, movement FROM gl LEFT JOIN tb ON gl.account = tb.account",
     "touched": "SELECT DISTINCT input_ref, fy, fm FROM joined WHERE movement IS NOT NULL",
 }
