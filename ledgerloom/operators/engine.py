@@ -284,6 +284,11 @@ def _stamped(results: DataFrame, dim_names: DataFrame | None, site: list[str], p
     return results.select(*site, *RESULT_COLUMNS)
 
 
+def first_missing(run: EngineRun, n: int = 20) -> DataFrame:
+    """The first missing references in key order, for display."""
+    return run.missing.orderBy(*run.missing.columns).limit(n)
+
+
 def run_summary(run: EngineRun) -> DataFrame:
     """Counts of calculated KPIs, missing references and skipped definitions."""
     parts = {"calculated": run.results, "missing": run.missing, "skipped": run.skipped}

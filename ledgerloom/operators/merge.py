@@ -142,9 +142,12 @@ def insert_only(target: DataFrame, source: DataFrame) -> DataFrame:
     return target.unionByName(conform(source, target))
 
 
-def upsert_columns(target: DataFrame, source: DataFrame, keys: Sequence[str], update: Sequence[str]) -> DataFrame:
-    """Upsert that overwrites only the listed columns of a matched row."""
-    return merge(target, source, keys, lambda *_: MergeRule(F.lit(True), {c: s(c) for c in update}))
+def upsert_columns(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], update: Sequence[str], identity: str | None = None
+) -> DataFrame:
+    """Upsert that overwrites only the listed columns of a matched row; ``identity`` numbers inserted rows on."""
+    rule = MergeRule(F.lit(True), {c: s(c) for c in update})
+    return merge(target, source, keys, lambda *_: rule, _numbered(target, identity, keys))
 
 
 def upsert_protected(
@@ -154,11 +157,12 @@ def upsert_protected(
     update: Sequence[str],
     protected: str = "original_value",
     guard: str = "adjusted_value",
+    identity: str | None = None,
 ) -> DataFrame:
     """Upsert whose ``protected`` column is refreshed only while the row's ``guard`` is NULL."""
     values = {c: s(c) for c in update}
     values[protected] = F.when(t(guard).isNull(), s(protected)).otherwise(t(protected))
-    return merge(target, source, keys, lambda *_: MergeRule(F.lit(True), values))
+    return merge(target, source, keys, lambda *_: MergeRule(F.lit(True), values), _numbered(target, identity, keys))
 
 
 def upsert_changed(target: DataFrame, source: DataFrame, roles: Columns, run_ts: Column, compat: bool = False) -> DataFrame:
@@ -196,15 +200,14 @@ def scd1(
         written = [*payload, *([roles.updated] if roles.updated else [])]
         return MergeRule(any_of((value_changed(s(c), t(c), compat) for c in payload), True), {c: s(c) for c in written})
 
-    return merge(target, stamped, roles.business_key, rule, _keyed(target, roles))
+    return merge(target, stamped, roles.business_key, rule, _numbered(target, roles.surrogate_key, roles.business_key))
 
 
-def _keyed(target: DataFrame, roles: Columns) -> Callable[[DataFrame], DataFrame] | None:
-    if not roles.surrogate_key:
+def _numbered(target: DataFrame, identity: str | None, keys: Sequence[str]) -> Callable[[DataFrame], DataFrame] | None:
+    if not identity:
         return None
-    order = [*roles.business_key]
     return lambda rows: assign_surrogate_keys(
-        rows, target, roles.surrogate_key, [*order, *[c for c in rows.columns if c not in order]]
+        rows, target, identity, [*keys, *[c for c in rows.columns if c not in keys and c != identity]]
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -63,9 +63,12 @@ def load_period_inputs(
     trial_balance: DataFrame | None = None,
     suffix: str = ".csv",
     fmt: str = "csv",
+    store: Callable[[str], str] | None = None,
 ) -> DataFrame:
     """Unified inputs of the period, then overlay files, historical values, input adjustments and
-    trial-balance overrides, in this order."""
+    trial-balance overrides, in this order.
+
+    With ``store`` (file name -> table name or folder) every file read also replaces its stored table."""
     y, mth = period.year, period.month
     fy, fm = period.fiscal
 
@@ -73,6 +76,8 @@ def load_period_inputs(
         if not name or base_path is None:
             return None
         path = files.find_period_file(spark, base_path, y, mth, name, suffix)
+        if store is not None:
+            return files.ingest_period_file(spark, path, store(name), y, mth, fmt=fmt)
         return files.read_period_file(spark, path, y, mth, fmt=fmt)
 
     manual = files.stacked_files([read(n) for n in overlay_files])

@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.scalar import clean_ref, fiscal_month, fiscal_year, period_date
-from ledgerloom.sources.schemas import INPUT_COLUMNS, empty
+from ledgerloom.sources.schemas import empty
+from ledgerloom.sources.snapshots import save_table, write_current
 
 HISTORIC_SOURCE = "manual precalculated historic values"
 ADJUSTMENT_SOURCE = "manual adjustments"
@@ -92,6 +93,20 @@ def read_period_file(
     )
 
 
+def ingest_period_file(
+    spark: SparkSession, path: str | None, store: str, year: int, month: int, columns: Sequence[str] | None = None, fmt: str = "csv"
+) -> DataFrame | None:
+    """Read a period file, replace the stored table (name or folder) with it, and return the stored rows."""
+    df = read_period_file(spark, path, year, month, columns, fmt)
+    if df is None:
+        return None
+    if "/" in store:
+        write_current(df, store)
+    else:
+        save_table(df, store)
+    return read_table(spark, store)
+
+
 def input_rows(df: DataFrame | None, year: int, month: int, source: str | None = None, spark: SparkSession | None = None) -> DataFrame:
     """File rows in the working-input layout, stamped with the fiscal period of (year, month)."""
     if df is None:

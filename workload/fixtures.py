@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.functions.scalar import engine_key, fiscal_month, fiscal_year, matrix_id, month_start
+from ledgerloom.sources.durable import durable
 
 REPORTING_MONTH = "1998-06-01"
 AS_OF = "1998-06-30"
@@ -66,7 +67,14 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        self.__dict__[name] = table = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return table
+
+    def stored(self, *names: str) -> Tables:
+        """Write the named fixtures once; for queries that read them several times, as stored tables would be."""
+        for name in names:
+            self.__dict__[name] = durable(getattr(self, name))
+        return self
 
     def _kpi_values(self, flag: str, dim: Column, **extra: Column) -> DataFrame:
         month = month_start("l_shipdate").alias("date_key")
