@@ -129,12 +129,14 @@ def run_levels(
     if not levels:
         raise ValueError("no definition has a usable execution level")
 
+    # both are read once per level, so they are reduced once
+    scopes = durable(scopes.select(*scope).distinct())
     outside = durable(_outside_values(inputs, base, scope, input_order))
     result_columns = _result_columns(adjustments is not None)
     working = ("_adj", "_operands", "_code", "_outside", "_between", "_refs")
     done: list[DataFrame] = []
     for level in levels:
-        rows = definitions.filter(F.col("execution_level") == level).join(scopes.select(*scope), site)
+        rows = definitions.filter(F.col("execution_level") == level).join(scopes, site)
         wanted = refs.filter(F.col("execution_level") == level).select(*site, "_ref", "_defined", "_key")
         # a KPI of the master takes its value from the formulas only, anything else from outside only
         values = outside.withColumn("_defined", F.lit(False))
@@ -252,7 +254,7 @@ def _missing_log(definitions: DataFrame, scopes: DataFrame, outside: DataFrame,
     undefined = F.filter("_refs", lambda r: F.array_contains(F.col("_outside"), r))
     occurrences = definitions.filter("_outside is not null").select(*site, F.explode(undefined).alias("_ref"))
     return (
-        occurrences.join(scopes.select(*scope), site)
+        occurrences.join(scopes, site)
         .join(outside.select(*scope, "_ref"), [*scope, "_ref"], "left_anti")
         .select(
             *scope,

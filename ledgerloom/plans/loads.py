@@ -100,6 +100,9 @@ def next_state(load: Load, target: DataFrame | None, sources: Sequence[DataFrame
     for i, source in enumerate(ready):
         if i:
             state = durable(state)
+        if roles.business_key:
+            # a merge reads its source several times (rows, repeated keys, matches): compute it once
+            source = durable(source)
         if not roles.business_key:
             state = m.append_load(state, source, roles, run_ts)
         elif load.kind == "fact":

@@ -1,13 +1,12 @@
 import datetime as dt
 
-from conftest import rows
+from conftest import SF, rows
 from pyspark.sql import functions as F
 
 from ledgerloom.plans import publish, views
 from ledgerloom.sources import files
 from workload import marts as queries
 from workload.fixtures import Tables
-from conftest import SF
 
 
 def test_value_adjustments_keep_adjusted_rows(spark):
@@ -25,20 +24,16 @@ def test_value_adjustments_keep_adjusted_rows(spark):
     assert rows(got) == [(False, 1, "new", None), (True, 0, "new", "r")]
 
 
-def test_variances_keep_comments(spark):
+def test_variances_keep_comments(spark, monkeypatch):
     schema = "kpi_engine_key string, kpi_ref string, location_name string, month_date date, actual_value double, variance_commentary string, var_id bigint, variance_id string"
-    updates = [c for c in ("kpi_engine_key", "kpi_ref", "location_name", "actual_value", "variance_id")]
+    updates = ["kpi_engine_key", "kpi_ref", "location_name", "actual_value", "variance_id"]
     day = dt.date(2026, 4, 1)
     kept = spark.createDataFrame([("a", "K1", "X", day, 1.0, "said", 5, "VAR-1")], schema)
     mart = spark.createDataFrame([("a", "K1", "X", day, 2.0, None, 1, "VAR-9"), ("b", "K1", "Y", day, 3.0, None, 2, "VAR-8")], schema)
-    original = publish.VARIANCE_UPDATES
-    publish.VARIANCE_UPDATES = updates
-    try:
-        expected = [("a", "K1", "X", day, 2.0, "said", 5, "VAR-9"), ("b", "K1", "Y", day, 3.0, None, 6, "VAR-8")]
-        assert rows(publish.merge_variances(kept, mart)) == expected
-        assert rows(publish.merge_variances(kept, mart, by_kpi=True)) == expected
-    finally:
-        publish.VARIANCE_UPDATES = original
+    monkeypatch.setattr(publish, "VARIANCE_UPDATES", updates)
+    expected = [("a", "K1", "X", day, 2.0, "said", 5, "VAR-9"), ("b", "K1", "Y", day, 3.0, None, 6, "VAR-8")]
+    assert rows(publish.merge_variances(kept, mart)) == expected
+    assert rows(publish.merge_variances(kept, mart, by_kpi=True)) == expected
 
 
 def test_reporting_views(spark):

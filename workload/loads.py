@@ -7,11 +7,18 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators import merge as m
 from ledgerloom.plans.loads import Load, create, next_state, view
+from ledgerloom.sources.durable import durable
 from ledgerloom.sources.schemas import ColumnSpec
 from workload.fixtures import FIRST_LOAD, RUN_1, RUN_2, Tables, as_ts, typed, with_ctes
 
 END = "2999-12-31 00:00:00.000"
 
+
+def _loaded(load: Load, *args) -> DataFrame:
+    """The table after a first load, stored as any loaded table is."""
+    return durable(next_state(load, *args))
+
+
 # --- stages and views -----------------------------------------------------------------------
 
 PARTY = (
@@ -48,7 +55,7 @@ def stage_union_all(t: Tables) -> DataFrame:
 def stage_insert(t: Tables) -> DataFrame:
     """One insert per source into a stage that keeps its rows: the customers of an earlier load are there already."""
     load = Load("party", "stage", PARTY, strategy="INSERT", truncate_before=False)
-    first = next_state(load, create(t.spark, load), _parties(t)[:1], as_ts(RUN_1))
+    first = _loaded(load, create(t.spark, load), _parties(t)[:1], as_ts(RUN_1))
     return next_state(load, first, _parties(t), as_ts(RUN_2))
 
 
@@ -93,7 +100,7 @@ FACT_ROLES = m.Columns(("order_key",), created="created", updated="updated")
 def fact_upsert(t: Tables) -> DataFrame:
     """First load: finished lines only; second load: all lines. Orders change, stay or appear."""
     load = Load("order_fact", "fact", ORDER_FACT, FACT_ROLES)
-    first = next_state(load, create(t.spark, load), [t.order_totals("F")], as_ts(RUN_1))
+    first = _loaded(load, create(t.spark, load), [t.order_totals("F")], as_ts(RUN_1))
     return next_state(load, first, [t.order_totals()], as_ts(RUN_2))
 
 
@@ -158,7 +165,7 @@ def append_load(t: Tables) -> DataFrame:
     """No business key: each load adds all its rows as version 1, numbered on."""
     load = Load("log", "persistent_stage", DIMENSION, m.Columns((), (), "party_key", "version", "is_current", None, None, "created", "updated"))
     customers, suppliers = _parties(t)
-    first = next_state(load, create(t.spark, load), [customers], as_ts(RUN_1))
+    first = _loaded(load, create(t.spark, load), [customers], as_ts(RUN_1))
     return next_state(load, first, [suppliers], as_ts(RUN_2))
 
 
@@ -184,7 +191,7 @@ def _customer_columns(tracked: bool) -> tuple[list[ColumnSpec], m.Columns]:
 def _two_loads(t: Tables, kind: str, tracked: bool, drop: tuple[str, ...] = ()) -> DataFrame:
     columns, roles = _customer_columns(tracked)
     load = Load("customer", kind, [c for c in columns if c.name not in drop], roles)
-    first = next_state(load, create(t.spark, load), [t.customer_state(FIRST_LOAD).drop(*drop)], as_ts(RUN_1))
+    first = _loaded(load, create(t.spark, load), [t.customer_state(FIRST_LOAD).drop(*drop)], as_ts(RUN_1))
     return next_state(load, first, [t.customer_state().drop(*drop)], as_ts(RUN_2))
 
 
