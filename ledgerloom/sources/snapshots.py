@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,10 +48,12 @@ def append_version(history: DataFrame | None, new: DataFrame, period: str = "dat
 
 def read_history(spark: SparkSession, path: str) -> DataFrame | None:
     """The history folder with all columns any version has had; None before the first write."""
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path):
-        return None
-    return spark.read.option("mergeSchema", True).parquet(path)
+    try:
+        return spark.read.option("mergeSchema", True).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
 
 
 def write_version(spark: SparkSession, new: DataFrame, path: str, period: str = "date_key", version: str = "version_id", value: str = "value") -> None:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -94,13 +96,10 @@ def _values_sql(adj: str = "0.0", empty: str = "0.0", seed: str = "0.0") -> str:
 
 
 _IF_RETURNED = "CASE WHEN I4 > 0 THEN {} ELSE 0 END"
-_NAMES = {f"{k}_{d}": n for k, d, _, n, _ in reversed(DEFINITIONS)}
 _ID_NAMES = {"K1": "Unit price", "K2": "Per return", "K3": "Spread"}  # greatest name per id, as no sequence is given
 
 
 def _shown(text: str) -> str:
-    import re
-
     return re.sub(r"(K\d+)_\d+", lambda m: f"`{_ID_NAMES.get(m.group(1), m.group(1))}`", text.strip())
 
 

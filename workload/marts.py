@@ -155,7 +155,7 @@ def _known_kpis(t: Tables) -> DataFrame:
     return t.engine_output.filter(F.col("date_key") == as_date(REPORTING_MONTH))
 
 
-def _variance_sql(actual: str, unit: str, key: str, source: str, name: str = "{0}kpi_name", level: str = "{0}execution_level", p: str = "k.", month: str = "a.date_key") -> str:
+def _variance_sql(actual: str, unit: str, key: str, source: str, p: str = "k.") -> str:
     return f"""{key} AS kpi_engine_key, a.kpi_id AS kpi_ref, {p}kpi_name AS kpi_aggregation, {p}category AS kpi_category, {p}subcategory AS kpi_subcategory,
       {unit} AS unit_of_measure, {p}dim_name AS location_name, CAST(NULL AS VARCHAR) AS site_code, CAST(NULL AS VARCHAR) AS company_code,
       a.date_key AS month_date, CAST(year(a.date_key) AS INTEGER) AS year, CAST(month(a.date_key) AS INTEGER) AS month,
