@@ -4,12 +4,11 @@ import pytest
 from conftest import SF
 from pyspark.sql import DataFrameWriter
 
-import __spark_entry__ as entry
 from ledgerloom.operators import engine as en
-from workload import check
+from workload import check, registry
 from workload.fixtures import Tables
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = registry.queries(), registry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
