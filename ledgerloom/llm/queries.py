@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from ledgerloom.llm import mixing
+from ledgerloom.llm import langid, mixing, tokens
 
-_MODULES = (mixing,)
+_MODULES = (langid, mixing, tokens)
 
 
 def queries() -> dict:

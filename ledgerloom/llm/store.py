@@ -36,3 +36,8 @@ def held_out(doc_id: str | Column, parts: int, part: int) -> Column:
     """Whether crc32 of the id's text modulo ``parts`` is ``part``; an id that is null counts as the empty text."""
     text = F.coalesce((F.col(doc_id) if isinstance(doc_id, str) else doc_id).cast("string"), F.lit(""))
     return F.crc32(text.cast("binary")) % parts == part
+
+
+def partitions_for(df: DataFrame) -> int:
+    """Partitions for a shuffle of whole rows: as many as the session sets, or as the input has splits if those are more."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), df.rdd.getNumPartitions())
