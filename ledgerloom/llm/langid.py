@@ -28,7 +28,7 @@ from ledgerloom.llm import text as tx
 from ledgerloom.llm.store import durable, held_out
 
 #: Bounds of the fit: documents per language and entries of the model.
-SAMPLE_DOCS, MODEL_ENTRIES = 2_000, 300_000
+SAMPLE_DOCS, MODEL_ENTRIES = 2_000, 200_000
 LONGEST, PENALTY, FULL_WORDS = 5, 1.0, 40
 UNKNOWN = "und"
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -45,7 +45,7 @@ def fit(labelled: DataFrame, docs_per_language: int = SAMPLE_DOCS, entries: int
 
     Counting runs in Spark; what comes to the driver is the bounded table of the most frequent entries."""
     rows = labelled.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    sizes = durable(rows.groupBy("lang").agg(F.count("*").alias("n")))  # stored: Spark knows that it is small
     mark = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("language sample")), F.lit(1 << 40))
     sample = rows.join(sizes, "lang").filter(mark * F.col("n") < F.lit(docs_per_language * float(1 << 40)))
     found = F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))
@@ -67,15 +67,15 @@ def fit(labelled: DataFrame, docs_per_language: int = SAMPLE_DOCS, entries: int
     table = counts.mapInArrow(entries_of, "lang string, kind string, entry string, n bigint").groupBy("lang", "kind", "entry").agg(F.sum("n").alias("n"))
     table = durable(table.filter("n > 1 or kind <> 'w'"))
     totals = {(r["lang"], r["kind"]): r["n"] for r in table.groupBy("lang", "kind").agg(F.sum("n").alias("n")).collect()}
-    kept = table.orderBy(F.col("n").desc(), "kind", "entry", "lang").limit(entries).collect()
+    kept = table.orderBy(F.col("n").desc(), "kind", "entry", "lang").limit(entries).toArrow().to_pydict()
     languages = sorted({lang for lang, _ in totals})
     place = {lang: i for i, lang in enumerate(languages)}
     model: dict = {"languages": languages, "w": {}, **{str(k): {} for k in range(1, LONGEST + 1)}}
     rarest: dict[tuple, float] = {}
-    for r in kept:
-        score = math.log(r["n"] / totals[r["lang"], r["kind"]])
-        model[r["kind"]].setdefault(r["entry"], {})[place[r["lang"]]] = score
-        rarest[r["lang"], r["kind"]] = min(score, rarest.get((r["lang"], r["kind"]), 0.0))
+    for lang, kind, entry, n in zip(*(kept[c] for c in ("lang", "kind", "entry", "n"))):
+        score = math.log(n / totals[lang, kind])
+        model[kind].setdefault(entry, {})[place[lang]] = score
+        rarest[lang, kind] = min(score, rarest.get((lang, kind), 0.0))
     for kind in ("w", *map(str, range(1, LONGEST + 1))):
         miss = [rarest.get((lang, kind), -math.log(1 + entries)) - PENALTY for lang in languages]
         # one miss value for all languages: a small language's rarest entry is no evidence for it

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from ledgerloom.llm import langid, mixing, tokens
+from ledgerloom.llm import decontam, langid, mixing, nearest, neardup, secrets, tokens, toxicity, warc
 
-_MODULES = (langid, mixing, tokens)
+_MODULES = (langid, warc, tokens, neardup, decontam, nearest, toxicity, secrets, mixing)
 
 
 def queries() -> dict:
