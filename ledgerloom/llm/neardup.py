@@ -331,5 +331,23 @@ def op5_near_duplicates(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+#: All pairs with a shingle in common, counted in full.
+NEAR_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents
+), s AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(words) = 0 THEN []::VARCHAR[] WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+    ELSE list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i:i + 3], ' ')) END) AS parts FROM w
+), u AS (
+  SELECT doc_id, len(parts) AS n, unnest(parts) AS part FROM s
+), e AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM u a JOIN u b ON a.part = b.part AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), r AS (
+  SELECT doc_id AS id, doc_id AS seen FROM s UNION SELECT r.id, e.y FROM r JOIN e ON r.seen = e.x
+)
+SELECT s.doc_id, len(parts)::BIGINT AS n_shingles, min(seen) AS component_id, s.doc_id = min(seen) AS kept FROM s JOIN r ON s.doc_id = r.id GROUP BY s.doc_id, parts
+"""
+
 QUERIES = {"op5_near_duplicates": op5_near_duplicates}
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {"op5_near_duplicates": NEAR_SQL}

@@ -167,8 +167,13 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec
                 else:
                     floor = np.full(len(qids), -np.inf)
                 found = []
+                unit, asked = _unit(v), _unit(q)
                 for j in range(len(qids)):
                     again = np.flatnonzero((upper[:, j] >= floor[j]) & ~own[:, j])
+                    if len(again) > k:
+                        # the product decides all but what lies within its rounding of the k-th; ties stay together
+                        near = unit[again] @ asked[j]
+                        again = again[near >= np.partition(near, len(near) - k)[len(near) - k] - 1e-9]
                     score = cosines(v[again], q[j])
                     best = np.lexsort((ids[again], -score))[:k]
                     found += [(int(qids[j]), int(ids[again[b]]), float(score[b])) for b in best]

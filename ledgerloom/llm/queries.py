@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from ledgerloom.llm import decontam, langid, mixing, nearest, neardup, secrets, tokens, toxicity, warc
+from ledgerloom.llm import decontam, langid, mixing, nearest, neardup, quality, secrets, tokens, toxicity, warc
 
-_MODULES = (langid, warc, tokens, neardup, decontam, nearest, toxicity, secrets, mixing)
+_MODULES = (langid, warc, tokens, quality, neardup, decontam, nearest, toxicity, secrets, mixing)
 
 
 def queries() -> dict:
