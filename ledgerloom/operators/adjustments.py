@@ -12,21 +12,54 @@ from ledgerloom.functions.scalar import MEASURE_TYPE, clean_ref, key_text, matri
 TRIAL_BALANCE_SOURCE = "trial balance adjustments"
 
 
+#: Measures in units of their last decimal: sums and products by counts stay exact.
+UNITS = "decimal(38,0)"
+_DECIMALS = 12
+
+
+def units(measure: Column) -> Column:
+    """A DECIMAL(36,12) as a whole number of its last decimals, by dropping the point of its text."""
+    return F.replace(measure.cast(MEASURE_TYPE).cast("string"), F.lit("."), F.lit("")).cast(UNITS)
+
+
+def from_units(n: Column) -> Column:
+    """Back to DECIMAL(36,12); raises if that has no room for the number."""
+    plain = F.replace(n.cast("string"), F.lit("-"), F.lit(""))  # abs() and negation keep 34 digits only
+    digits = F.lpad(plain, F.greatest(F.length(plain), F.lit(_DECIMALS + 1)), F.lit("0"))
+    whole = F.length(digits) - _DECIMALS
+    text = F.concat(F.when(n < 0, "-").otherwise(""), F.substring(digits, F.lit(1), whole), F.lit("."), F.substring(digits, whole + 1, F.lit(_DECIMALS)))
+    return F.when(n.isNotNull(), _checked(text.try_cast(MEASURE_TYPE)))
+
+
+def _checked(value: Column) -> Column:
+    """The value, or an error where an exact operation gave none; the same with and without ANSI mode."""
+    return F.coalesce(value, F.raise_error(F.lit("amounts exceed an exact decimal")))
+
+
+def checked_sum(value: Column | str) -> Column:
+    """An exact sum of decimals that raises when it has no room, with and without ANSI mode. NULL without any value."""
+    v = F.col(value) if isinstance(value, str) else value
+    return F.when(F.count(v) > 0, F.coalesce(F.try_sum(v), F.raise_error(F.lit("amounts exceed an exact decimal"))))
+
+
 def sum_by_kpi(
     df: DataFrame, value: Column | str, kpi_id: str = "kpi_id", dim: str = "kpi_dim_id", scope: Sequence[str] = ()
 ) -> DataFrame:
     """One summed value per ``<KPI>_<dim>``; unparsable values count as 0, dims are whole-number text.
 
     Rows whose dim is no whole number have no key and match nothing, so they are left out. Values
-    are summed as exact decimals, which makes the sum independent of the row order."""
+    are summed as exact decimals, which makes the sum independent of the row order; a number that no
+    DECIMAL(36,12) holds is summed as a double instead, so that only text that is no number counts as 0."""
     v = F.col(value) if isinstance(value, str) else value
-    dim_number = F.coalesce(F.col(dim).try_cast("bigint"), F.col(dim).try_cast("double").try_cast("bigint"))
-    exact = F.coalesce(v.try_cast(MEASURE_TYPE), F.lit(0).cast(MEASURE_TYPE))
+    as_double = F.col(dim).try_cast("double")
+    dim_number = F.coalesce(F.col(dim).try_cast("bigint"), F.when(as_double == F.floor(as_double), as_double.try_cast("bigint")))
+    exact, wide = v.try_cast(MEASURE_TYPE), v.try_cast("double")
+    wide = F.when(exact.isNull() & ~F.isnan(wide), wide)
     return (
-        df.select(*scope, matrix_id(key_text(kpi_id), dim_number).alias("matrix_id"), exact.alias("_v"))
+        df.select(*scope, matrix_id(key_text(kpi_id), dim_number).alias("matrix_id"), exact.alias("_v"), wide.alias("_w"))
         .filter("matrix_id is not null")
         .groupBy(*scope, "matrix_id")
-        .agg(F.sum("_v").cast("double").alias("adjustment"))
+        .agg((F.coalesce(checked_sum("_v").cast("double"), F.lit(0.0)) + F.coalesce(F.sum("_w"), F.lit(0.0))).alias("adjustment"))
     )
 
 
@@ -66,26 +99,26 @@ def trial_balance_override(
         gl.withColumn("account_number", F.col("gl_account").cast("string"))
         .groupBy(*gl_keys)
         .agg(
-            F.count("*").cast("decimal(12,0)").alias("_rows"),
-            F.coalesce(F.sum(F.col("measure_value").cast(MEASURE_TYPE)), F.lit(0)).cast("decimal(31,12)").alias("_measure"),
+            F.count("*").cast("decimal(19,0)").alias("_rows"),
+            F.coalesce(checked_sum(units(F.col("measure_value"))), F.lit(0).cast(UNITS)).alias("_measure"),
         )
     )
     listed = (
         trial_balance.withColumn("account_number", F.col("account_number").cast("string"))
         .groupBy("account_number", *on)
         .agg(
-            F.sum(F.col(override).cast(MEASURE_TYPE)).cast("decimal(25,12)").alias("_override"),
-            F.sum(F.when(F.col(override).isNull(), 1).otherwise(0)).cast("decimal(6,0)").alias("_plain"),
+            checked_sum(units(F.col(override))).alias("_override"),
+            F.sum(F.when(F.col(override).isNull(), 1).otherwise(0)).cast("decimal(19,0)").alias("_plain"),
         )
     )
-    own = F.col("_measure").cast(MEASURE_TYPE)
-    total = F.coalesce(F.col("_rows") * F.col("_override"), F.lit(0)) + F.coalesce(
-        F.col("_plain") * F.col("_measure"), own
-    )
+    zero = F.lit(0).cast(UNITS)
+    overridden = F.when(F.col("_override").isNull(), zero).otherwise(_checked(F.try_multiply("_rows", "_override").cast(UNITS)))
+    plain = F.when(F.col("_plain").isNull(), F.col("_measure")).otherwise(_checked(F.try_multiply("_plain", "_measure").cast(UNITS)))
+    total = _checked(F.try_add(overridden, plain).cast(UNITS))
     return (
         ledger.join(listed, ["account_number", *on], "left")
         .groupBy(*[k for k in gl_keys if k != "account_number"])
-        .agg(F.sum(total.cast(MEASURE_TYPE)).alias("_sum"), F.max(F.col("_override").isNotNull()).alias("_touched"))
+        .agg(checked_sum(total).alias("_sum"), F.max(F.col("_override").isNotNull()).alias("_touched"))
         .filter("_touched")
         .select(
             clean_ref("input_ref").alias("input_ref"),
@@ -93,6 +126,6 @@ def trial_balance_override(
             F.col("fiscal_month").alias("fin_period"),
             F.col("fiscal_year").alias("fin_year"),
             *on,
-            F.col("_sum").cast(MEASURE_TYPE).alias("value"),
+            from_units(F.col("_sum")).alias("value"),
         )
     )

@@ -1,15 +1,16 @@
 """Level-by-level KPI evaluation for many scopes (say site x month) in one job.
 
 A *scope* is one run of the formulas: one site in one month. The definition table belongs to the
-site, the inputs to the scope. Each level is three shuffles of that level's references and results;
-nothing is gathered per scope, so a scope, site or KPI with a large share of the rows is spread like
-any other. The largest thing one task builds for one row is the operand map of one formula."""
+site, the inputs to the scope. A value goes to the formulas that use it as soon as it is known: outside
+values once, the results of a level after it. So each use of a value crosses the network once, however
+many levels there are. Nothing is gathered per scope, so a scope, site or KPI with a large part of the
+rows is spread like any other. The largest thing one task builds for one row is the operand map of one
+formula."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,6 +32,7 @@ from ledgerloom.operators import formula as fx
 from ledgerloom.operators.latest import keep_last
 from ledgerloom.sources.durable import durable
 
+# The log's reason and the columns of a result table.
 MISSING_REASON = "Missing KPI dependency → 0"
 
 RESULT_COLUMNS = (
@@ -40,11 +42,16 @@ RESULT_COLUMNS = (
 )
 
 
-@dataclass(frozen=True)
 class EngineRun:
-    results: DataFrame
-    missing: DataFrame
-    skipped: DataFrame
+    """A run: ``results`` are evaluated when they are first asked for; the missing log, the skipped and unsupported
+    definitions and ``rows`` (the keys of all results) need no evaluation."""
+
+    def __init__(self, evaluate: Callable[[], DataFrame], rows: DataFrame, missing: DataFrame, skipped: DataFrame, unsupported: DataFrame) -> None:
+        self._evaluate, self.rows, self.missing, self.skipped, self.unsupported = evaluate, rows, missing, skipped, unsupported
+
+    @cached_property
+    def results(self) -> DataFrame:
+        return self._evaluate()
 
 
 def prepare_definitions(master: DataFrame, site: Sequence[str] = ()) -> DataFrame:
@@ -69,6 +76,14 @@ def skipped_definitions(master: DataFrame) -> DataFrame:
     return master.filter(F.col("execution_level").try_cast("double").isNull())
 
 
+def unsupported_definitions(master: DataFrame) -> DataFrame:
+    """Definitions whose formula, or a part of it, counts as an error where a value is needed, with the reason in ``problem``.
+
+    Blank formulas are not among them: they stand for inputs that are filled in from outside."""
+    text = F.coalesce(trim_ws("python_formula"), F.lit(""))
+    return master.filter(text != "").withColumn("problem", fx.problems(text)).filter("problem is not null")
+
+
 def formula_with_names(definitions: DataFrame, names: DataFrame, site: Sequence[str] = (), order: str | None = None) -> DataFrame:
     """Add ``resolved_formula_names``: each KPI reference shown as its name in backticks.
 
@@ -107,6 +122,7 @@ def run_levels(
     run_user: str = "",
     order: str | None = None,
     input_order: str | None = None,
+    texts: bool = True,
 ) -> EngineRun:
     """Evaluate all formulas of ``master`` in every scope.
 
@@ -114,49 +130,67 @@ def run_levels(
     python_formula, source); ``scopes`` (site, period); ``inputs`` (site, period, input_ref, value);
     ``adjustments`` (site, period, matrix_id, adjustment); ``base`` (site, period, kpi_id, kpi_dim_id,
     value) seeds KPIs the master does not define. ``order``/``input_order`` name a sequence column
-    that decides between repeated definitions or inputs (the last one counts).
+    that decides between repeated definitions or inputs (the last one counts). Without ``texts``, the
+    evaluated formula texts (``resolved_formula``) are not built and NULL.
 
     A reference sees the value of an earlier level; a KPI of the same or a later level reads 0.0. A
     KPI that is not in the master falls back to ``base``, then to an input of that name, then to 0
     with a row in the missing log. A missing input is 0.0 and not logged."""
     site = list(site)
     if not site:
-        raise ValueError("formulas belong to a site: name at least one column shared by master and scopes")
+        raise ValueError("formulas belong to a site: name at least one column that both master and scopes have")
     scope = [*site, period]
     run_ts = run_ts if run_ts is not None else F.current_timestamp()
     definitions, refs = _static_part(master, site, order)
+    scopes = durable(scopes.select(*scope).distinct())
+    outside = durable(_outside_values(inputs, base, scope, input_order))
+    if adjustments is not None:
+        # corrections of one key add up
+        adjustments = adjustments.select(*scope, "matrix_id", F.col("adjustment").cast("double").alias("_adj")).groupBy(*scope, "matrix_id").agg(F.sum("_adj").alias("_adj"))
+
+    def evaluate() -> DataFrame:
+        results = _evaluated(definitions, refs, scopes, outside, adjustments, site, scope, texts)
+        return _stamped(results, dim_names, site, period, run_ts, run_user)
+
+    rows = definitions.select(*site, "matrix_id").join(scopes, site)
+    missing = _missing_log(definitions, scopes, outside, site, scope)
+    return EngineRun(evaluate, rows, missing, skipped_definitions(master), unsupported_definitions(master))
+
+
+def _evaluated(
+    definitions: DataFrame, refs: DataFrame, scopes: DataFrame, outside: DataFrame, adjustments: DataFrame | None, site: list[str], scope: list[str], texts: bool
+) -> DataFrame:
+    """All levels, each stored. ``uses`` are the stored (scope, consumer, reference, value) rows of one source of values,
+    in a folder per level of the consumer, so that a level reads its own only."""
     levels = [r[0] for r in definitions.select("execution_level").distinct().orderBy("execution_level").collect()]
     if not levels:
         raise ValueError("no definition has a usable execution level")
+    wanted = refs.select(*site, "_ref", "_defined", "_key", F.col("execution_level").alias("_level"))
 
-    # both are read once per level, so they are reduced once
-    scopes = durable(scopes.select(*scope).distinct())
-    outside = durable(_outside_values(inputs, base, scope, input_order))
-    result_columns = _result_columns(adjustments is not None)
+    def used(values: DataFrame, defined: bool, after: float | None = None) -> DataFrame:
+        # a KPI of the master takes its value from the formulas only, anything else from outside only
+        by = wanted.filter(F.col("_defined") == defined)
+        by = by if after is None else by.filter(F.col("_level") > after)
+        return durable(values.join(by, [*site, "_ref"]).select(*scope, "_level", "_key", "_ref", "_value"), partition_by=["_level"])
+
+    uses = [used(outside, False)]
+    result_columns = _result_columns(adjustments is not None, texts)
     working = ("_adj", "_operands", "_code", "_outside", "_between", "_refs")
     done: list[DataFrame] = []
     for level in levels:
-        rows = definitions.filter(F.col("execution_level") == level).join(scopes, site)
-        wanted = refs.filter(F.col("execution_level") == level).select(*site, "_ref", "_defined", "_key")
-        # a KPI of the master takes its value from the formulas only, anything else from outside only
-        values = outside.withColumn("_defined", F.lit(False))
-        for earlier in done:
-            computed = earlier.filter("_last").select(*scope, F.col("_key").alias("_ref"), F.col("value").alias("_value"))
-            values = values.unionByName(computed.withColumn("_defined", F.lit(True)))
         operands = (
-            values.join(wanted, [*site, "_ref", "_defined"])
+            reduce(DataFrame.unionByName, [u.filter(F.col("_level") == level).drop("_level") for u in uses])
             .groupBy(*scope, "_key")
             .agg(F.map_from_entries(F.collect_set(F.struct("_ref", "_value"))).alias("_operands"))
         )
-        bound = rows.join(operands, [*scope, "_key"], "left")
+        bound = definitions.filter(F.col("execution_level") == level).join(scopes, site).join(operands, [*scope, "_key"], "left")
         if adjustments is not None:
-            added = adjustments.select(*scope, "matrix_id", F.col("adjustment").cast("double").alias("_adj"))
-            bound = bound.join(added, [*scope, "matrix_id"], "left")
+            bound = bound.join(adjustments, [*scope, "matrix_id"], "left")
         done.append(durable(bound.withColumns(result_columns).drop(*working)))
-
-    results = reduce(DataFrame.unionByName, done)
-    missing = _missing_log(definitions, scopes, outside, site, scope)
-    return EngineRun(_stamped(results, dim_names, site, period, run_ts, run_user), missing, skipped_definitions(master))
+        if level != levels[-1]:
+            values = done[-1].filter("_last").select(*scope, F.col("_key").alias("_ref"), F.col("value").alias("_value"))
+            uses.append(used(values, True, level))
+    return reduce(DataFrame.unionByName, done)
 
 
 def _static_part(master: DataFrame, site: list[str], order: str | None) -> tuple[DataFrame, DataFrame]:
@@ -232,8 +266,11 @@ def _operand_text(key: Column) -> Column:
     )
 
 
-def _result_columns(adjusted: bool) -> dict[str, Column]:
+def _result_columns(adjusted: bool, texts: bool = True) -> dict[str, Column]:
     """``value`` and ``resolved_formula`` of a bound row. Built once per run: the trees are large."""
+    if not texts:
+        plain = F.when(F.coalesce(F.trim("python_formula") != "", F.lit(False)), fx.evaluate(F.col("_code"), _operand)).otherwise(F.lit(0.0))
+        return {"value": plain + F.coalesce("_adj", F.lit(0.0)) if adjusted else plain, "resolved_formula": F.lit(None).cast("string")}
     has_text = F.coalesce(F.trim("python_formula") != "", F.lit(False))
     computed = F.when(has_text, fx.evaluate(F.col("_code"), _operand)).otherwise(F.lit(0.0))
     text = F.when(has_text, fx.rejoined(F.col("_between"), F.col("_refs"), _operand_text)).otherwise("")
@@ -293,6 +330,6 @@ def first_missing(run: EngineRun, n: int = 20) -> DataFrame:
 
 def run_summary(run: EngineRun) -> DataFrame:
     """Counts of calculated KPIs, missing references and skipped definitions."""
-    parts = {"calculated": run.results, "missing": run.missing, "skipped": run.skipped}
+    parts = {"calculated": run.rows, "missing": run.missing, "skipped": run.skipped}
     counts = [df.agg(F.count("*").alias("n")).select(F.lit(k).alias("metric"), "n") for k, df in parts.items()]
     return reduce(DataFrame.unionByName, counts)

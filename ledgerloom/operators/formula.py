@@ -27,6 +27,12 @@ def compiled(formula: Column | str) -> Column:
     return F.pandas_udf(formula_code.compile_batch, f"array<{INSTRUCTION}>")(formula)
 
 
+def problems(formula: Column | str) -> Column:
+    """Why a formula, or a part of it, counts as an error; NULL if all of it is understood."""
+    cloudpickle.register_pickle_by_value(formula_code)
+    return F.pandas_udf(lambda texts: texts.map(formula_code.problem), "string")(formula)
+
+
 # --- references ---------------------------------------------------------------------------
 
 
@@ -82,9 +88,16 @@ def _modulo(x: Column, y: Column) -> Column:
 
 
 def _round_to(x: Column, digits: Column) -> Column:
-    exact = signed_fixed(x, F.greatest(digits, F.lit(1.0))).try_cast("double")
-    big = F.isnan(x) | (F.abs(x) >= float(2**52))
-    return F.when(big, x).when(digits == 0, F.rint(x)).otherwise(exact)
+    """Rounded to decimals, or to tens, hundreds, ... for negative digits, halves to even.
+
+    Up to 15 decimals the exact value of the double decides, beyond that the double product by the power of ten; a number
+    whose product has no fraction any more is left as it is."""
+    exact = signed_fixed(x, F.greatest(F.least(digits, F.lit(15.0)), F.lit(1.0))).try_cast("double")
+    big = F.isnan(x) | (F.abs(x) == float("inf")) | ((digits >= 0) & (F.abs(x) >= float(2**52)))
+    up, down = F.pow(F.lit(10.0), F.least(digits, F.lit(300.0))), F.pow(F.lit(10.0), F.least(-digits, F.lit(300.0)))
+    fine = F.when(F.abs(x * up) < float(2**52), F.try_divide(F.rint(x * up), up)).otherwise(x)
+    coarse = F.rint(F.try_divide(x, down)) * down
+    return F.when(big, x).when(digits == 0, F.rint(x)).when(digits < 0, coarse).when(digits > 15, fine).otherwise(exact)
 
 
 def evaluate(code: Column, value_of_ref) -> Column:

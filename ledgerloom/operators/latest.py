@@ -1,7 +1,7 @@
 """Latest-version, keep-last and scenario-pivot operators.
 
 All of them are grouped aggregations with map-side partial aggregation, so a key that holds a large
-share of the rows is collapsed before the shuffle instead of being sorted in one window task."""
+part of the rows is collapsed before the shuffle instead of being sorted in one window task."""
 
 from __future__ import annotations
 

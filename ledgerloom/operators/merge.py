@@ -91,18 +91,16 @@ def _unmatched(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> Dat
     return source.join(common, list(keys), "left_anti").select(*source.columns)
 
 
-def _pair(target: DataFrame, source: DataFrame, keys: Sequence[str], extra: Column | None = None) -> DataFrame:
+def _pair(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Target rows with their source row, if any. A repeated source key that matches raises, whichever columns are used
+    afterwards: the check is a filter, so it is not pruned with an unused column."""
     flagged = _flag_repeats(source, keys).withColumn("_matched", F.lit(True))
-    condition = F.lit(True) if extra is None else extra
+    condition = F.lit(True)
     for k in keys:
         condition = condition & (t(k) == s(k))
-    return target.alias("t").join(flagged.alias("s"), condition, "left")
-
-
-def _checked(condition: Column) -> Column:
-    """The match condition, raising when the matched source key was repeated."""
     error = F.raise_error(F.lit("merge: more than one source row matches a target row")).cast("boolean")
-    return F.when(condition & s("_repeated"), error).otherwise(condition)
+    once = F.when(F.coalesce(s("_matched") & s("_repeated"), F.lit(False)), error).otherwise(F.lit(True))
+    return target.alias("t").join(flagged.alias("s"), condition, "left").filter(once)
 
 
 def merge(
@@ -114,7 +112,7 @@ def merge(
 ) -> DataFrame:
     """Update matched rows by ``rule`` and insert the unmatched source rows."""
     r = rule(target, source)
-    hit = _checked(F.coalesce(s("_matched"), F.lit(False))) & F.coalesce(r.when, F.lit(False))
+    hit = F.coalesce(s("_matched"), F.lit(False)) & F.coalesce(r.when, F.lit(False))
     out = []
     for c in target.columns:
         new = r.values.get(c)
@@ -191,6 +189,7 @@ def scd1(
     roles: Columns,
     run_ts: Column,
     compat: bool = False,
+    numbered: DataFrame | None = None,
 ) -> DataFrame:
     """Type 1: overwrite changed payload columns in place; a table without payload always updates."""
     stamped = with_system_columns(source, roles, run_ts)
@@ -200,7 +199,7 @@ def scd1(
         written = [*payload, *([roles.updated] if roles.updated else [])]
         return MergeRule(any_of((value_changed(s(c), t(c), compat) for c in payload), True), {c: s(c) for c in written})
 
-    return merge(target, stamped, roles.business_key, rule, _numbered(target, roles.surrogate_key, roles.business_key))
+    return merge(target, stamped, roles.business_key, rule, _numbered(numbered or target, roles.surrogate_key, roles.business_key))
 
 
 def _numbered(target: DataFrame, identity: str | None, keys: Sequence[str]) -> Callable[[DataFrame], DataFrame] | None:
@@ -218,6 +217,7 @@ def scd2(
     run_ts: Column,
     touch_unchanged: bool = False,
     compat: bool = False,
+    numbered: DataFrame | None = None,
 ) -> DataFrame:
     """Type 2 merge of one source into a versioned dimension.
 
@@ -230,19 +230,22 @@ def scd2(
 
     ``touch_unchanged`` gives the persistent-stage behaviour: without other columns the in-place
     branch still runs and refreshes the update time of every unchanged current row; the dimension
-    skips it. Expired and new rows come out of the same pass over the target."""
+    skips it. Expired and new rows come out of the same pass over the target. Surrogate keys go on after those of
+    ``numbered``, if the target is only a part of the table."""
     keys = list(roles.business_key)
     stamped = with_system_columns(source, roles, run_ts)
     columns = [c for c in target.columns if c != roles.surrogate_key]
     type1 = roles.type1(source.columns)
-    is_current = t(roles.current_flag) == "Y"
+    # expired versions meet no source row and go around the join
+    is_current = F.coalesce(F.col(roles.current_flag) == "Y", F.lit(False))
+    current, earlier = target.filter(is_current), target.filter(~is_current)
 
     tracked_changed = any_of(value_changed(s(c), t(c), compat) for c in roles.tracked)
     tracked_equal = F.lit(True)
     for c in roles.tracked:
         tracked_equal = tracked_equal & F.coalesce(s(c) == t(c), F.lit(False))
     other_changed = any_of((value_changed(s(c), t(c), compat) for c in type1), empty=touch_unchanged)
-    matched = _checked(F.coalesce(s("_matched"), F.lit(False)))
+    matched = F.coalesce(s("_matched"), F.lit(False))
 
     def typed(c: str, value: Column) -> Column:
         return value.cast(target.schema[c].dataType).alias(c)
@@ -267,14 +270,14 @@ def scd2(
         .when(matched & tracked_equal & other_changed, F.array(_with_new(updated, False)))
         .otherwise(F.array(_with_new(old_row({}), False)))
     )
-    walked = _pair(target, stamped, keys, is_current).select(F.explode(outcome).alias("o"))
+    walked = _pair(current, stamped, keys).select(F.explode(outcome).alias("o"))
     initial = conform(_unmatched(stamped, target, keys), target)
     if not roles.surrogate_key:
-        return walked.select("o.row.*").unionByName(initial)
-    kept = walked.filter(~F.col("o.new")).select("o.row.*")
+        return walked.select("o.row.*").unionByName(initial).unionByName(earlier)
+    kept = walked.filter(~F.col("o.new")).select("o.row.*").unionByName(earlier)
     added = walked.filter(F.col("o.new")).select("o.row.*").unionByName(initial)
     order = [*keys, roles.version, *[c for c in columns if c not in keys and c != roles.version]]
-    return kept.unionByName(conform(assign_surrogate_keys(added, target, roles.surrogate_key, order), target))
+    return kept.unionByName(conform(assign_surrogate_keys(added, numbered or target, roles.surrogate_key, order), target))
 
 
 def _with_new(row: Column, new: bool) -> Column:

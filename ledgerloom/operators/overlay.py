@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.scalar import all_of, clean_ref
 from ledgerloom.operators.latest import keep_any
+from ledgerloom.sources.files import PLACE
 
 
 def overlay_chain(
@@ -37,9 +38,9 @@ def overlay_chain(
         if normalise:
             src = src.withColumn(key, clean_ref(key))
         if order in src.columns:
-            src = src.withColumn("_rank", F.coalesce(F.col(order).cast("bigint"), F.lit(-(2**63))))
+            src = src.withColumn("_rank", _rank(src, order))
         else:
-            src = keep_any(src, keys).withColumn("_rank", F.lit(0).cast("bigint"))
+            src = keep_any(src, keys).withColumn("_rank", _number_rank(F.lit(0)))
         tagged.append(src.select(*keys, *rest, "_rank", F.lit(i).alias("_src")))
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
     grouped = stacked.groupBy(*keys).agg(
@@ -62,6 +63,17 @@ def overlay_chain(
     return grouped.select(*keys, *[value(c) for c in columns])
 
 
+def _number_rank(number: Column) -> Column:
+    return F.struct(F.lit(0).alias("file"), F.lit("").alias("path"), F.lit(0).cast("bigint").alias("block"), number.cast("bigint").alias("position"))
+
+
+def _rank(src: DataFrame, order: str) -> Column:
+    """A row's rank in its source: a number, or the place of a row of stacked files. NULL ranks lowest."""
+    if src.schema[order].dataType.typeName() != "struct":
+        return _number_rank(F.col(order))
+    return F.coalesce(F.col(order).cast(PLACE), F.lit(None).cast(PLACE), F.struct(*[F.lit(None).cast(t).alias(n) for n, t in (("file", "int"), ("path", "string"), ("block", "bigint"), ("position", "bigint"))]))
+
+
 def overlay_merge(base: DataFrame, overlay: DataFrame, key: str = "input_ref", **options) -> DataFrame:
     """One overlay over one base."""
     return overlay_chain([base, overlay], key, **options)

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -88,7 +89,8 @@ def view(load: Load, sources: Sequence[DataFrame], spark: SparkSession | None =
 def next_state(load: Load, target: DataFrame | None, sources: Sequence[DataFrame], run_ts: Column) -> DataFrame:
     """State of the table after loading ``sources`` one after another.
 
-    A later source sees the rows an earlier one added, as when each is merged by its own statement."""
+    A later source sees the rows an earlier one added, as when each is merged by its own statement. With several keyed
+    sources, only target rows with a key of any of them go through the merges; the others are read and passed on once."""
     ready = [mapped(s, data_columns(load)) for s in sources]
     if load.kind == "stage":
         loaded = union_sources(ready, load.strategy)
@@ -96,22 +98,29 @@ def next_state(load: Load, target: DataFrame | None, sources: Sequence[DataFrame
     if target is None:
         raise ValueError("this kind of load needs the current target (create() gives an empty one)")
     roles = load.roles
-    state = target
+    state, rest, keys = target, None, list(roles.business_key)
+    if keys:
+        # a merge reads its source several times (rows, repeated keys, matches): compute it once
+        ready = [durable(source) for source in ready]
+    if keys and len(ready) > 1:
+        touched = durable(reduce(DataFrame.union, [source.select(*keys) for source in ready]).distinct())
+        rest = target.join(touched, keys, "left_anti").select(*target.columns)
+        state = target.join(touched, keys, "left_semi").select(*target.columns)
     for i, source in enumerate(ready):
         if i:
             state = durable(state)
-        if roles.business_key:
-            # a merge reads its source several times (rows, repeated keys, matches): compute it once
-            source = durable(source)
+        numbered = None
+        if rest is not None and roles.surrogate_key:
+            numbered = state.select(roles.surrogate_key).union(rest.select(roles.surrogate_key))
         if not roles.business_key:
             state = m.append_load(state, source, roles, run_ts)
         elif load.kind == "fact":
             state = m.upsert_changed(state, source, roles, run_ts, load.compat)
         elif roles.tracked:
-            state = m.scd2(state, source, roles, run_ts, touch_unchanged=load.kind == "persistent_stage", compat=load.compat)
+            state = m.scd2(state, source, roles, run_ts, touch_unchanged=load.kind == "persistent_stage", compat=load.compat, numbered=numbered)
         else:
-            state = m.scd1(state, source, roles, run_ts, load.compat)
-    return state
+            state = m.scd1(state, source, roles, run_ts, load.compat, numbered)
+    return state if rest is None else state.unionByName(rest)
 
 
 def run(
@@ -120,22 +129,24 @@ def run(
     target: DataFrame | None,
     sources: Sequence[DataFrame],
     run_ts: Column,
-    write: Callable[[DataFrame], None],
+    write: Callable[[DataFrame], DataFrame | None],
 ) -> list[dict[str, str]]:
     """Before-tests, pre-SQL, load, post-SQL, after-tests and column tests; returns the test report.
 
     ``write`` stores the next state. It must not overwrite the files the target is read from: write
-    a new folder and switch to it."""
+    a new folder and switch to it. If it returns the stored table, the column tests read that; otherwise the state is
+    stored once more for them."""
     report = run_expectations(load.tests, "Before", load.tests_enabled)
     for statement in load.pre_sql:
         spark.sql(statement)
-    state = durable(next_state(load, target, sources, run_ts))
-    write(state)
+    checks = column_tests(load.columns) if load.tests_enabled else {}
+    state = next_state(load, target, sources, run_ts)
+    written = write(state)
     for statement in load.post_sql:
         spark.sql(statement)
     report += run_expectations(load.tests, "After", load.tests_enabled)
-    checks = column_tests(load.columns) if load.tests_enabled else {}
     if checks:
+        state = written if written is not None else durable(state)
         failed = [r["test"] for r in column_test_counts(state, checks).filter("failed_rows > 0").collect()]
         report += [{"test": n, "status": "FAILED" if n in failed else "PASSED"} for n in checks]
         if failed:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,20 +15,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
         if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="checkpoints-")
-    sc.setCheckpointDir(shared)
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
+        folder = tempfile.mkdtemp(prefix="checkpoints-")
+    sc.setCheckpointDir(folder)
     return sc.getCheckpointDir()
 
 
-def durable(df: DataFrame) -> DataFrame:
+def durable(df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write the rows once to a table in the checkpoint folder and go on from there.
 
     Unlike ``DataFrame.checkpoint``, which computes its last stage once to run and once to store,
     this computes it once; and the table is columnar, so later steps read only what they use."""
     path = f"{checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4()}"
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

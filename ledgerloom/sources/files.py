@@ -13,9 +13,12 @@ from ledgerloom.functions.scalar import clean_ref, fiscal_month, fiscal_year, pe
 from ledgerloom.sources.schemas import empty
 from ledgerloom.sources.snapshots import save_table, write_current
 
+# The tags of rows that come from files.
 HISTORIC_SOURCE = "manual precalculated historic values"
 ADJUSTMENT_SOURCE = "manual adjustments"
-INPUT_SCHEMA = "input_ref string, source string, fin_period int, fin_year int, value string, seq bigint"
+#: A row's place among stacked files: file number, path, start of the split, position in it.
+PLACE = "struct<file:int,path:string,block:bigint,position:bigint>"
+INPUT_SCHEMA = f"input_ref string, source string, fin_period int, fin_year int, value string, seq {PLACE}"
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
@@ -78,18 +81,19 @@ def read_period_file(
         if columns is not None:
             raw = raw.select(*columns)
         names = raw.columns
-        placed = raw.select(*names, "_metadata.file_path", "_metadata.file_block_start")
+        # parquet knows the row's number; in a text file it follows from the split and the order within it
+        position = F.col("_metadata.row_index") if fmt == "parquet" else F.monotonically_increasing_id()
+        block = F.lit(0).cast("bigint") if fmt == "parquet" else F.col("_metadata.file_block_start")
+        place = F.struct(F.lit(0).alias("file"), F.col("_metadata.file_path").alias("path"), block.alias("block"), position.alias("position"))
+        placed = raw.select(*names, place.cast(PLACE).alias("_place"))
         if fmt == "csv":
             placed = placed.fillna("", subset=names)
     except AnalysisException:
         return None
-    # row order inside a file: start of the split, then the position within it
-    seq = F.col("_block") * F.lit(2**18) + F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1).cast("bigint"))
     return (
-        placed.toDF(*[normalised_header(n) for n in names], "_path", "_block")
-        .withColumn("date_key", period_date(F.lit(year), F.lit(month)))
-        .withColumn("seq", seq)
-        .drop("_path", "_block")
+        placed.toDF(*[normalised_header(n) for n in names], "_place")
+        .withColumns({"date_key": period_date(F.lit(year), F.lit(month)), "seq": F.col("_place")})
+        .drop("_place")
     )
 
 
@@ -112,6 +116,7 @@ def input_rows(df: DataFrame | None, year: int, month: int, source: str | None =
     if df is None:
         return empty(spark, INPUT_SCHEMA)
     day = period_date(F.lit(year), F.lit(month))
+    # fixed values: two headers that period files use for reference and value
     renamed = df.withColumnsRenamed({"i_ref_values": "input_ref", "scr_value": "value"})
     tag: Column = F.lit(source) if source is not None else F.col("source") if "source" in renamed.columns else F.lit(None)
     return renamed.select(
@@ -120,7 +125,7 @@ def input_rows(df: DataFrame | None, year: int, month: int, source: str | None =
         fiscal_month(day).alias("fin_period"),
         fiscal_year(day).alias("fin_year"),
         F.col("value").cast("string").alias("value"),
-        F.col("seq").cast("bigint").alias("seq"),
+        F.col("seq").cast(PLACE).alias("seq"),
     )
 
 
@@ -130,7 +135,7 @@ def stacked_files(frames: Sequence[DataFrame | None]) -> DataFrame | None:
     if not present:
         return None
     lowered = [f.toDF(*[c.lower() for c in f.columns]) for f in present]
-    ranked = [f.withColumn("seq", F.col("seq") + F.lit(i * 2**60)) for i, f in enumerate(lowered)]
+    ranked = [f.withColumn("seq", F.col("seq").withField("file", F.lit(i))) for i, f in enumerate(lowered)]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), ranked)
 
 

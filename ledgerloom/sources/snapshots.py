@@ -5,11 +5,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
+from pyspark.errors.exceptions.base import PySparkException as SparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerloom.functions.scalar import MEASURE_TYPE
 
+MEASURE = T.DecimalType(36, 12)
+
 
 def write_current(df: DataFrame, path: str, partition_by: Sequence[str] = (), append: bool = False) -> None:
     """Replace (or extend) a parquet table; a replacement may have another schema.
@@ -46,10 +50,22 @@ def append_version(history: DataFrame | None, new: DataFrame, period: str = "dat
     return widened.unionByName(added, allowMissingColumns=True)
 
 
-def read_history(spark: SparkSession, path: str) -> DataFrame | None:
-    """The history folder with all columns any version has had; None before the first write."""
+def read_history(spark: SparkSession, path: str, columns: T.StructType | None = None, value: str = "value") -> DataFrame | None:
+    """The history folder; None before the first write.
+
+    Files are read by one declared layout, so older files may hold the value as a narrower decimal or lack a column, and no
+    footers are compared. ``columns`` names the layout; without it, the footers of all files give the columns, or, where
+    they disagree, those of one file do."""
     try:
-        return spark.read.option("mergeSchema", True).parquet(path)
+        if columns is None:
+            try:
+                columns = spark.read.option("mergeSchema", True).parquet(path).schema
+            except SparkException as e:
+                if "MERGE_SCHEMA" not in (e.getCondition() or ""):
+                    raise
+                columns = spark.read.parquet(path).schema
+        wide = T.StructType([T.StructField(f.name, MEASURE if f.name == value else f.dataType) for f in columns.fields])
+        return spark.read.schema(wide).parquet(path)
     except AnalysisException as e:
         if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
@@ -61,7 +77,13 @@ def write_version(spark: SparkSession, new: DataFrame, path: str, period: str =
 
     Earlier versions are not rewritten: rows go to new files under their period, and the version
     lookup reads one column of the periods that the new rows touch."""
-    history = read_history(spark, path)
+    lookup = T.StructType([T.StructField(version, T.IntegerType()), new.schema[period]])
+    try:
+        history = spark.read.schema(lookup).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        history = None
     if history is not None:
         history = history.join(new.select(period).distinct(), period, "left_semi")
     with_next_version(history, new, period, version, value).write.mode("append").partitionBy(period).parquet(path)

@@ -35,7 +35,8 @@ def test_query_matches_sql_with_a_scalable_plan(spark, con, name, monkeypatch):
     for columns, text in [*written, (df.columns, plan(df))]:
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
         assert "Window [" not in text
-        assert "EvalPython" not in text or "_code" in columns  # the compiler, on the definition table
+        # the compiler and its report, on the definition table
+        assert "EvalPython" not in text or "_code" in columns or "problem" in columns
     assert check.compare(df, con, ORACLES[name]) == []
 
 
@@ -54,13 +55,31 @@ def test_formula_rows_stay_in_the_jvm(spark, monkeypatch):
     plans = []
     stored = en.durable
 
-    def recording(df):
+    def recording(df, **options):
         plans.append((df.columns, plan(df)))
-        return stored(df)
+        return stored(df, **options)
 
     monkeypatch.setattr(en, "durable", recording)
     t = Tables(spark, SF)
-    en.run_levels(t.definitions, t.scopes, t.formula_inputs)
+    _ = en.run_levels(t.definitions, t.scopes, t.formula_inputs).results
     level_plans = [p for columns, p in plans if "resolved_formula" in columns]
     assert len(level_plans) == 3
     assert not any("EvalPython" in p for p in level_plans)
+
+
+def test_each_use_of_a_value_is_shuffled_once_and_the_log_needs_no_level(spark, monkeypatch):
+    written = []
+    stored = en.durable
+
+    def recording(df, **options):
+        written.append((df.columns, plan(df)))
+        return stored(df, **options)
+
+    monkeypatch.setattr(en, "durable", recording)
+    t = Tables(spark, SF)
+    run = en.run_levels(t.definitions, t.scopes, t.formula_inputs)
+    assert run.missing.count() and not any("resolved_formula" in columns for columns, _ in written)
+    del written[:]
+    _ = run.results
+    uses = [columns for columns, _ in written if "_ref" in columns]
+    assert len(uses) == 3  # outside values once, then after each level but the last

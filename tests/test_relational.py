@@ -46,7 +46,7 @@ def test_duplicates(spark):
 
 
 def test_numbering_is_gap_free_with_hot_key(spark):
-    # a third of all rows share the leading key
+    # a third of all rows have the same leading key
     df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), "id")
     got = [tuple(r) for r in global_row_number(df, ["k", "id"], partitions=7).collect()]
     expected = sorted((0 if i % 3 == 0 else i, i) for i in range(3000))

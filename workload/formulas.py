@@ -22,7 +22,7 @@ def _values(run: EngineRun) -> DataFrame:
 
 
 def formula_levels(t: Tables) -> DataFrame:
-    return _values(_run(t))
+    return _values(_run(t, texts=False))
 
 
 def _net_corrections(t: Tables) -> DataFrame:
@@ -33,7 +33,7 @@ def _net_corrections(t: Tables) -> DataFrame:
 
 
 def formula_adjusted(t: Tables) -> DataFrame:
-    return _values(_run(t, adjustments=_net_corrections(t)))
+    return _values(_run(t, adjustments=_net_corrections(t), texts=False))
 
 
 def _seeds(t: Tables) -> DataFrame:
@@ -45,7 +45,7 @@ def _seeds(t: Tables) -> DataFrame:
 
 
 def formula_seeded(t: Tables) -> DataFrame:
-    return _values(_run(t, base=_seeds(t)))
+    return _values(_run(t, base=_seeds(t), texts=False))
 
 
 def formula_missing_log(t: Tables) -> DataFrame:
@@ -55,7 +55,7 @@ def formula_missing_log(t: Tables) -> DataFrame:
 def formula_stamped(t: Tables) -> DataFrame:
     """Everything but the number: keys, period, names and shown formulas."""
     r = _run(t).results
-    return r.filter("kpi_id <> 'K2' or kpi_dim_id <> 1").select(
+    return r.select(
         "kpi_engine_key", "matrix_id", "date_key", "fiscal_year", "fiscal_month", "sort_key", "execution_level", "kpi_name",
         "resolved_formula_names", "created_date", "created_by", "site_code",
     )
@@ -118,7 +118,7 @@ _STAMPED_SQL = typed(
         + ", ".join(
             f"('{k}_{d}', CAST({k[1:]} AS DOUBLE), CAST({level} AS DOUBLE), '{n}', '{_shown(text)}', 1)"
             for k, d, level, n, text in DEFINITIONS
-            if level != "n/a" and (k, d) != ("K2", 1)
+            if level != "n/a"
         )
         + ") d(matrix_id, sort_key, execution_level, kpi_name, resolved_formula_names, one) ON d.one = 1",
     ),

@@ -269,18 +269,23 @@ def affected_inputs(t: Tables) -> DataFrame:
 
 
 def adjustment_sum(t: Tables) -> DataFrame:
-    """Corrections typed by hand: lower-case ids, dims as text, values that are no number."""
+    """Corrections typed by hand: lower-case ids, dims as text (some with a fraction), values that are no number or too large for a decimal."""
+    dim = F.col("o_custkey").cast("string")
+    dim = F.when(F.col("o_orderkey") % 7 == 0, F.concat(dim, F.lit(".5"))).when(F.col("o_orderkey") % 5 == 0, F.concat(dim, F.lit(".0"))).otherwise(dim)
+    large = F.when(F.col("o_orderkey") % 13 == 0, F.lit(str(2**100)))
     rows = t.orders.select(
         F.concat(F.lit(" k"), F.substring("o_orderpriority", 1, 1)).alias("kpi_id"),
-        F.col("o_custkey").cast("string").alias("kpi_dim_id"),
-        F.when(F.col("o_orderstatus") == "P", "n/a").otherwise(money("o_totalprice").cast("string")).alias("value"),
+        dim.alias("kpi_dim_id"),
+        F.when(F.col("o_orderstatus") == "P", "n/a").otherwise(F.coalesce(large, money("o_totalprice").cast("string"))).alias("value"),
     )
     return adj.kpi_adjustments(rows)
 
 
 ADJUSTMENT_SUM = typed(
     """SELECT 'K' || substr(o_orderpriority, 1, 1) || '_' || CAST(o_custkey AS VARCHAR) AS matrix_id,
-       SUM(CASE WHEN o_orderstatus = 'P' THEN 0 ELSE CAST(o_totalprice AS DECIMAL(18,2)) END) AS adjustment FROM orders GROUP BY 1""",
+       CAST(SUM(CASE WHEN o_orderstatus = 'P' OR o_orderkey % 13 = 0 THEN 0 ELSE CAST(o_totalprice AS DECIMAL(18,2)) END) AS DOUBLE)
+         + COUNT(*) FILTER (WHERE o_orderstatus <> 'P' AND o_orderkey % 13 = 0) * pow(2.0::DOUBLE, 100) AS adjustment
+       FROM orders WHERE o_orderkey % 7 <> 0 GROUP BY 1""",
     double="adjustment",
 )
 
