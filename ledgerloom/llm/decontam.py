@@ -38,7 +38,7 @@ K1, B = 1.2, 0.75
 #: A term in at most this share of the segments (or in one) is a rarer one.
 RARE = 0.3
 _PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
-_MEMO_WORDS = 1_000_000
+_MEMO_WORDS = 500_000
 
 
 def terms_of(text: str | None) -> list[bytes]:
@@ -59,13 +59,9 @@ def question_and_answer(text: str) -> tuple[str, str]:
 class Index:
     """BM25 index of a shard's segments, with impacts as shares of each segment's own score."""
 
-    _last: tuple[str, Index] | None = None
-
     @classmethod
     def of(cls, name: str, shared) -> Index:
-        if cls._last is None or cls._last[0] != name:
-            cls._last = (name, cls(shared.value))
-        return cls._last[1]
+        return tx.kept(("index", name), lambda: cls(shared.value))
 
     def __init__(self, items: list[tuple[int, str]]):
         self.terms: dict[bytes, int] = {}
@@ -99,7 +95,7 @@ class Index:
         for t in np.flatnonzero(~self.rare):
             frequent[self.segments[self.at[t] : self.at[t + 1]]] += self.impacts[self.at[t] : self.at[t + 1]]
         self.frequent = np.repeat(frequent[: n + BLOCK - 1 - (n - 1) % BLOCK if n else 0].reshape(-1, BLOCK).max(axis=1), BLOCK) if n else frequent
-        self.memo: dict[int, int] = {}
+        self.seen, self.term_of = tx.Numbers(_MEMO_WORDS), np.zeros(1 << 12, np.int64)
 
     def search(self, terms: list[int]) -> list[tuple[int, float]]:
         """All segments whose score for these distinct terms reaches the threshold, by block-max WAND."""
@@ -157,16 +153,15 @@ class Index:
         if not len(w.starts) or not self.items:
             return
         distinct, where, back = np.unique(tx.hashes(w), return_index=True, return_inverse=True)
-        if len(self.memo) + len(distinct) > _MEMO_WORDS:
-            self.memo = {}
-        known = np.fromiter(map(self.memo.get, distinct.tolist(), [-9] * len(distinct)), np.int64, len(distinct))
-        new = np.flatnonzero(known == -9)
+        if self.seen.full(distinct):
+            self.seen = tx.Numbers(_MEMO_WORDS)
+        known, new = self.seen.of(distinct)
         if len(new):
+            self.term_of = tx.room(self.term_of, int(known[new[-1]]) + 1)
             raw, s, e = w.data.tobytes(), w.starts[where[new]].tolist(), w.ends[where[new]].tolist()
             # -2: only punctuation, no word; -1: not in the index
-            known[new] = [self.terms.get(t, -1) if (t := raw[a:b].strip(_PUNCTUATION)) else -2 for a, b in zip(s, e)]
-            self.memo.update(zip(distinct[new].tolist(), known[new].tolist()))
-        term = known[back]
+            self.term_of[known[new]] = [self.terms.get(t, -1) if (t := raw[a:b].strip(_PUNCTUATION)) else -2 for a, b in zip(s, e)]
+        term = self.term_of[known[back]]
         row = np.repeat(np.arange(len(w.first) - 1), np.diff(w.first))
         real = term != -2
         term, row = term[real], row[real]
@@ -244,7 +239,8 @@ def leaks(docs: DataFrame, items: DataFrame, shard_bytes: int = SHARD_BYTES) ->
 
 def decontaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents without a leak; columns stay as they are, and no row is moved."""
-    kept = docs.select(F.struct(*docs.columns).alias("_row"), F.col("text").alias("text"))
+    # columns by place, so that no name of the table can clash
+    kept = docs.toDF(*["text" if c == "text" else f"c{i}" for i, c in enumerate(docs.columns)])
     schema = kept.schema
     for shard in shards(items):
         shared, name = docs.sparkSession.sparkContext.broadcast(shard), uuid.uuid4().hex
@@ -258,7 +254,7 @@ def decontaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
                     yield part.filter(pa.array(clean))
 
         kept = kept.mapInArrow(run, schema)
-    return kept.select(*[F.col("_row").getField(c).alias(c) for c in docs.columns])
+    return kept.toDF(*docs.columns)
 
 
 def op6_decontamination(spark, sf_dir: str) -> DataFrame:

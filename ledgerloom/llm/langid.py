@@ -28,11 +28,11 @@ from ledgerloom.llm import text as tx
 from ledgerloom.llm.store import durable, held_out
 
 #: Bounds of the fit: documents per language and entries of the model.
-SAMPLE_DOCS, MODEL_ENTRIES = 2_000, 200_000
+SAMPLE_DOCS, MODEL_ENTRIES = 2_000, 150_000
 LONGEST, PENALTY, FULL_WORDS = 5, 1.0, 40
 UNKNOWN = "und"
 _LETTERS = re.compile(r"[^\W\d_]+")
-_MEMO_WORDS = 1_000_000
+_MEMO_WORDS = 500_000
 
 
 def _grams(word: str, n: int) -> list[str]:
@@ -87,19 +87,15 @@ def fit(labelled: DataFrame, docs_per_language: int = SAMPLE_DOCS, entries: int
 class Scorer:
     """Scores of words and texts under a model; remembers the words it has met, up to a bound."""
 
-    _last: tuple[str, Scorer] | None = None
-
     @classmethod
     def of(cls, name: str, shared) -> Scorer:
         """The worker's scorer for a shared model; tasks of one job follow each other in one worker."""
-        if cls._last is None or cls._last[0] != name:
-            cls._last = (name, cls(shared.value))
-        return cls._last[1]
+        return tx.kept(("scorer", name), lambda: cls(shared.value))
 
     def __init__(self, model: dict):
         self.model, self.languages = model, model["languages"]
         self.kinds = [model[str(k)] for k in range(LONGEST, 0, -1)]
-        self.memo: dict[int, int] = {}
+        self.seen = tx.Numbers(_MEMO_WORDS)
         self.table = np.zeros((1 << 12, len(self.languages) + 1))
 
     def word(self, token: str) -> np.ndarray:
@@ -127,19 +123,14 @@ class Scorer:
         if not len(w.starts):
             return sums
         distinct, where, back = np.unique(tx.hashes(w), return_index=True, return_inverse=True)
-        if len(self.memo) + len(distinct) > _MEMO_WORDS:
-            self.memo = {}
-        known = np.fromiter(map(self.memo.get, distinct.tolist(), [-1] * len(distinct)), np.int64, len(distinct))
-        new = np.flatnonzero(known < 0)
+        if self.seen.full(distinct):
+            self.seen = tx.Numbers(_MEMO_WORDS)
+        known, new = self.seen.of(distinct)
         if len(new):
-            numbers = np.arange(len(self.memo), len(self.memo) + len(new))
-            if len(self.table) <= numbers[-1]:
-                self.table = np.concatenate([self.table[: len(self.memo)], np.zeros((2 * (int(numbers[-1]) + 1) - len(self.memo), self.table.shape[1]))])
+            self.table = tx.room(self.table, int(known[new[-1]]) + 1)
             raw, s, e = w.data.tobytes(), w.starts[where[new]].tolist(), w.ends[where[new]].tolist()
-            for k, a, b in zip(numbers.tolist(), s, e):
+            for k, a, b in zip(known[new].tolist(), s, e):
                 self.table[k] = self.word(raw[a:b].decode("utf-8", "replace"))
-            known[new] = numbers
-            self.memo.update(zip(distinct[new].tolist(), numbers.tolist()))
         place, running = known[back], np.zeros(len(back) + 1)
         for j in range(self.table.shape[1]):
             np.cumsum(self.table[place, j], out=running[1:])
@@ -190,9 +181,10 @@ def recognized(docs: DataFrame, min_score: float = 0.4) -> DataFrame:
 
     The model is fitted on the labelled documents of the input itself."""
     model = fit(docs.select("doc_id", "text", "lang"))
-    boxed = docs.select(F.struct(*docs.columns).alias("_row"), F.col("text"))
-    kept = predicted(boxed, model).filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score))
-    return kept.select(*[F.col("_row").getField(c).alias(c) for c in docs.columns])
+    # columns by place, so that no name of the table can clash and no text is sent twice
+    flat = docs.toDF(*["text" if c == "text" else f"c{i}" for i, c in enumerate(docs.columns)])
+    kept = predicted(flat, model).filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score))
+    return kept.drop("lang_pred", "score").toDF(*docs.columns)
 
 
 QUERIES = {"op1_language": op1_language}

@@ -2,13 +2,24 @@
 
 from __future__ import annotations
 
-from ledgerloom.llm import decontam, langid, mixing, nearest, neardup, quality, secrets, tokens, toxicity, warc
+from functools import wraps
+
+from ledgerloom.llm import decontam, langid, mixing, nearest, neardup, quality, secrets, store, tokens, toxicity, warc
 
 _MODULES = (langid, warc, tokens, quality, neardup, decontam, nearest, toxicity, secrets, mixing)
 
 
+def _ready(query):
+    @wraps(query)
+    def run(spark, sf_dir):
+        store.on_workers(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 def queries() -> dict:
-    return {name: q for m in _MODULES for name, q in m.QUERIES.items()}
+    return {name: _ready(q) for m in _MODULES for name, q in m.QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,7 +10,16 @@ from pyspark.sql import functions as F
 
 from ledgerloom.sources.durable import checkpoint_dir, durable
 
-__all__ = ["durable", "held_out", "new_folder", "read_files", "write_files"]
+__all__ = ["durable", "held_out", "new_folder", "on_workers", "read_files", "write_files"]
+
+
+def on_workers(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it. A cluster has it installed; the driver's
+    folder is then only one more place to look in."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in paths.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(x for x in (paths, root) if x)
 
 
 def new_folder(spark: SparkSession, name: str) -> str:

@@ -5,7 +5,7 @@ characters, so UTF-8 passes through untouched. Work arrays hold one window of te
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -105,6 +105,50 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _power_tables[0][:n], _power_tables[1][:n]
 
 
+class Numbers:
+    """Numbers of 64-bit keys, in the order they were first seen; two sorted arrays, 16 bytes a key."""
+
+    def __init__(self, most: int):
+        self.most, self.keys, self.values = most, np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+    def full(self, keys: np.ndarray) -> bool:
+        return len(self.keys) + len(keys) > self.most
+
+    def of(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of sorted distinct keys, and the places of those that are new."""
+        at = np.searchsorted(self.keys, keys)
+        known = np.zeros(len(keys), bool)
+        inside = at < len(self.keys)
+        known[inside] = self.keys[at[inside]] == keys[inside]
+        new, out = np.flatnonzero(~known), np.empty(len(keys), np.int64)
+        out[known] = self.values[at[known]]
+        out[new] = np.arange(len(self.keys), len(self.keys) + len(new))
+        self.values = np.insert(self.values, at[new], out[new])
+        self.keys = np.insert(self.keys, at[new], keys[new])
+        return out, new
+
+
+def room(x: np.ndarray, n: int) -> np.ndarray:
+    """The array, or a longer copy of it if it has fewer than n rows."""
+    if n <= len(x):
+        return x
+    out = np.zeros((max(n, len(x) * 3 // 2), *x.shape[1:]), x.dtype)
+    out[: len(x)] = x
+    return out
+
+
+_kept: tuple = (None, None)
+
+
+def kept(name: tuple, make: Callable[[], object]):
+    """One object that a worker process keeps from task to task; asking for another one lets it go."""
+    global _kept
+    if _kept[0] != name:
+        _kept = (None, None)
+        _kept = (name, make())
+    return _kept[1]
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Parts of a batch with at most ``limit`` bytes of text each; a longer text is a part of its own."""
     _, places = text_bytes(batch.column(batch.schema.get_field_index(column)))

@@ -37,20 +37,16 @@ INDEX = np.dtype([("doc_id", "<i8"), ("null_id", "?"), ("offset", "<u8"), ("leng
 CHUNK_BYTES = 8 << 20
 #: Bounds of the sample that the dictionary is trained on, and the dictionary's size.
 SAMPLE_DOCS, SAMPLE_IDS, DICTIONARY_BYTES = 500, 16_384, 32 << 10
-_MEMO_WORDS = 1_500_000
+_MEMO_WORDS = 700_000
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)\Z")
 
 
 class Encoder:
-    """Ids of texts. One per worker process and tokenizer file; it remembers the words it has met, up to a bound."""
-
-    _all: dict[str, Encoder] = {}
+    """Ids of texts. A worker keeps one from task to task; it remembers the words it has met, up to a bound."""
 
     @classmethod
     def of(cls, path: str) -> Encoder:
-        if path not in cls._all:
-            cls._all[path] = cls(path)
-        return cls._all[path]
+        return tx.kept(("encoder", path), lambda: cls(path))
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -73,7 +69,7 @@ class Encoder:
             self.letters = str.maketrans({chr(c): "".join(_byte_letters()[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)})
 
     def forget(self) -> None:
-        self.memo: dict[int, int] = {}
+        self.seen = tx.Numbers(_MEMO_WORDS)
         self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
         self.at, self.n = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
 
@@ -86,23 +82,21 @@ class Encoder:
         if not len(w.starts):
             return np.zeros(0, np.uint32), np.zeros(len(w.first), np.int64)
         distinct, where, back = np.unique(tx.hashes(w), return_index=True, return_inverse=True)
-        if len(self.memo) + len(distinct) > _MEMO_WORDS:
+        if self.seen.full(distinct):
             self.forget()
-        known = np.fromiter(map(self.memo.get, distinct.tolist(), [-1] * len(distinct)), np.int64, len(distinct))
-        new = np.flatnonzero(known < 0)
+        known, new = self.seen.of(distinct)
         if len(new):
             s, e = w.starts[where[new]].tolist(), w.ends[where[new]].tolist()
             raw = w.data.tobytes()
-            known[new] = self.learn([raw[a:b].decode("utf-8", "replace") for a, b in zip(s, e)])
-            self.memo.update(zip(distinct[new].tolist(), known[new].tolist()))
+            self.learn(known[new], [raw[a:b].decode("utf-8", "replace") for a, b in zip(s, e)])
         place = known[back]
         n = self.n[place]
         upto = np.concatenate([np.zeros(1, np.int64), np.cumsum(n)])
         ids = self.flat[np.repeat(self.at[place] - upto[:-1], n) + np.arange(upto[-1])]
         return ids, upto[w.first]
 
-    def learn(self, words: list[str]) -> np.ndarray:
-        """Encode new words; returns their numbers."""
+    def learn(self, numbers: np.ndarray, words: list[str]) -> None:
+        """Encode new words and keep their ids under their numbers."""
         parts, pieces, other = [], np.zeros(len(words), np.int64), []
         for i, word in enumerate(words):
             m = _PLAIN.match(word)
@@ -124,20 +118,11 @@ class Encoder:
             size[other] = [len(x) for x in whole]
             begin[other] = self.used + len(plain) + np.cumsum([0, *map(len, whole)])[:-1]
         fresh = np.concatenate([plain, *whole])
-        self.flat, self.at, self.n = (_room(self.flat, self.used + len(fresh)), *(_room(x, len(self.memo) + len(words)) for x in (self.at, self.n)))
+        self.flat = tx.room(self.flat, self.used + len(fresh))
+        self.at, self.n = (tx.room(x, int(numbers[-1]) + 1) for x in (self.at, self.n))
         self.flat[self.used : self.used + len(fresh)] = fresh
         self.used += len(fresh)
-        numbers = np.arange(len(self.memo), len(self.memo) + len(words))
         self.at[numbers], self.n[numbers] = begin, size
-        return numbers
-
-
-def _room(x: np.ndarray, n: int) -> np.ndarray:
-    if n <= len(x):
-        return x
-    out = np.zeros(max(n, 2 * len(x)), x.dtype)
-    out[: len(x)] = x
-    return out
 
 
 def _byte_letters() -> dict[int, str]:

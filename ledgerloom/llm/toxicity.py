@@ -35,7 +35,7 @@ from ledgerloom.llm.store import durable, held_out
 SAMPLE_DOCS, CANDIDATES, ENTRIES = 4_000, 4_000, 500
 STEMS, SCOPE = (4, 5, 6, 7), 4
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
-_MEMO_WORDS = 1_000_000
+_MEMO_WORDS = 500_000
 
 #: Fixed word classes of the grammar, in the languages of the texts.
 THREATS = "kill hurt destroy beat shoot burn töte töten schlagen vernichten tuer tuerai frapper détruire matar mataré golpear destruir".split()
@@ -116,20 +116,16 @@ def clause_scores(classes: list[int], weights: list[float], gaps: list[int], end
 class Lexicon:
     """Class and weight of a word; remembers the words it has met, up to a bound."""
 
-    _last: tuple[str, Lexicon] | None = None
-
     def __init__(self, entries: dict[str, float]):
         self.entries = entries
         heaviest = max(entries.values(), default=1.0)
         self.fixed = {w: (c, heaviest if c == THREAT else 0.0) for c, ws in ((THREAT, THREATS), (TARGET, TARGETS), (NEGATION, NEGATIONS), (REPORT, REPORTS)) for w in ws}
-        self.memo: dict[int, int] = {}
+        self.seen = tx.Numbers(_MEMO_WORDS)
         self.classes, self.weights, self.closes = (np.zeros(1 << 12, k) for k in (np.int8, float, bool))
 
     @classmethod
     def of(cls, name: str, shared) -> Lexicon:
-        if cls._last is None or cls._last[0] != name:
-            cls._last = (name, cls(shared.value))
-        return cls._last[1]
+        return tx.kept(("lexicon", name), lambda: cls(shared.value))
 
     def word(self, token: str) -> tuple[int, float, bool]:
         """(class, weight, whether a clause ends with it) of one white-space token."""
@@ -147,19 +143,14 @@ class Lexicon:
         if not len(w.starts):
             return out
         distinct, where, back = np.unique(tx.hashes(w), return_index=True, return_inverse=True)
-        if len(self.memo) + len(distinct) > _MEMO_WORDS:
-            self.memo = {}
-        known = np.fromiter(map(self.memo.get, distinct.tolist(), [-1] * len(distinct)), np.int64, len(distinct))
-        new = np.flatnonzero(known < 0)
+        if self.seen.full(distinct):
+            self.seen = tx.Numbers(_MEMO_WORDS)
+        known, new = self.seen.of(distinct)
         if len(new):
-            numbers = np.arange(len(self.memo), len(self.memo) + len(new))
-            if len(self.classes) <= numbers[-1]:
-                self.classes, self.weights, self.closes = (np.resize(x, 2 * (int(numbers[-1]) + 1)) for x in (self.classes, self.weights, self.closes))
+            self.classes, self.weights, self.closes = (tx.room(x, int(known[new[-1]]) + 1) for x in (self.classes, self.weights, self.closes))
             raw, s, e = w.data.tobytes(), w.starts[where[new]].tolist(), w.ends[where[new]].tolist()
-            for k, a, b in zip(numbers.tolist(), s, e):
+            for k, a, b in zip(known[new].tolist(), s, e):
                 self.classes[k], self.weights[k], self.closes[k] = self.word(raw[a:b].decode("utf-8", "replace"))
-            known[new] = numbers
-            self.memo.update(zip(distinct[new].tolist(), numbers.tolist()))
         place = known[back]
         kinds = self.classes[place]
         closed = np.concatenate([np.zeros(1, np.int64), np.cumsum(self.closes[place])])

@@ -21,7 +21,7 @@ def clauses(text):
 
     tox.clause_scores = record
     try:
-        tox.Lexicon(LEX).texts(pa.array([text]))
+        tox.Lexicon(LEX).texts(pa.array([text], pa.string()))
     finally:
         tox.clause_scores = original
     return found[0] if found else []
