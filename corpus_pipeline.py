@@ -11,6 +11,7 @@ empty table."""
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,12 +39,19 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def _prepared(stage: Stage) -> Stage:
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        store.on_workers(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES: list[tuple[str, Stage]] = [
-    ("language", language),
-    ("near_duplicates", near_duplicates),
-    ("decontamination", decontamination),
-    ("mix", mix),
-    ("token_ids", token_ids),
+    (stage.__name__, _prepared(stage)) for stage in (language, near_duplicates, decontamination, mix, token_ids)
 ]
 
 #: The language model and the tokenizer can't be said in SQL.
@@ -52,7 +60,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each one's rows are written before the next one reads them."""
-    store.on_workers(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         path = store.new_folder(spark, f"stage-{name}")

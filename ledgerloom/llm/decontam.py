@@ -38,7 +38,7 @@ K1, B = 1.2, 0.75
 #: A term in at most this share of the segments (or in one) is a rarer one.
 RARE = 0.3
 _PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
-_MEMO_WORDS = 500_000
+_MEMO_WORDS = 200_000
 
 
 def terms_of(text: str | None) -> list[bytes]:

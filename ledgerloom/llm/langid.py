@@ -28,11 +28,11 @@ from ledgerloom.llm import text as tx
 from ledgerloom.llm.store import durable, held_out
 
 #: Bounds of the fit: documents per language and entries of the model.
-SAMPLE_DOCS, MODEL_ENTRIES = 2_000, 150_000
+SAMPLE_DOCS, MODEL_ENTRIES = 2_000, 60_000
 LONGEST, PENALTY, FULL_WORDS = 5, 1.0, 40
 UNKNOWN = "und"
 _LETTERS = re.compile(r"[^\W\d_]+")
-_MEMO_WORDS = 500_000
+_MEMO_WORDS = 200_000
 
 
 def _grams(word: str, n: int) -> list[str]:

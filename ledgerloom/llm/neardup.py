@@ -86,6 +86,7 @@ def sketched(docs: DataFrame, size: int) -> DataFrame:
     """(doc_id, n_shingles, f1, f2, sig) of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tx.kept(("shingles",), lambda: None)  # what the worker kept for another operator goes
         with np.errstate(over="ignore"):
             for batch in batches:
                 for part in tx.slices(batch, "text"):
@@ -258,6 +259,7 @@ def full_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
     """(id, shingles) of the documents named by ``ids``, from their whole texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tx.kept(("shingles",), lambda: None)  # what the worker kept for another operator goes
         with np.errstate(over="ignore"):
             for batch in batches:
                 for part in tx.slices(batch, "text"):

@@ -13,9 +13,15 @@ from ledgerloom.sources.durable import checkpoint_dir, durable
 __all__ = ["durable", "held_out", "new_folder", "on_workers", "read_files", "write_files"]
 
 
+BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
+
+
 def on_workers(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver has it. A cluster has it installed; the driver's
-    folder is then only one more place to look in."""
+    """Prepare the session for operators on whole texts: Python workers find this package where the driver has it (on a
+    cluster that has it installed, this is only one more place to look in), and get texts in smaller Arrow batches, as
+    a batch of Spark's default 10,000 long texts takes a worker's memory several times over."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     paths = spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in paths.split(os.pathsep):

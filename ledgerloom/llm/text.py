@@ -149,7 +149,7 @@ def kept(name: tuple, make: Callable[[], object]):
     return _kept[1]
 
 
-def slices(batch: pa.RecordBatch, column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Parts of a batch with at most ``limit`` bytes of text each; a longer text is a part of its own."""
     _, places = text_bytes(batch.column(batch.schema.get_field_index(column)))
     at = 0

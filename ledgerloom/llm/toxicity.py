@@ -35,7 +35,7 @@ from ledgerloom.llm.store import durable, held_out
 SAMPLE_DOCS, CANDIDATES, ENTRIES = 4_000, 4_000, 500
 STEMS, SCOPE = (4, 5, 6, 7), 4
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
-_MEMO_WORDS = 500_000
+_MEMO_WORDS = 200_000
 
 #: Fixed word classes of the grammar, in the languages of the texts.
 THREATS = "kill hurt destroy beat shoot burn töte töten schlagen vernichten tuer tuerai frapper détruire matar mataré golpear destruir".split()

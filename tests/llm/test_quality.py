@@ -55,7 +55,7 @@ def test_features_of_a_batch_are_those_of_its_rows():
     for i, t in enumerate(texts):
         assert np.allclose(together[i], q.text_features(pa.array([t], pa.string()))[0])
     assert not together[1].any() and not together[2].any()
-    assert together[0][2] == 2 / 8 and together[0][4] == 3 / 8
+    assert together[0][2] == 1 / 8 and together[0][4] == 2 / 8
 
 
 def test_odd_rows(spark, docs):
