@@ -13,6 +13,9 @@
    member of the region is compared with all of its pivots.
 5. Components of the confirmed links: in each round every node points to its neighbour that is first in a hashed order,
    and the graph is replaced by its image, until no link is left.
+6. Regions cut in 4 are then compared in full: the members outside the region's largest component are dealt into parts, all
+   its members too, and each part of the ones meets each part of the others in a tile that fits a task. A tile compares on
+   full sets all its pairs that are not connected yet and share no region of an earlier tree; its links complete 5.
 
 A pair of similarity 0.8 shares a region in at least one tree with probability 1 - (1 - 0.8^3)^20 > 0.999999.
 
@@ -228,15 +231,20 @@ def pivot_pairs(parted: DataFrame) -> DataFrame:
     return parted.join(pivots, "region").select("id", "sig", "pivot", "pivot_sig").mapInArrow(near, "a bigint, b bigint").distinct()
 
 
+def _sets_of(block: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The members of all sets of a block, numbered, and where each set begins."""
+    column = block.column("shingles").combine_chunks()
+    column = column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
+    values = np.unique(column.values.to_numpy()[column.offsets[0].as_py() : column.offsets[-1].as_py()], return_inverse=True)[1]
+    return values, column.offsets.to_numpy() - column.offsets[0].as_py()
+
+
 def block_links(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) that join the members of each block into their groups, from all pairs of the block on full sets."""
 
     def confirm(block: pa.Table) -> pa.Table:
         ids = block.column("id").to_numpy()
-        column = block.column("shingles").combine_chunks()
-        column = column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
-        values = np.unique(column.values.to_numpy()[column.offsets[0].as_py() : column.offsets[-1].as_py()], return_inverse=True)[1]
-        at = column.offsets.to_numpy() - column.offsets[0].as_py()
+        values, at = _sets_of(block)
         size, group, mark = np.diff(at), np.arange(len(ids)), np.zeros(len(values) + 1, np.int32)
         links = []
         for i in range(len(ids)):
@@ -255,6 +263,63 @@ def block_links(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return placed.select("block", "id").join(sets, "id").groupBy("block").applyInArrow(confirm, "a bigint, b bigint")
 
 
+def tiles(parted: DataFrame, classes: DataFrame, groups: DataFrame, most: int, cost: int) -> DataFrame:
+    """(region, i, j, late, id, label, sig): the regions in several blocks as tiles of late members and of all members.
+
+    Late is who is not in the region's largest component. A side of a tile has about most / 2 members, and cost / most
+    elements, or one member."""
+    label = F.coalesce("component", "id").alias("label")
+    rows = parted.select("region", "id", "sig").join(classes.select("id", "n_shingles"), "id").join(groups, "id", "left")
+    rows = durable(rows.select("region", "id", "sig", "n_shingles", label))
+    sizes = rows.groupBy("region", "label").agg(F.count("*").alias("_n"), F.sum("n_shingles").alias("_s"))
+    first = F.max(F.struct("_n", "label", "_s")).alias("first")
+    sizes = sizes.groupBy("region").agg(first, F.sum("_n").alias("_n"), F.sum("_s").alias("_s")).filter(F.col("_n") > F.col("first._n"))
+
+    def parts(n, s):
+        return F.greatest(F.ceil(n / max(1, most // 2)), F.ceil(s * most / F.lit(float(cost))), F.lit(1)).cast("int")
+
+    ours, others = parts(F.col("_n") - F.col("first._n"), F.col("_s") - F.col("first._s")), parts(F.col("_n"), F.col("_s"))
+    rows = rows.join(sizes.select("region", F.col("first.label").alias("_first"), ours.alias("_i"), others.alias("_j")), "region")
+    part = F.xxhash64("id", F.lit("tile"))
+    columns = ["region", "i", "j", "late", "id", "label", "sig"]
+    late = rows.filter("label <> _first").withColumns({"late": F.lit(True), "i": F.pmod(part, "_i").cast("int"), "j": F.explode(F.sequence(F.lit(0), F.col("_j") - 1))})
+    every = rows.withColumns({"late": F.lit(False), "j": F.pmod(part, "_j").cast("int"), "i": F.explode(F.sequence(F.lit(0), F.col("_i") - 1))})
+    return late.select(columns).unionByName(every.select(columns))
+
+
+def tile_links(tiled: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that join late members of each tile with members of other groups, from all such pairs on full sets."""
+
+    def confirm(tile: pa.Table) -> pa.Table:
+        ids, late, links = tile.column("id").to_numpy(), tile.column("late").to_numpy(), []
+        sig = _matrix(tile.column("sig").combine_chunks() if tile.column("sig").num_chunks != 1 else tile.column("sig").chunk(0))
+        keys = np.stack([_prefixes(sig, np.full(len(sig), tree), DEPTH) for tree in range(TREES)])
+        tree = int(np.flatnonzero(keys[:, 0] == tile.column("region")[0].as_py())[0])
+        values, at = _sets_of(tile)
+        group, size, mark = np.unique(tile.column("label").to_numpy(), return_inverse=True)[1], np.diff(at), np.zeros(len(values) + 1, np.int32)
+        every = np.flatnonzero(~late)
+        for i in np.flatnonzero(late).tolist():
+            fits = (group[every] != group[i]) & (100 * np.minimum(size[every], size[i]) >= percent * np.maximum(size[every], size[i]))
+            other = every[fits]
+            for k in range(tree):
+                other = other[keys[k, other] != keys[k, i]]  # compared in that tree
+            if not len(other):
+                continue
+            mine = values[at[i] : at[i + 1]]
+            mark[mine] = 1
+            ends = np.cumsum(size[other])
+            both = np.add.reduceat(mark[values[np.repeat(at[other] - (ends - size[other]), size[other]) + np.arange(ends[-1])]], ends - size[other])
+            mark[mine] = 0
+            linked = other[100 * both >= percent * (size[other] + size[i] - both)]
+            found, first = np.unique(group[linked], return_index=True)
+            for g, j in zip(found.tolist(), linked[first].tolist()):
+                links.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
+                group[group == g] = group[i]
+        return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
+
+    return tiled.join(sets, "id").groupBy("region", "i", "j").applyInArrow(confirm, "a bigint, b bigint")
+
+
 def full_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
     """(id, shingles) of the documents named by ``ids``, from their whole texts."""
 
@@ -314,6 +379,10 @@ def near_duplicates(docs: DataFrame, size: int = 4, percent: int = 80, most: int
     needed = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).union(placed.select("id"))
     sets = full_sets(docs, durable(needed.distinct()), size)
     links = confirmed(pairs, sets, percent).union(block_links(placed, sets, percent))
+    if parted is not None:
+        links = durable(links)
+        more = durable(tile_links(tiles(parted, classes, components(links), most, cost), sets, percent))
+        links = links.union(more)
     groups = components(links)
     # only classes with copies or links differ from their documents
     found = classes.join(groups, "id", "left").filter("copies > 1 or component is not null")

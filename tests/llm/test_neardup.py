@@ -74,6 +74,39 @@ def test_large_regions_in_parts(docs):
     assert sum(g != w for g, w in zip(got, want)) <= 2  # a link that only two edited copies share may be lost here
 
 
+def test_no_link_is_lost_between_parts(docs):
+    # pairs that are similar to each other and not to the rest, in one region that is oversized in every tree
+    r = random.Random(5)
+    base, rows = [f"w{i}" for i in range(1_000)], []
+
+    def edit(words, n):
+        words = list(words)
+        for at in r.sample(range(len(words)), n):
+            words[at] = f"x{r.random()}"
+        return words
+
+    for i in range(0, 200, 2):
+        one = edit(base, 3)
+        rows += [(i, " ".join(one)), (i + 1, " ".join(edit(one, 1)))]
+    rows += [(i, " ".join(edit(base, 1))) for i in range(200, 260)]
+    r.shuffle(rows)
+    want = sorted(((i, len(s), c, c == i) for i, s, c in similar(rows, 99)), key=str)
+    assert len({w[2] for w in want}) > 50
+    assert result(docs(rows), percent=99, most=40) == want
+
+
+def similar(rows, percent, k=4):
+    """(id, set, component) over all pairs of rows with words."""
+    sets = {i: shingle_set(t, k) for i, t in rows}
+    top = {i: i for i in sets}
+    for i in sets:
+        for j in sets:
+            if i < j and top[i] != top[j] and 100 * (both := len(sets[i] & sets[j])) >= percent * (len(sets[i]) + len(sets[j]) - both):
+                one, two = sorted((top[i], top[j]))
+                top = {x: one if c == two else c for x, c in top.items()}
+    return [(i, s, top[i]) for i, s in sets.items()]
+
+
 def test_odd_rows(docs):
     long = " ".join(f"q{i % 5000}" for i in range(60_000))
     rows = [
