@@ -1,10 +1,12 @@
 """Benchmark decontamination: every training passage queries a BM25 index of the test items by block-max WAND.
 
-Items are cut into segments of at most SEGMENT words. A document is a sequence of overlapping passages, each at least as
+Items are cut into segments of SEGMENT words; a rest of fewer than TAIL words stays with the segment before. A document is a sequence of overlapping passages, each at least as
 long as two segments less a word, so that a segment's words stand together in one of them. A passage retrieves all
 segments whose BM25 score reaches THRESHOLD of the segment's own score (the score of its own text). A retrieved segment is a
 leak if word triples of the passage cover OVERLAP of the question's and OVERLAP of the answer's triples, or WHOLE of
-all; the answer is a segment's last sentence or line, the rest is the question.
+all; the answer is a segment's last sentence or line, the rest is the question. A part of one or two words is covered if
+the passage has just this word or pair, at most as many words as the segment has from a word triple (word, pair) that the
+passage shares with the other part. An item of one or two words is a leak wherever the passage has them.
 
 Posting lists are in the order of segments and in blocks of BLOCK, with the largest impact of each list and block. First a
 bound over a batch of passages: per passage and segment, the sum of the impacts of rarer terms, plus the largest sum of
@@ -33,7 +35,7 @@ from pyspark.sql import functions as F
 from ledgerloom.llm import text as tx
 
 THRESHOLD, OVERLAP, WHOLE = 0.5, 0.5, 0.7
-SEGMENT, BLOCK, SHARD_BYTES = 256, 16, 8 << 20
+SEGMENT, TAIL, BLOCK, SHARD_BYTES = 256, 8, 16, 8 << 20
 K1, B = 1.2, 0.75
 #: A term in at most this share of the segments (or in one) is a rarer one.
 RARE = 0.3
@@ -49,6 +51,27 @@ def _triples(ids: list[int]) -> set[tuple]:
     return {tuple(ids[i : i + 3]) for i in range(len(ids) - 2)} if len(ids) > 2 else ({tuple(ids)} if ids else set())
 
 
+def _places(part: set[tuple], ids: list[int]) -> list[int]:
+    """Where the word groups of a part, all of one length, stand."""
+    n = len(next(iter(part)))
+    return [i for i in range(len(ids) - n + 1) if tuple(ids[i : i + n]) in part]
+
+
+def covered(parts: tuple[set, set, set], ids: list[int], triples: set[tuple]) -> list[float]:
+    """The shares of a segment's question, answer and whole in a passage of these words and triples."""
+    shares, reach = [], len(parts[2]) + 2
+    for part, other in zip(parts, (parts[1], parts[0], set())):
+        if not part or len(next(iter(part))) > 2:
+            shares.append(len(part & triples) / len(part) if part else 1.0)
+            continue
+        found = _places(part, ids)
+        if found and other:
+            beside = _places(other, ids)
+            found = [i for i in found if any(abs(i - j) <= reach for j in beside)]
+        shares.append(float(bool(found)))
+    return shares
+
+
 def question_and_answer(text: str) -> tuple[str, str]:
     """An item's answer is what follows its last line or sentence end; a text of one sentence is a question only."""
     body = text.rstrip()
@@ -69,11 +92,12 @@ class Index:
         for item_id, text in items:
             question, answer = ([self.terms.setdefault(t, len(self.terms)) for t in terms_of(x)] for x in question_and_answer(text))
             ids = question + answer
-            for at in range(0, len(ids), SEGMENT):
-                q, a = ids[at : min(at + SEGMENT, len(question))], ids[max(at, len(question)) : at + SEGMENT]
+            for at in range(0, max(len(ids) - TAIL + 1, min(1, len(ids))), SEGMENT):
+                end = at + SEGMENT if len(ids) - at - SEGMENT >= TAIL else len(ids)
+                q, a = ids[at : min(end, len(question))], ids[max(at, len(question)) : end]
                 self.items.append(item_id)
-                self.parts.append((_triples(q), _triples(a), _triples(ids[at : at + SEGMENT])))
-                bags.append(Counter(ids[at : at + SEGMENT]))
+                self.parts.append((_triples(q), _triples(a), _triples(ids[at:end])))
+                bags.append(Counter(ids[at:end]))
         n, lengths = len(bags), [sum(b.values()) for b in bags]
         self.longest, mean = max(lengths, default=1), sum(lengths) / max(1, n)
         df = Counter(t for b in bags for t in b)
@@ -197,9 +221,10 @@ class Index:
                 continue
             r = int(np.searchsorted(base, q, "right")) - 1
             start = int(first[r] + (q - base[r]) * step)
-            triples = _triples(term[start : min(start + 2 * step, int(first[r + 1]))].tolist())
+            ids = term[start : min(start + 2 * step, int(first[r + 1]))].tolist()
+            triples = _triples(ids)
             for segment, score in found:
-                question, answer, whole = (len(x & triples) / len(x) if x else 1.0 for x in self.parts[segment])
+                question, answer, whole = covered(self.parts[segment], ids, triples)
                 if ((question >= OVERLAP and answer >= OVERLAP) or whole >= WHOLE) and (r, segment) not in seen:
                     seen.add((r, segment))
                     yield r, self.items[segment], score, question, answer

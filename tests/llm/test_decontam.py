@@ -60,6 +60,34 @@ def test_no_passage_is_left_out_by_the_first_bound(seed):
     assert got == want
 
 
+def test_edited_copies_of_items_with_short_answers():
+    question = [f"q{i}" for i in range(20)]
+    edited = [w if i not in (4, 10, 16) else f"z{i}" for i, w in enumerate(question)]
+    items = [(n, " ".join(f"{w}n{n}" for w in question) + "? " + " ".join(f"{w}{n}" for w in ("paris", "france", "europe")[:n])) for n in (1, 2, 3)]
+    texts, want = [], set()
+    for n, item in items:
+        answer = item.split("? ")[1].split()
+        copy = [w if w[0] == "z" else f"{w}n{n}" for w in edited]
+        for tail in (answer, ["so", "then", *answer], answer[::-1], ["nothing"], ["x"] * 500 + answer):
+            # words in plain lists: at least half of the question's triples, and the answer as it is within the item's length
+            body = ["before", "it", *copy, *tail, "after"]
+            both = [copy[i : i + 3] == [f"{w}n{n}" for w in question[i : i + 3]] for i in range(18)]
+            beside = any(body[i : i + n] == answer for i in range(22 + 20 + n))
+            if sum(both) >= 9 and beside:
+                want.add((len(texts), n))
+            texts.append(" ".join(body))
+    found = list(dc.Index(items).texts(pa.array(texts)))
+    assert {(row, item) for row, item, *_ in found} == want
+    assert {item for _, item in want} == {1, 2, 3} and (2, 1) in want and (7, 2) not in want
+
+
+def test_short_items_and_rests_of_long_ones():
+    long = " ".join(f"t{i}" for i in range(256)) + " the end"
+    index = dc.Index([(1, "Capital? Paris"), (2, "one"), (3, long), (4, ""), (5, "?!")])
+    texts = ["the capital was, then, Paris", "capital " + "x " * 9 + "paris", "no one here", "one", "the end", "a capital", long]
+    assert {(row, item) for row, item, *_ in index.texts(pa.array(texts))} == {(0, 1), (2, 2), (3, 2), (6, 3)}
+
+
 def test_leaks_odd_rows_and_shards(spark, docs):
     item = "What is the tallest mountain of the northern continent? Mount Everlong the third"
     items = [(1, item), (2, None), (3, ""), (4, "Short one"), (5, item), (None, "a question without an id\nanswer here now"), (6, "..."), (7, " ".join(f"t{i}" for i in range(900)))]
