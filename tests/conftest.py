@@ -5,7 +5,6 @@ import pytest
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
-SF = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
@@ -24,8 +23,3 @@ def spark():
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
-
-
-def rows(df, *order):
-    """Rows as sorted tuples."""
-    return sorted([tuple(r) for r in df.collect()], key=lambda r: tuple((x is not None, str(x)) for x in r))

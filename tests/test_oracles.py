@@ -1,7 +1,7 @@
 """Every registered query against its SQL, and the shape of the plans that matter at scale."""
 
 import pytest
-from conftest import SF
+from tests.helpers import SF
 from pyspark.sql import DataFrameWriter
 
 from ledgerloom.operators import engine as en

@@ -1,6 +1,6 @@
 import datetime as dt
 
-from conftest import SF, rows
+from tests.helpers import SF, rows
 from pyspark.sql import functions as F
 
 from ledgerloom.plans import publish, views

@@ -380,7 +380,7 @@ def with_ctes(names: list[str], body: str, more: dict[str, str] | None = None) -
         for need in [*_NEEDS.get(n, []), n]:
             if need not in wanted:
                 wanted.append(need)
-    parts = [f"{n} AS ({CTES[n]})" for n in wanted] + [f"{n} AS ({q})" for n, q in (more or {}).items()]
+    parts = [f"{n} AS MATERIALIZED ({CTES[n]})" for n in wanted] + [f"{n} AS MATERIALIZED ({q})" for n, q in (more or {}).items()]
     return (f"WITH {', '.join(parts)} " if parts else "") + body
 
 
