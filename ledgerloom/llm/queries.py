@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from functools import wraps
 
-from ledgerloom.llm import decontam, langid, mixing, nearest, neardup, quality, secrets, store, tokens, toxicity, warc
+from ledgerloom.llm import decontam, langid, mixing, nearest, neardup, quality, secrets, sharding, store, tokens, toxicity, warc
 
-_MODULES = (langid, warc, tokens, quality, neardup, decontam, nearest, toxicity, secrets, mixing)
+_MODULES = (langid, warc, tokens, quality, neardup, decontam, nearest, toxicity, secrets, mixing, sharding)
 
 
 def _ready(query):
