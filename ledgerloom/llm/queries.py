@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from functools import wraps
 
-from ledgerloom.llm import decontam, langid, mixing, nearest, neardup, quality, secrets, sharding, store, tokens, toxicity, warc, whitening
+from ledgerloom.llm import decontam, dialogue, langid, mixing, nearest, neardup, quality, secrets, sharding, store, tokens, toxicity, warc, whitening
 
-_MODULES = (langid, warc, tokens, quality, neardup, decontam, nearest, toxicity, secrets, mixing, sharding, whitening)
+_MODULES = (langid, warc, tokens, quality, neardup, decontam, nearest, toxicity, secrets, mixing, dialogue, sharding, whitening)
 
 
 def _ready(query):

@@ -30,6 +30,7 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.sqltext import CRC_TABLE_SQL, crc32_sql
 from ledgerloom.llm.store import durable
 from ledgerloom.operators.numbering import global_row_number
 
@@ -155,19 +156,12 @@ def _descent_sql(shards: int, out: str) -> str:
     return ", ".join([*steps, f"{out} AS (SELECT key, split_part(node, ':', 4)::INTEGER AS shard FROM {before})"])
 
 
-#: crc32 byte by byte, each through the 256-entry table that eight shifts give.
-_CRC_SQL = """list_reduce(list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(hex(encode(body)), '..'), lambda x: ('0x' || x)::BIGINT)),
-    lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1]))"""
-
 SHARDING_SQL = f"""
-WITH RECURSIVE bits AS (
-  SELECT i, 0 AS k, i::BIGINT AS c FROM range(256) t(i)
-  UNION ALL SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM bits WHERE k < 8
-), crc_table AS (SELECT list(c ORDER BY i) AS steps FROM bits WHERE k = 8),
+WITH RECURSIVE {CRC_TABLE_SQL},
 rows AS (SELECT doc_id, coalesce(doc_id::VARCHAR, '') AS key, coalesce(text, '') AS body FROM documents),
 keys AS (SELECT DISTINCT key FROM rows), {_descent_sql(BASE, 'now')}, {_descent_sql(BASE + 1, 'later')},
 full_rows AS (
-  SELECT r.doc_id, octet_length(encode(body))::BIGINT + {OVERHEAD} AS size, xor({_CRC_SQL}, 4294967295)::BIGINT AS text_crc32, now.shard, later.shard AS grown_shard
+  SELECT r.doc_id, octet_length(encode(body))::BIGINT + {OVERHEAD} AS size, {crc32_sql('body')} AS text_crc32, now.shard, later.shard AS grown_shard
   FROM rows r JOIN now USING (key) JOIN later USING (key), crc_table
 )
 SELECT doc_id, size, text_crc32, 'key' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, text_crc32, size) - 1 AS slot, grown_shard
