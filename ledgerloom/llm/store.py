@@ -43,8 +43,8 @@ def write_files(chunks: DataFrame, path: str) -> None:
     text.write.option("maxRecordsPerFile", 1).option("lineSep", "\0").text(path)
 
 
-def read_files(spark: SparkSession, path: str) -> DataFrame:
-    """The files of ``write_files`` as rows (path, content)."""
+def read_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """The files of ``write_files``, or a list of them, as rows (path, content)."""
     return spark.read.format("binaryFile").load(path).select("path", "content").filter(F.length("content") > 1)
 
 

@@ -1,8 +1,11 @@
 """Token-ID files: documents in ascending id order, each compressed by itself with one shared zstandard dictionary.
 
 A file holds a header (place in the order, counts, SHA-256 of the dictionary), one zstandard frame per document, and an
-index (id, offset, length, tokens) at its end, so that a short document is read without touching the others. The
-dictionary is trained on a bounded sample of serialized id arrays and stored beside the files.
+index (id, offset, length, tokens) at its end. The dictionary is trained on a bounded sample of serialized id arrays and
+stored beside the files, as is a table of the files (path, place, smallest and largest id, tokens in front): so a short
+document is read from the files that can hold it and without touching other documents.
+
+Documents are encoded and compressed where they are read; only frames are put in order and packed into files.
 
 Texts are encoded by the ``tokenizers`` library. If the tokenizer drops white space and splits before anything else (its
 file says so), a text's ids are those of its words one after another; then each distinct word is encoded once per worker
@@ -27,6 +30,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from ledgerloom.llm import text as tx
 from ledgerloom.llm.store import durable, new_folder, partitions_for, read_files, write_files
@@ -34,7 +38,7 @@ from ledgerloom.llm.store import durable, new_folder, partitions_for, read_files
 MAGIC = b"IDFRAMES"
 HEADER = np.dtype([("magic", "S8"), ("part", "<i4"), ("chunk", "<i4"), ("docs", "<u8"), ("tokens", "<u8"), ("index", "<u8"), ("width", "<u1"), ("dictionary", "S64")])
 INDEX = np.dtype([("doc_id", "<i8"), ("null_id", "?"), ("offset", "<u8"), ("length", "<u8"), ("tokens", "<u8")])
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 2 << 20
 #: Bounds of the sample that the dictionary is trained on, and the dictionary's size.
 SAMPLE_DOCS, SAMPLE_IDS, DICTIONARY_BYTES = 500, 16_384, 32 << 10
 _MEMO_WORDS = 500_000
@@ -50,22 +54,20 @@ class Encoder:
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
-        from tokenizers.pre_tokenizers import WhitespaceSplit
 
-        self.full = Tokenizer.from_file(path)
+        self.tokenizer = Tokenizer.from_file(path)
+        self.steps = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         kinds = [x["type"] for x in (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])]
         split = spec["pre_tokenizer"]["pretokenizers"][0] if kinds == ["Split", "ByteLevel"] else {}
         steps = [x["type"] for x in (spec.get("normalizer") or {}).get("normalizers", [])]
         self.by_word = split.get("behavior") == "Removed" and split.get("invert") is True and steps == ["NFC", "Replace", "Lowercase"]
-        self.size = self.full.get_vocab_size(with_added_tokens=True)
+        self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.forget()
         if self.by_word:
-            self.bare = Tokenizer.from_file(path)
-            self.bare.normalizer, self.bare.pre_tokenizer = None, WhitespaceSplit()
             self.last = np.zeros(self.size, bool)
-            self.last[[i for t, i in self.full.get_vocab().items() if t.endswith("</w>")]] = True
+            self.last[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
             self.letters = str.maketrans({chr(c): "".join(_byte_letters()[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)})
 
     def forget(self) -> None:
@@ -76,7 +78,7 @@ class Encoder:
     def texts(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a column of texts and where each row's begin (one place more than rows)."""
         if not self.by_word:
-            ids = [np.array(e.ids, np.uint32) for e in self.full.encode_batch([t or "" for t in column.to_pylist()], add_special_tokens=False)]
+            ids = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch([t or "" for t in column.to_pylist()], add_special_tokens=False)]
             return np.concatenate([np.zeros(0, np.uint32), *ids]), np.cumsum([0, *map(len, ids)])
         w = tx.words(column)
         if not len(w.starts):
@@ -108,12 +110,12 @@ class Encoder:
             else:
                 other.append(i)
         lines = [" ".join(parts[i : i + 1000]) for i in range(0, len(parts), 1000)]
-        coded = [np.array(e.ids, np.uint32) for e in self.bare.encode_batch_fast(lines, add_special_tokens=False)] if lines else []
+        coded = self.encoded(lines, bare=True)
         plain = np.concatenate([np.zeros(0, np.uint32), *coded])
         bounds = np.concatenate([np.zeros(1, np.int64), np.flatnonzero(self.last[plain]) + 1])
         ends = np.cumsum(pieces)
         begin, size = self.used + bounds[ends - pieces], bounds[ends] - bounds[ends - pieces]
-        whole = [np.array(e.ids, np.uint32) for e in self.full.encode_batch_fast([words[i] for i in other], add_special_tokens=False)] if other else []
+        whole = self.encoded([words[i] for i in other])
         if other:
             size[other] = [len(x) for x in whole]
             begin[other] = self.used + len(plain) + np.cumsum([0, *map(len, whole)])[:-1]
@@ -124,6 +126,15 @@ class Encoder:
         self.used += len(fresh)
         self.at[numbers], self.n[numbers] = begin, size
 
+    def encoded(self, texts: list[str], bare: bool = False) -> list[np.ndarray]:
+        """Ids of texts; ``bare`` splits at spaces and does nothing else to them."""
+        from tokenizers.pre_tokenizers import WhitespaceSplit
+
+        if not texts:
+            return []
+        self.tokenizer.normalizer, self.tokenizer.pre_tokenizer = (None, WhitespaceSplit()) if bare else self.steps
+        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
 
 def _byte_letters() -> dict[int, str]:
     """The printable letter that stands for a byte in byte-level vocabularies: itself where printable, else from U+0100 on."""
@@ -175,8 +186,17 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2) ->
     write_files(spark.createDataFrame([(bytearray(dictionary),)], "dictionary binary"), f"{path}/dictionary")
 
     def encode(batches):
-        part, chunk = TaskContext.get().partitionId(), 0
         packer = zstandard.ZstdCompressor(level=3, **_compression(dictionary))
+        encoder = Encoder.of(tokenizer)
+        for batch in batches:
+            for part in tx.slices(batch, "text"):
+                ids, at = encoder.texts(part.column("text"))
+                own = [np.append(ids[a:b], np.uint32(end_id)).astype(f"<u{width}") for a, b in zip(at[:-1], at[1:])]
+                columns = [pa.array([len(x) for x in own], pa.int64()), pa.array([packer.compress(x.tobytes()) for x in own], pa.binary())]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("hash"), *columns], ["doc_id", "hash", "tokens", "frame"])
+
+    def pack(batches):
+        part, chunk = TaskContext.get().partitionId(), 0
         frames, index, size = [], [], 0
 
         def file():
@@ -186,23 +206,57 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2) ->
             data = b"".join([head.tobytes(), *frames, np.array(index, INDEX).tobytes()])
             return pa.RecordBatch.from_arrays([pa.array([data], pa.binary())], ["file"])
 
-        for doc_id, ids in _id_arrays(batches, tokenizer, end_id):
-            frame = packer.compress(ids.astype(f"<u{width}").tobytes())
-            index.append((doc_id or 0, doc_id is None, HEADER.itemsize + size, len(frame), len(ids)))
-            frames.append(frame)
-            size += len(frame)
-            if size >= CHUNK_BYTES:
-                yield file()
-                frames, index, size, chunk = [], [], 0, chunk + 1
+        for batch in batches:
+            for doc_id, tokens, frame in zip(batch.column("doc_id").to_pylist(), batch.column("tokens").to_pylist(), batch.column("frame")):
+                frame = frame.as_py()
+                index.append((doc_id or 0, doc_id is None, HEADER.itemsize + size, len(frame), tokens))
+                frames.append(frame)
+                size += len(frame)
+                if size >= CHUNK_BYTES:
+                    yield file()
+                    frames, index, size, chunk = [], [], 0, chunk + 1
         if index:
             yield file()
 
-    order = [F.col("doc_id").asc_nulls_first(), F.col("_hash")]
-    placed = docs.withColumn("_hash", F.xxhash64("text")).repartitionByRange(partitions_for(docs), *order).sortWithinPartitions(*order)
-    write_files(placed.select("doc_id", "text").mapInArrow(encode, "file binary"), f"{path}/ids")
+    hashed = docs.select("doc_id", F.xxhash64("text").alias("hash"), "text")
+    rows = durable(hashed.mapInArrow(encode, "doc_id bigint, hash bigint, tokens bigint, frame binary"))
+    # the place in the stored table, so that equal rows need not go to one task
+    rows = rows.withColumn("at", F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index")))
+    order = [F.col("doc_id").asc_nulls_first(), F.col("hash"), F.col("at")]
+    placed = rows.repartitionByRange(partitions_for(docs), *order).sortWithinPartitions(*order)
+    write_files(placed.select("doc_id", "tokens", "frame").mapInArrow(pack, "file binary"), f"{path}/ids")
+    _write_list(spark, path)
     return digest
 
 
+def _write_list(spark: SparkSession, path: str) -> None:
+    """Store the table of files: path, smallest and largest id, whether a null id is in it, tokens of all files before it."""
+
+    def look(batches):
+        for batch in batches:
+            for name, content in zip(batch.column("path").to_pylist(), batch.column("content")):
+                head, index = _open(memoryview(content.as_buffer()))
+                ids = index["doc_id"][~index["null_id"]]
+                yield pa.RecordBatch.from_pylist(
+                    [{
+                        "path": name, "part": int(head["part"]), "chunk": int(head["chunk"]), "tokens": int(head["tokens"]), "nulls": bool(index["null_id"].any()),
+                        "least": int(ids.min()) if len(ids) else None, "most": int(ids.max()) if len(ids) else None,
+                    }],
+                    kinds,
+                )
+
+    kinds = pa.schema([("path", pa.string()), ("part", pa.int32()), ("chunk", pa.int32()), ("tokens", pa.int64()), ("nulls", pa.bool_()), ("least", pa.int64()), ("most", pa.int64())])
+    found = read_files(spark, f"{path}/ids").mapInArrow(look, "path string, part int, chunk int, tokens bigint, nulls boolean, least bigint, most bigint")
+    listed = durable(found)
+    # one sum per range partition goes to the driver; within one, files add up in their order
+    sums = {r["part"]: r["n"] for r in listed.groupBy("part").agg(F.sum("tokens").alias("n")).collect()}
+    starts = dict(zip(sorted(sums), accumulate([0, *(sums[p] for p in sorted(sums))])))
+    table = spark.createDataFrame(list(starts.items())[: len(sums)], "part int, start bigint")
+    within = F.sum("tokens").over(W.partitionBy("part").orderBy("chunk").rowsBetween(W.unboundedPreceding, -1))
+    before = F.col("start") + F.coalesce(within, F.lit(0))
+    listed.join(table, "part").select("path", "least", "most", "nulls", before.alias("before")).write.parquet(f"{path}/files")
+
+
 def _open(content: bytes) -> tuple[np.ndarray, np.ndarray]:
     head = np.frombuffer(content, HEADER, 1)[0]
     if head["magic"] != MAGIC:
@@ -220,7 +274,7 @@ def _frames(batches, dictionary: bytes, wanted: set[int] | None = None):
     unpacker = zstandard.ZstdDecompressor(**_compression(dictionary))
     digest = hashlib.sha256(dictionary).hexdigest().encode()
     for batch in batches:
-        for content in batch.column("content"):
+        for name, content in zip(batch.column("path").to_pylist(), batch.column("content")):
             view = memoryview(content.as_buffer())
             head, index = _open(view)
             if head["dictionary"] != digest:
@@ -229,43 +283,49 @@ def _frames(batches, dictionary: bytes, wanted: set[int] | None = None):
             for start, row in zip(starts.tolist(), index.tolist()):
                 if wanted is None or (not row[1] and row[0] in wanted):
                     raw = unpacker.decompress(view[row[2] : row[2] + row[3]], max_output_size=row[4] * int(head["width"]))
-                    yield head, row, start, np.frombuffer(raw, f"<u{head['width']}")
+                    yield name, row, start, np.frombuffer(raw, f"<u{head['width']}")
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document, from the files."""
     dictionary = _dictionary(spark, path)
-    names = ["part", "chunk", "doc_id", "offset", "n_tokens", "ids_crc32"]
-    schema = "part int, chunk int, doc_id bigint, offset bigint, n_tokens bigint, ids_crc32 bigint"
+    names = ["path", "doc_id", "offset", "n_tokens", "ids_crc32"]
+    kinds = pa.schema([("path", pa.string()), *((n, pa.int64()) for n in names[1:])])
 
     def parse(batches):
         rows: list[tuple] = []
-        for head, row, start, ids in _frames(batches, dictionary):
-            rows.append((int(head["part"]), int(head["chunk"]), None if row[1] else row[0], start, row[4], zlib.crc32(ids.astype("<u4").tobytes())))
+        for name, row, start, ids in _frames(batches, dictionary):
+            rows.append((name, None if row[1] else row[0], start, row[4], zlib.crc32(ids.astype("<u4").tobytes())))
             if len(rows) == 10_000:
                 yield pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in rows], kinds)
                 rows = []
         if rows:
             yield pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in rows], kinds)
 
-    kinds = pa.schema([("part", pa.int32()), ("chunk", pa.int32()), *((n, pa.int64()) for n in names[2:])])
-    rows = durable(read_files(spark, f"{path}/ids").select("content").mapInArrow(parse, schema))
-    # one sum per file goes to the driver, never rows
-    sums = sorted((r["part"], r["chunk"], r["n"]) for r in rows.groupBy("part", "chunk").agg(F.sum("n_tokens").alias("n")).collect())
-    before = [0, *accumulate(n for _, _, n in sums)]
-    files = spark.createDataFrame([(p, c, b) for (p, c, _), b in zip(sums, before)], "part int, chunk int, before bigint")
-    return rows.join(files, ["part", "chunk"]).select("doc_id", (F.col("before") + F.col("offset")).alias("start"), "n_tokens", "ids_crc32")
+    rows = read_files(spark, f"{path}/ids").mapInArrow(parse, "path string, doc_id bigint, offset bigint, n_tokens bigint, ids_crc32 bigint")
+    files = spark.read.parquet(f"{path}/files").select("path", "before")
+    return rows.join(files, "path").select("doc_id", (F.col("before") + F.col("offset")).alias("start"), "n_tokens", "ids_crc32")
 
 
 def fetch(spark: SparkSession, path: str, doc_ids: list[int]) -> DataFrame:
-    """(doc_id, ids) of a short list of documents: only their frames are decompressed."""
+    """(doc_id, ids) of a short list of documents: only files that can hold them are read, only their frames decompressed."""
     dictionary, wanted = _dictionary(spark, path), set(doc_ids)
 
     def parse(batches):
         for _, row, _, ids in _frames(batches, dictionary, wanted):
             yield pa.RecordBatch.from_arrays([pa.array([row[0]]), pa.array([ids.tolist()], pa.list_(pa.int64()))], ["doc_id", "ids"])
 
-    return read_files(spark, f"{path}/ids").select("content").mapInArrow(parse, "doc_id bigint, ids array<bigint>")
+    files = files_with(spark, path, doc_ids)
+    content = read_files(spark, files) if files else spark.createDataFrame([], "path string, content binary")
+    return content.mapInArrow(parse, "doc_id bigint, ids array<bigint>")
+
+
+def files_with(spark: SparkSession, path: str, doc_ids: list[int]) -> list[str]:
+    """The files whose range of ids holds one of a short list of ids."""
+    held = F.lit(False)
+    for i in sorted(set(doc_ids)):
+        held = held | F.lit(i).between(F.col("least"), F.col("most"))
+    return [r["path"] for r in spark.read.parquet(f"{path}/files").filter(held).select("path").collect()]
 
 
 def tokenized(docs: DataFrame, tokenizer: str | None = None, end_id: int = 2) -> DataFrame:
