@@ -37,7 +37,7 @@ from ledgerloom.llm import text as tx
 THRESHOLD, OVERLAP, WHOLE = 0.5, 0.5, 0.7
 SEGMENT, TAIL, BLOCK, SHARD_BYTES = 256, 8, 16, 8 << 20
 K1, B = 1.2, 0.75
-#: A term in at most this share of the segments (or in one) is a rarer one.
+#: A term in at most this part of the segments (or in one) is a rarer one.
 RARE = 0.3
 _PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _MEMO_WORDS = 200_000

@@ -4,34 +4,37 @@ The model holds, per language, the log frequency of the words met in labelled te
 words. A word of a text that any language knows is scored by its word frequencies. An unknown word is scored by the mean
 over its n-grams of the longest length at which any of them is known, starting at 5 letters and getting shorter down to
 1. A language that does not know a word or n-gram gets a penalty a little under its rarest entry. A text's score per
-language is the mean over its words; the score returned is the share of the best language in exp(sum over at most 40
-words' worth of that mean), from 0 to 1.
+language is the mean over its words; the score returned is the part of the best language in the sum of exp(at most 40 words'
+worth of that mean) over all languages, from 0 to 1.
 
-Words are maximal runs of letters, lower-cased. A text that is null, empty or without letters gets ``und`` and 0, as does
+Words are maximal runs of letters (Unicode category L, so neither digits nor fractions, superscripts or Roman numerals),
+lower-cased. A text that is null, empty or without letters gets ``und`` and 0, as does
 every text if nothing could be learned. Ties go to the language that is first by code point. The model is fitted on a
-bounded sample of labelled rows (SAMPLE_DOCS per language, chosen by a hash of the id) and keeps at most MODEL_ENTRIES
-words and n-grams, the most frequent ones; it is then applied to all whole texts. Only text and label are read."""
+bounded sample of labelled rows (SAMPLE_DOCS per language, chosen by a hash of the id) and keeps, of each language, the QUOTA
+most frequent words and as many n-grams of each length, so that a language has its entries whatever the others have; it is
+then applied to all whole texts. Only text and label are read."""
 
 from __future__ import annotations
 
 import math
-import re
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from ledgerloom.llm import text as tx
 from ledgerloom.llm.store import durable, held_out
 
-#: Bounds of the fit: documents per language and entries of the model.
-SAMPLE_DOCS, MODEL_ENTRIES = 2_000, 60_000
+#: Bounds of the fit: documents per language, and entries of a language's words and of its n-grams of one length.
+SAMPLE_DOCS, QUOTA = 2_000, 2_500
 LONGEST, PENALTY, FULL_WORDS = 5, 1.0, 40
 UNKNOWN = "und"
-_LETTERS = re.compile(r"[^\W\d_]+")
+_LETTERS = regex.compile(r"\p{L}+")
 _MEMO_WORDS = 200_000
 
 
@@ -40,10 +43,10 @@ def _grams(word: str, n: int) -> list[str]:
     return [padded[i : i + n] for i in range(len(padded) - n + 1)] if n > 1 else list(word)
 
 
-def fit(labelled: DataFrame, docs_per_language: int = SAMPLE_DOCS, entries: int = MODEL_ENTRIES) -> dict[str, dict[str, tuple]]:
+def fit(labelled: DataFrame, docs_per_language: int = SAMPLE_DOCS, quota: int = QUOTA) -> dict[str, dict[str, tuple]]:
     """Model from (doc_id, text, lang): {"languages": names, "w": {word: scores}, "1".."5": {n-gram: scores}}.
 
-    Counting runs in Spark; what comes to the driver is the bounded table of the most frequent entries."""
+    Counting runs in Spark; what comes to the driver is the table of each language's most frequent entries."""
     rows = labelled.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
     sizes = durable(rows.groupBy("lang").agg(F.count("*").alias("n")))  # stored: Spark knows that it is small
     mark = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("language sample")), F.lit(1 << 40))
@@ -67,7 +70,8 @@ def fit(labelled: DataFrame, docs_per_language: int = SAMPLE_DOCS, entries: int
     table = counts.mapInArrow(entries_of, "lang string, kind string, entry string, n bigint").groupBy("lang", "kind", "entry").agg(F.sum("n").alias("n"))
     table = durable(table.filter("n > 1 or kind <> 'w'"))
     totals = {(r["lang"], r["kind"]): r["n"] for r in table.groupBy("lang", "kind").agg(F.sum("n").alias("n")).collect()}
-    kept = table.orderBy(F.col("n").desc(), "kind", "entry", "lang").limit(entries).toArrow().to_pydict()
+    rank = F.row_number().over(W.partitionBy("lang", "kind").orderBy(F.col("n").desc(), "entry"))
+    kept = table.withColumn("rank", rank).filter(F.col("rank") <= quota).drop("rank").toArrow().to_pydict()
     languages = sorted({lang for lang, _ in totals})
     place = {lang: i for i, lang in enumerate(languages)}
     model: dict = {"languages": languages, "w": {}, **{str(k): {} for k in range(1, LONGEST + 1)}}
@@ -77,7 +81,7 @@ def fit(labelled: DataFrame, docs_per_language: int = SAMPLE_DOCS, entries: int
         model[kind].setdefault(entry, {})[place[lang]] = score
         rarest[lang, kind] = min(score, rarest.get((lang, kind), 0.0))
     for kind in ("w", *map(str, range(1, LONGEST + 1))):
-        miss = [rarest.get((lang, kind), -math.log(1 + entries)) - PENALTY for lang in languages]
+        miss = [rarest.get((lang, kind), -math.log(1 + quota)) - PENALTY for lang in languages]
         # one miss value for all languages: a small language's rarest entry is no evidence for it
         miss = [min(miss, default=0.0)] * len(languages)
         model[kind] = {e: tuple(s.get(i, miss[i]) for i in range(len(languages))) for e, s in model[kind].items()}
@@ -152,7 +156,7 @@ def decide(sums: np.ndarray, languages: list[str]) -> tuple[list[str], np.ndarra
 
 def predicted(docs: DataFrame, model: dict) -> DataFrame:
     """``docs`` with lang_pred and score appended (they replace columns of these names)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most MODEL_ENTRIES entries
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most 6 * QUOTA entries per language
     name = uuid.uuid4().hex
     keep = [c for c in docs.columns if c.lower() not in ("lang_pred", "score")]
 

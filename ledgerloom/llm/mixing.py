@@ -7,7 +7,7 @@ budget takes a subset of what a larger one takes.
 
 A source is taken 0, 1 or 2 times in whole (the whole part of target / size); the threshold chooses the documents taken
 once more. The document on the threshold is taken if that comes nearer to the target, so a source misses its target by
-at most half a document (or half a set of rows with one id and text, which share a hash).
+at most half a document (or half a set of rows with one id and text, which have one hash).
 
 Null text is of size 0, a null source is a source of its own and the last one, an empty table gives an empty result.
 Other columns of the input, whatever their names, are kept by ``mixed`` and not looked at."""
@@ -50,8 +50,8 @@ def measured(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source
     )
 
 
-def targets(rows: DataFrame, weights: Sequence[float], share: float, most: float) -> DataFrame:
-    """(source, source_size, target): ``share`` of all sizes split by weight, none above ``most`` times its size.
+def targets(rows: DataFrame, weights: Sequence[float], portion: float, most: float) -> DataFrame:
+    """(source, source_size, target): ``portion`` of all sizes split by weight, none above ``most`` times its size.
 
     The level (target per unit of weight) rises until no source that is not full wants more than its limit. Each step
     is one sum over the sources' table; it ends when no further source becomes full."""
@@ -67,7 +67,7 @@ def targets(rows: DataFrame, weights: Sequence[float], share: float, most: float
     total = table.agg(F.sum("source_size"), F.sum("weight")).first()
     if total[0] is None:
         return table.select("source", "source_size", F.lit(0.0).alias("target"))
-    wanted = float(share) * total[0]
+    wanted = float(portion) * total[0]
     level, full_before = wanted / total[1], -1
     while True:
         full = F.col("most") <= F.col("weight") * F.lit(level)
@@ -120,9 +120,9 @@ def thresholds(rows: DataFrame, goal: DataFrame) -> DataFrame:
     return durable(result.select("source", "source_size", "target", "whole", below.alias("below")))
 
 
-def plan(rows: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, most: float = 2) -> DataFrame:
+def plan(rows: DataFrame, weights: Sequence[float] = (5, 2, 1), portion: float = 1.5, most: float = 2) -> DataFrame:
     """Thresholds of each source for the measured rows; a stored table with one row per source."""
-    return thresholds(rows, targets(rows, weights, share, most))
+    return thresholds(rows, targets(rows, weights, portion, most))
 
 
 def applied(rows: DataFrame, limits: DataFrame, source: str | Column = "source", key: str = "hash") -> DataFrame:
@@ -135,9 +135,9 @@ def applied(rows: DataFrame, limits: DataFrame, source: str | Column = "source",
     return joined.withColumn("copies", copies.cast("bigint")).drop("_source", "whole", "below")
 
 
-def mixed(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, most: float = 2) -> DataFrame:
+def mixed(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), portion: float = 1.5, most: float = 2) -> DataFrame:
     """The documents of the mix: a document taken twice is there twice. Columns stay as they are."""
-    limits = plan(measured(docs), weights, share, most).select(
+    limits = plan(measured(docs), weights, portion, most).select(
         F.col("source").alias("source"), F.col("source_size").alias("_a"), F.col("target").alias("_b"), "whole", "below"
     )
     hashed = docs.select(F.struct(*docs.columns).alias("_row"), F.col("source").cast("string").alias("_from"), document_hash(F.col("doc_id"), F.col("text")).alias("_hash"))

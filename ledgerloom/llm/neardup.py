@@ -2,8 +2,8 @@
 
 1. Each document gets its set of distinct word shingles, as 64-bit hashes, a 128-bit fingerprint of the set and a signature
    of SIGNATURE minima. Documents with one set are a class; the one with the smallest id stands for it from here on.
-2. TREES orders of the signature's positions give each class a place in each of them. Classes that share the first DEPTH
-   minima of an order are a region of that tree: neighbours with a longest common prefix of at least DEPTH.
+2. TREES orders of the signature's positions give each class a place in each of them. Classes that have the first DEPTH
+   minima of an order in common are a region of that tree: neighbours with a longest common prefix of at least DEPTH.
 3. A region of at most SMALL classes gives all its pairs whose signatures agree in at least LEAST_AGREEMENT of the positions
    and whose sizes allow the similarity. The pairs of all trees are joined with the full sets and confirmed.
 4. A larger region is confirmed as a block in one task: each member against all others on full sets, and only links that
@@ -15,9 +15,9 @@
    and the graph is replaced by its image, until no link is left.
 6. Regions cut in 4 are then compared in full: the members outside the region's largest component are dealt into parts, all
    its members too, and each part of the ones meets each part of the others in a tile that fits a task. A tile compares on
-   full sets all its pairs that are not connected yet and share no region of an earlier tree; its links complete 5.
+   full sets all its pairs that are not connected yet and have no region of an earlier tree in common; its links complete 5.
 
-A pair of similarity 0.8 shares a region in at least one tree with probability 1 - (1 - 0.8^3)^20 > 0.999999.
+A pair of similarity 0.8 is in one region of at least one tree with probability 1 - (1 - 0.8^3)^20 > 0.999999.
 
 Rows with one doc_id are one document: they are in one component. A null doc_id is compared with nothing: its component is
 null and it is kept. Without words (null or empty text) a document is a component of its own. An empty table gives an empty

@@ -1,7 +1,7 @@
 """Document quality by co-training: a classifier of text content and one of page metadata teach each other.
 
 Both views start from the same labelled sample. In each of ROUNDS rounds, each classifier labels the unlabelled pool, and
-its most confident answers (at least CONFIDENT sure, the same share of both labels as in the sample) are given to the
+its most confident answers (at least CONFIDENT sure, the same part of both labels as in the sample) are given to the
 other one as if they were labels. At the end each view is calibrated on labelled documents that neither was fitted on, a
 last logistic function combines the calibrated views, and all documents are scored with it.
 
@@ -103,14 +103,14 @@ class Logistic:
 def cotrain(views: tuple[np.ndarray, np.ndarray], y: np.ndarray, pool: tuple[np.ndarray, np.ndarray], rounds: int = ROUNDS) -> list[Logistic]:
     """One classifier per view after the exchange of confident labels."""
     given: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, int), np.zeros(0, int))] * 2
-    share = y.mean()
+    ones = y.mean()
     models = [Logistic(v, y) for v in views]
     for turn in range(rounds):
         answers = []
         for m, rows in zip(models, pool):
             p = m.sure(rows)
             most = len(p) * (turn + 1) // (2 * rounds)
-            one, zero = np.argsort(-p, kind="stable")[: round(most * share)], np.argsort(p, kind="stable")[: round(most * (1 - share))]
+            one, zero = np.argsort(-p, kind="stable")[: round(most * ones)], np.argsort(p, kind="stable")[: round(most * (1 - ones))]
             one, zero = one[p[one] >= CONFIDENT], zero[p[zero] <= 1 - CONFIDENT]
             answers.append((np.concatenate([one, zero]), np.concatenate([np.ones(len(one), int), np.zeros(len(zero), int)])))
         given = answers[::-1]

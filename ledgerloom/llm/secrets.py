@@ -13,7 +13,7 @@ at most REACH code points apart. The parts of all texts are joined on text, scop
 each partner in its own stretch and the two beside it, so a text with very many parts is spread over its stretches; the
 joins are semi-joins and give no pairs.
 
-Positions are code points. A null or empty text has no part. Rows with one id and text share their parts and are each
+Positions are code points. A null or empty text has no part. Rows with one id and text have the same parts and are each
 returned. An empty table gives an empty result. Other columns are not read. Everything is Spark's own functions."""
 
 from __future__ import annotations

@@ -5,7 +5,7 @@ threats, targets, negations, reports, and the ends of clauses. Four transducers
 composed into one machine: negation weakens what follows it within a few words, a reported clause is weakened as a whole, a
 target strengthens, and the last one turns what is left into matches with weights. Each clause with a match has a score, the
 weights of its matches times the factors on their paths; a document's features are its largest clause score, the sum, the
-number of clauses and the share of words, and a logistic function fitted on labelled documents gives its score.
+number of clauses and the part of words, and a logistic function fitted on labelled documents gives its score.
 
 The fit uses a bounded sample (SAMPLE_DOCS per label, chosen by a hash of the id, equal texts once). Entries are found by
 covering: the word or stem that explains most toxic documents not yet explained is taken, until no further one explains

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ledgerloom.llm import mixing
 
 
-def brute(rows, weights=(5, 2, 1), share=1.5):
+def brute(rows, weights=(5, 2, 1), portion=1.5):
     import re
 
     sized = [(i, s, len(re.findall(r"[^\x20\x09-\x0D]+", t or "")), int(hashlib.md5(":".join(str(x) for x in (i, t) if x is not None).encode()).hexdigest()[:15], 16)) for i, t, _, s in rows]
@@ -16,7 +16,7 @@ def brute(rows, weights=(5, 2, 1), share=1.5):
         total[s] = total.get(s, 0) + n
     order = sorted(total, key=lambda s: (s is None, s or ""))
     w = {s: weights[k % len(weights)] for k, s in enumerate(order)}
-    left, goal, open_ = share * sum(total.values()), dict.fromkeys(order, 0.0), set(order)
+    left, goal, open_ = portion * sum(total.values()), dict.fromkeys(order, 0.0), set(order)
     while open_:
         per = left / sum(w[s] for s in open_)
         full = {s for s in open_ if 2 * total[s] <= w[s] * per}

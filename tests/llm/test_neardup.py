@@ -71,7 +71,7 @@ def test_large_regions_in_parts(docs):
     rows = corpus(11, 5, 300)
     got, want = result(docs(rows), most=40), brute(rows)
     assert [g[:2] for g in got] == [w[:2] for w in want]
-    assert sum(g != w for g, w in zip(got, want)) <= 2  # a link that only two edited copies share may be lost here
+    assert sum(g != w for g, w in zip(got, want)) <= 2  # a link that only two edited copies have may be lost here
 
 
 def test_no_link_is_lost_between_parts(docs):
