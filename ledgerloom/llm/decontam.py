@@ -1,23 +1,28 @@
 """Benchmark decontamination: every training passage queries a BM25 index of the test items by block-max WAND.
 
-Items are cut into segments of SEGMENT words; a rest of fewer than TAIL words stays with the segment before. A document is a sequence of overlapping passages, each at least as
-long as two segments less a word, so that a segment's words stand together in one of them. A passage retrieves all
+Items are cut into segments of SEGMENT words; a rest of fewer than TAIL words stays with the segment before. A document is a
+sequence of overlapping passages, each at least as long as two segments less a word, so that a segment's words stand
+together in one of them. A passage retrieves all
 segments whose BM25 score reaches THRESHOLD of the segment's own score (the score of its own text). A retrieved segment is a
 leak if word triples of the passage cover OVERLAP of the question's and OVERLAP of the answer's triples, or WHOLE of
 all; the answer is a segment's last sentence or line, the rest is the question. A part of one or two words is covered if
 the passage has just this word or pair, at most as many words as the segment has from a word triple (word, pair) that the
-passage shares with the other part. An item of one or two words is a leak wherever the passage has them.
+passage has in common with the other part. An item of one or two words is a leak wherever the passage has them.
 
 Posting lists are in the order of segments and in blocks of BLOCK, with the largest impact of each list and block. First a
 bound over a batch of passages: per passage and segment, the sum of the impacts of rarer terms, plus the largest sum of
 all frequent terms in the segment's block. Passages that reach the threshold nowhere are done; the others go through WAND
 one by one: the lists' maxima give a pivot, the blocks' maxima decide whether it is scored or skipped.
 
-Words are lower-cased (A-Z) and stripped of ASCII punctuation at their edges. Items are indexed in shards of at most about
-SHARD_BYTES of text, each shared with the executors and matched in a pass of its own, so a large benchmark needs more
-passes but no larger index. Statistics are those of the shard. Null or empty texts and items without words match nothing;
-rows with a null id are searched and returned with a null id. Repeated rows are each searched; repeated items are each
-found. Empty tables give an empty result. Other columns are not read."""
+Words are lower-cased (A-Z) and stripped of ASCII punctuation at their edges. Segments and their statistics (number, mean and
+greatest length, document frequency of each word) are made in Spark over all items, equal segments once. Segments are then
+indexed in shards of at most about SHARD_BYTES, each broadcast with the frequencies of its own words and matched in a pass
+of its own; a large benchmark needs more passes, and its scores and passages are the same for any number of shards. Which
+items have a segment is joined to what was found.
+
+Null or empty texts and items without words match nothing; rows with a null id are searched and returned with a null id.
+Repeated rows are each searched; repeated items are each found. Empty tables give an empty result. Other columns are not
+read."""
 
 from __future__ import annotations
 
@@ -26,6 +31,7 @@ import re
 import uuid
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import text as tx
+from ledgerloom.llm.store import durable
 
 THRESHOLD, OVERLAP, WHOLE = 0.5, 0.5, 0.7
 SEGMENT, TAIL, BLOCK, SHARD_BYTES = 256, 8, 16, 8 << 20
@@ -79,33 +86,58 @@ def question_and_answer(text: str) -> tuple[str, str]:
     return body[:cut], body[cut:]
 
 
+def segments_of(text: str | None) -> Iterator[tuple[list[bytes], list[bytes]]]:
+    """The segments of an item: the words of its question and of its answer that fall into each."""
+    question, answer = map(terms_of, question_and_answer(text or ""))
+    n, words = len(question), question + answer
+    for at in range(0, max(len(words) - TAIL + 1, min(1, len(words))), SEGMENT):
+        end = at + SEGMENT if len(words) - at - SEGMENT >= TAIL else len(words)
+        yield words[at : min(end, n)], words[max(at, n) : end]
+
+
+@dataclass
+class Statistics:
+    """Of all segments: number, mean and greatest number of words, and in how many segments a word is (for the words that a
+    shard has)."""
+
+    n: int
+    mean: float
+    longest: int
+    df: dict[bytes, int]
+
+    @classmethod
+    def of(cls, segments: list[tuple[list[bytes], list[bytes]]]) -> Statistics:
+        lengths = [len(q) + len(a) for q, a in segments]
+        return cls(len(segments), sum(lengths) / max(1, len(segments)), max(lengths, default=1), Counter(t for q, a in segments for t in {*q, *a}))
+
+
 class Index:
-    """BM25 index of a shard's segments, with impacts as shares of each segment's own score."""
+    """BM25 index of a shard's segments, with impacts as parts of each segment's own score; ``items`` are names of segments."""
 
     @classmethod
     def of(cls, name: str, shared) -> Index:
-        return tx.kept(("index", name), lambda: cls(shared.value))
+        return tx.kept(("index", name), lambda: cls(*shared.value))
 
-    def __init__(self, items: list[tuple[int, str]]):
+    @classmethod
+    def alone(cls, items: list[tuple[int, str]]) -> Index:
+        """An index of items that are the whole benchmark."""
+        named = [(i, s) for i, text in items for s in segments_of(text)]
+        return cls([i for i, _ in named], [s for _, s in named], Statistics.of([s for _, s in named]))
+
+    def __init__(self, items: list, segments: list[tuple[list[bytes], list[bytes]]], known: Statistics):
         self.terms: dict[bytes, int] = {}
-        self.items, self.parts, bags = [], [], []
-        for item_id, text in items:
-            question, answer = ([self.terms.setdefault(t, len(self.terms)) for t in terms_of(x)] for x in question_and_answer(text))
-            ids = question + answer
-            for at in range(0, max(len(ids) - TAIL + 1, min(1, len(ids))), SEGMENT):
-                end = at + SEGMENT if len(ids) - at - SEGMENT >= TAIL else len(ids)
-                q, a = ids[at : min(end, len(question))], ids[max(at, len(question)) : end]
-                self.items.append(item_id)
-                self.parts.append((_triples(q), _triples(a), _triples(ids[at:end])))
-                bags.append(Counter(ids[at:end]))
-        n, lengths = len(bags), [sum(b.values()) for b in bags]
-        self.longest, mean = max(lengths, default=1), sum(lengths) / max(1, n)
-        df = Counter(t for b in bags for t in b)
-        idf = {t: math.log(1 + (n - c + 0.5) / (c + 0.5)) for t, c in df.items()}
+        self.items, self.parts, bags = items, [], []
+        for question, answer in segments:
+            q, a = ([self.terms.setdefault(t, len(self.terms)) for t in words] for words in (question, answer))
+            self.parts.append((_triples(q), _triples(a), _triples(q + a)))
+            bags.append(Counter(q + a))
+        n, self.longest, lengths = len(bags), known.longest, [sum(b.values()) for b in bags]
+        df = [known.df[t] for t in self.terms]
+        idf = [math.log(1 + (known.n - c + 0.5) / (c + 0.5)) for c in df]
         lists: list[list[tuple[int, float]]] = [[] for _ in self.terms]
         for s, bag in enumerate(bags):
-            impact = {t: idf[t] * f * (K1 + 1) / (f + K1 * (1 - B + B * lengths[s] / mean)) for t, f in bag.items()}
-            own = sum(impact.values())
+            impact = {t: idf[t] * f * (K1 + 1) / (f + K1 * (1 - B + B * lengths[s] / known.mean)) for t, f in sorted(bag.items())}
+            own = math.fsum(impact.values())
             for t, x in impact.items():
                 lists[t].append((s, x / own))
         self.at = np.cumsum([0, *map(len, lists)])
@@ -114,7 +146,7 @@ class Index:
         self.most = np.array([max(x for _, x in p) for p in lists])
         # per list: the last segment and the largest impact of each block
         self.blocks = [[(p[min(i + BLOCK, len(p)) - 1][0], max(x for _, x in p[i : i + BLOCK])) for i in range(0, len(p), BLOCK)] for p in lists]
-        self.rare = np.array([len(p) <= max(1, RARE * n) for p in lists], bool)
+        self.rare = np.array([c <= max(1, RARE * known.n) for c in df], bool)
         frequent = np.zeros(n + BLOCK)
         for t in np.flatnonzero(~self.rare):
             frequent[self.segments[self.at[t] : self.at[t + 1]]] += self.impacts[self.at[t] : self.at[t + 1]]
@@ -150,7 +182,7 @@ class Index:
                     to = min(to, cursors[pivot + 1][0])
                 to = max(to, segment + 1)
             elif near[0][0] == segment:
-                score = sum(float(self.impacts[self.at[t] + place]) for _, t, place in near)
+                score = math.fsum(float(self.impacts[self.at[t] + place]) for _, t, place in near)
                 if score >= THRESHOLD - 1e-9:
                     found.append((segment, score))
                 to = segment + 1
@@ -230,23 +262,62 @@ class Index:
                     yield r, self.items[segment], score, question, answer
 
 
-def shards(items: DataFrame, shard_bytes: int = SHARD_BYTES) -> Iterator[list[tuple[int, str]]]:
-    """The items with text, a bounded number of bytes at a time."""
-    rows = items.filter(F.col("text").isNotNull()).select(F.col("item_id").cast("bigint").alias("item_id"), "text")
-    total = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    n = -(-total // shard_bytes)
-    for i in range(n):
-        part = rows if n == 1 else rows.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == i)
-        yield sorted(((r["item_id"], r["text"]) for r in part.collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+@dataclass
+class Benchmark:
+    """A benchmark's segments (key, question, answer), which items have them (key, item_id), and their statistics (with
+    the table ``df`` of words in place of a dictionary). All tables are stored."""
+
+    segments: DataFrame
+    members: DataFrame
+    df: DataFrame
+    n: int
+    mean: float
+    longest: int
+    size: int
+
+    @classmethod
+    def of(cls, items: DataFrame) -> Benchmark:
+        def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                out: dict[str, list] = {"item_id": [], "question": [], "answer": []}
+                for item_id, text in zip(batch.column("item_id").to_pylist(), batch.column("text").to_pylist()):
+                    for q, a in segments_of(text):
+                        out["item_id"].append(item_id)
+                        out["question"].append(b" ".join(q).decode())
+                        out["answer"].append(b" ".join(a).decode())
+                yield pa.RecordBatch.from_arrays([pa.array(out["item_id"], pa.int64()), pa.array(out["question"], pa.string()), pa.array(out["answer"], pa.string())], list(out))
+
+        rows = items.filter(F.col("text").isNotNull()).select(F.col("item_id").cast("bigint").alias("item_id"), "text")
+        # no word holds a space, so the two parts and their border tell segments apart
+        key = F.sha2(F.concat("question", F.lit("\n"), "answer").cast("binary"), 256)
+        found = durable(rows.mapInArrow(cut, "item_id bigint, question string, answer string").withColumn("key", key))
+        segments = durable(found.groupBy("key").agg(F.min("question").alias("question"), F.min("answer").alias("answer")))
+        members = durable(found.select("key", "item_id").distinct())
+        words = F.filter(F.concat(F.split("question", " "), F.split("answer", " ")), lambda w: w != "")
+        df = durable(segments.select(F.explode(F.array_distinct(words)).alias("word")).groupBy("word").agg(F.count("*").alias("n")))
+        sums = segments.agg(F.count("*"), F.avg(F.size(words)), F.max(F.size(words)), F.sum(F.octet_length("question") + F.octet_length("answer"))).first()
+        return cls(segments, members, df, sums[0], sums[1] or 0.0, sums[2] or 1, sums[3] or 0)
+
+    def shards(self, shard_bytes: int) -> Iterator[tuple[list[str], list, Statistics]]:
+        """What an index is made of, for a bounded number of bytes of segments at a time."""
+        n = -(-self.size // shard_bytes)
+        for i in range(n):
+            part = self.segments.filter(F.pmod(F.xxhash64("key"), F.lit(n)) == i)
+            rows = sorted((r["key"], r["question"].encode().split(b" "), r["answer"].encode().split(b" ")) for r in part.collect())
+            segments = [([w for w in q if w], [w for w in a if w]) for _, q, a in rows]
+            words = part.select(F.explode(F.split(F.concat_ws(" ", "question", "answer"), " ")).alias("word")).distinct()
+            df = {r["word"].encode(): r["n"] for r in self.df.join(words, "word").collect()}  # of the words in this shard
+            yield [k for k, _, _ in rows], segments, Statistics(self.n, self.mean, self.longest, df)
 
 
 def leaks(docs: DataFrame, items: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """(doc_id, item_id, score, question_overlap, answer_overlap) of every leak of an item in a document."""
-    schema = "doc_id bigint, item_id bigint, score double, question_overlap double, answer_overlap double"
+    spark = docs.sparkSession
+    schema = "doc_id bigint, key string, score double, question_overlap double, answer_overlap double"
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    result = docs.sparkSession.createDataFrame([], schema)
-    for shard in shards(items, shard_bytes):
-        shared, name = docs.sparkSession.sparkContext.broadcast(shard), uuid.uuid4().hex  # about shard_bytes
+    bench, result = Benchmark.of(items), None
+    for shard in bench.shards(shard_bytes):
+        shared, name = spark.sparkContext.broadcast(shard), uuid.uuid4().hex  # about shard_bytes
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared, name=name) -> Iterator[pa.RecordBatch]:
             index = Index.of(name, shared)
@@ -255,11 +326,16 @@ def leaks(docs: DataFrame, items: DataFrame, shard_bytes: int = SHARD_BYTES) ->
                     found = list(index.texts(part.column("text")))
                     columns = list(zip(*found)) if found else [()] * 5
                     ids = part.column("doc_id").take(pa.array(columns[0], pa.int64()))
-                    yield pa.RecordBatch.from_arrays([ids, pa.array(columns[1], pa.int64()), *(pa.array(c, pa.float64()) for c in columns[2:])], ["doc_id", "item_id", "score", "question_overlap", "answer_overlap"])
-
-        result = result.unionByName(rows.mapInArrow(run, schema))
+                    yield pa.RecordBatch.from_arrays([ids, pa.array(columns[1], pa.string()), *(pa.array(c, pa.float64()) for c in columns[2:])], ["doc_id", "key", "score", "question_overlap", "answer_overlap"])
+
+        # a shard's pass is stored and its broadcast let go before the next shard is collected
+        found = durable(rows.mapInArrow(run, schema))
+        shared.destroy()
+        result = found if result is None else result.unionByName(found)
+    if result is None:
+        result = spark.createDataFrame([], schema)
     best = [F.max(c).alias(c) for c in ("score", "question_overlap", "answer_overlap")]
-    return result.groupBy("doc_id", "item_id").agg(*best)
+    return result.join(bench.members, "key").groupBy("doc_id", "item_id").agg(*best)
 
 
 def decontaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
@@ -267,7 +343,7 @@ def decontaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     # columns by place, so that no name of the table can clash
     kept = docs.toDF(*["text" if c == "text" else f"c{i}" for i, c in enumerate(docs.columns)])
     schema = kept.schema
-    for shard in shards(items):
+    for shard in Benchmark.of(items).shards(SHARD_BYTES):
         shared, name = docs.sparkSession.sparkContext.broadcast(shard), uuid.uuid4().hex
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared, name=name) -> Iterator[pa.RecordBatch]:

@@ -25,7 +25,7 @@ def brute_search(index, terms):
 @pytest.mark.parametrize("seed", range(4))
 def test_wand_finds_all_above_the_threshold(seed):
     r = random.Random(seed)
-    index = dc.Index([(i, " ".join(words(r, r.randint(2, 40), 60))) for i in range(150)])
+    index = dc.Index.alone([(i, " ".join(words(r, r.randint(2, 40), 60))) for i in range(150)])
     names = list(index.terms.values())
     for _ in range(60):
         terms = sorted(set(r.choices(names, k=r.randint(1, 120))))
@@ -37,7 +37,7 @@ def test_wand_finds_all_above_the_threshold(seed):
 def test_no_passage_is_left_out_by_the_first_bound(seed):
     r = random.Random(seed)
     items = [(i, " ".join(words(r, r.randint(3, 30), 80)) + ". " + " ".join(words(r, 4, 80))) for i in range(60)]
-    index = dc.Index(items)
+    index = dc.Index.alone(items)
     texts = []
     for _ in range(40):
         body = words(r, r.randint(1, 300), 80)
@@ -76,14 +76,14 @@ def test_edited_copies_of_items_with_short_answers():
             if sum(both) >= 9 and beside:
                 want.add((len(texts), n))
             texts.append(" ".join(body))
-    found = list(dc.Index(items).texts(pa.array(texts)))
+    found = list(dc.Index.alone(items).texts(pa.array(texts)))
     assert {(row, item) for row, item, *_ in found} == want
     assert {item for _, item in want} == {1, 2, 3} and (2, 1) in want and (7, 2) not in want
 
 
 def test_short_items_and_rests_of_long_ones():
     long = " ".join(f"t{i}" for i in range(256)) + " the end"
-    index = dc.Index([(1, "Capital? Paris"), (2, "one"), (3, long), (4, ""), (5, "?!")])
+    index = dc.Index.alone([(1, "Capital? Paris"), (2, "one"), (3, long), (4, ""), (5, "?!")])
     texts = ["the capital was, then, Paris", "capital " + "x " * 9 + "paris", "no one here", "one", "the end", "a capital", long]
     assert {(row, item) for row, item, *_ in index.texts(pa.array(texts))} == {(0, 1), (2, 2), (3, 2), (6, 3)}
 
@@ -108,6 +108,28 @@ def test_leaks_odd_rows_and_shards(spark, docs):
     assert kept.count() == 5
 
 
+def test_scores_do_not_depend_on_the_number_of_shards(spark, docs):
+    r = random.Random(8)
+    items = [(i, " ".join(words(r, r.randint(3, 500), 80)) + "? " + " ".join(words(r, r.randint(1, 6), 80))) for i in range(40)]
+    items += [(100 + i, items[0][1]) for i in range(30)]
+    texts = [(i, " ".join([*words(r, 200, 80), *items[r.randrange(40)][1].split(), *words(r, 50, 80)])) for i in range(30)]
+    bench = spark.createDataFrame(items, ITEMS)
+    results = []
+    for shard_bytes in (dc.SHARD_BYTES, 2_000):
+        assert shard_bytes > 2_000 or len(list(dc.Benchmark.of(bench).shards(shard_bytes))) >= 15
+        results.append(sorted(map(tuple, dc.leaks(docs(texts), bench, shard_bytes).collect())))
+    assert results[0] == results[1] and len({d for d, *_ in results[0]}) == 30
+    # the same as one index of the distinct segments, made without Spark
+    named = {s: None for _, text in items for s in map(lambda x: (tuple(x[0]), tuple(x[1])), dc.segments_of(text))}
+    alone = dc.Index(list(named), [tuple(map(list, s)) for s in named], dc.Statistics.of(list(named)))
+    got = {}
+    for row, segment, *x in alone.texts(pa.array([t for _, t in texts])):
+        for i, text in items:
+            if segment in [tuple(map(tuple, s)) for s in dc.segments_of(text)]:
+                got[row, i] = tuple(max(a, b) for a, b in zip(x, got.get((row, i), x)))
+    assert {k: tuple(round(z, 9) for z in v) for k, v in got.items()} == {(d, i): tuple(round(z, 9) for z in x) for d, i, *x in results[0]}
+
+
 def test_empty_tables(spark, docs):
     none = spark.createDataFrame([], ITEMS)
     assert dc.leaks(docs([(1, "a b c")]), none).count() == 0
