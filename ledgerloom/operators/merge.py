@@ -17,6 +17,8 @@ from ledgerloom.functions.scalar import any_of, just_before, value_changed
 from ledgerloom.operators.numbering import assign_surrogate_keys
 
 END_OF_TIME = "2999-12-31 00:00:00"
+#: Where surrogate keys go on: after the greatest of a table, or in ranges that a function reserves.
+Numbered = DataFrame | Callable[[int], int] | None
 
 
 @dataclass(frozen=True)
@@ -177,10 +179,15 @@ def upsert_changed(target: DataFrame, source: DataFrame, roles: Columns, run_ts:
 
 def append_load(target: DataFrame, source: DataFrame, roles: Columns, run_ts: Column) -> DataFrame:
     """Load without a business key: every row is added as version 1."""
+    return insert_only(target, appended(target, source, roles, run_ts))
+
+
+def appended(target: DataFrame, source: DataFrame, roles: Columns, run_ts: Column, numbered: Numbered = None) -> DataFrame:
+    """The rows that a load without a business key adds, in the target's columns."""
     stamped = with_system_columns(source, roles, run_ts)
     if roles.surrogate_key:
-        stamped = assign_surrogate_keys(stamped, target, roles.surrogate_key, roles.payload(stamped.columns))
-    return insert_only(target, stamped)
+        stamped = assign_surrogate_keys(stamped, numbered or target, roles.surrogate_key, roles.payload(stamped.columns))
+    return conform(stamped, target)
 
 
 def scd1(
@@ -189,7 +196,7 @@ def scd1(
     roles: Columns,
     run_ts: Column,
     compat: bool = False,
-    numbered: DataFrame | None = None,
+    numbered: Numbered = None,
 ) -> DataFrame:
     """Type 1: overwrite changed payload columns in place; a table without payload always updates."""
     stamped = with_system_columns(source, roles, run_ts)
@@ -202,7 +209,7 @@ def scd1(
     return merge(target, stamped, roles.business_key, rule, _numbered(numbered or target, roles.surrogate_key, roles.business_key))
 
 
-def _numbered(target: DataFrame, identity: str | None, keys: Sequence[str]) -> Callable[[DataFrame], DataFrame] | None:
+def _numbered(target: DataFrame | Callable[[int], int], identity: str | None, keys: Sequence[str]) -> Callable[[DataFrame], DataFrame] | None:
     if not identity:
         return None
     return lambda rows: assign_surrogate_keys(
@@ -217,7 +224,7 @@ def scd2(
     run_ts: Column,
     touch_unchanged: bool = False,
     compat: bool = False,
-    numbered: DataFrame | None = None,
+    numbered: Numbered = None,
 ) -> DataFrame:
     """Type 2 merge of one source into a versioned dimension.
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
@@ -17,7 +17,7 @@ def global_row_number(
     df: DataFrame,
     order: Sequence[str | Column],
     out: str = "seq",
-    start: int | Column = 1,
+    start: int | Column | Callable[[int], int] = 1,
     partitions: int | None = None,
 ) -> DataFrame:
     """Number all rows 1..n in ``order``.
@@ -26,7 +26,7 @@ def global_row_number(
     the start of each partition is the sum of the counts before it (one count per partition goes to
     the driver, never rows). ``order`` should be total: equal rows fall into one range. The ranged
     data is written durably first, because range bounds come from a sample and a recomputation could
-    draw other bounds."""
+    draw other bounds. ``start`` may be a function that gets the number of rows, say to reserve a range for them."""
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cols = [F.col(c) if isinstance(c, str) else c for c in order]
     placed = durable(
@@ -38,11 +38,14 @@ def global_row_number(
     before = [0, *accumulate(sizes.get(i, 0) for i in range(width - 1))]
     offset = F.get(F.array(*[F.lit(b).cast("bigint") for b in before]), part)
     position = F.col("_slot").bitwiseAND(F.lit((1 << _ROW_BITS) - 1).cast("bigint"))
-    first = start if isinstance(start, Column) else F.lit(start)
+    first = start if isinstance(start, Column) else F.lit(start(sum(sizes.values())) if callable(start) else start)
     return placed.withColumn(out, (offset + position + first).cast("bigint")).drop("_slot")
 
 
-def assign_surrogate_keys(new_rows: DataFrame, target: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
-    """Give rows the numbers after the target's greatest key, in ``order``."""
+def assign_surrogate_keys(new_rows: DataFrame, target: DataFrame | Callable[[int], int], key: str, order: Sequence[str]) -> DataFrame:
+    """Give rows the numbers after the target's greatest key, in ``order``; or, without a look at the target, from the number
+    on that a function (``NumberRange.reserve``) gives for their count."""
+    if not isinstance(target, DataFrame):
+        return global_row_number(new_rows.drop(key), order, out=key, start=target)
     highest = target.agg(F.coalesce(F.max(key), F.lit(0)).alias("m")).scalar()
     return global_row_number(new_rows.drop(key), order, out=key, start=highest + F.lit(1))

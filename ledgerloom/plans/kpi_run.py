@@ -13,6 +13,7 @@ from ledgerloom.operators.adjustments import kpi_adjustments, table_adjustments,
 from ledgerloom.operators.engine import EngineRun, run_levels
 from ledgerloom.operators.overlay import overlay_chain
 from ledgerloom.sources import files, snapshots
+from ledgerloom.sources.kept import KeptTable
 
 
 @dataclass(frozen=True)
@@ -135,8 +136,8 @@ def run_period(
 
 
 def publish(spark: SparkSession, run: EngineRun, current_path: str, history_path: str) -> None:
-    """Replace the current output and append the next version to the history."""
-    rows = run.results.drop("site_code")
-    snapshots.write_current(rows, current_path)
+    """Replace the current output (a ``KeptTable``) and append the next version to the ``VersionedHistory``."""
+    current = KeptTable(spark, current_path)
+    stored = current.replace(run.results.drop("site_code"))
     # the history takes the rows just stored, so that the formulas are not evaluated again
-    snapshots.write_version(spark, spark.read.parquet(current_path), history_path)
+    snapshots.VersionedHistory(spark, history_path).append(current.read(stored))

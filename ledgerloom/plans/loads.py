@@ -16,7 +16,8 @@ from ledgerloom.operators import merge as m
 from ledgerloom.operators.expectations import Expectation, ExpectationFailed, column_test_counts, column_tests, run_expectations
 from ledgerloom.operators.setops import union_sources
 from ledgerloom.sources.durable import durable
-from ledgerloom.sources.schemas import ColumnSpec, create_table, mapped
+from ledgerloom.sources.kept import KeptTable, NumberRange
+from ledgerloom.sources.schemas import ColumnSpec, create_table, empty, mapped, table_schema
 
 KINDS = ("stage", "persistent_stage", "dimension", "fact", "view")
 
@@ -86,11 +87,12 @@ def view(load: Load, sources: Sequence[DataFrame], spark: SparkSession | None =
     return stacked.select(*out)
 
 
-def next_state(load: Load, target: DataFrame | None, sources: Sequence[DataFrame], run_ts: Column) -> DataFrame:
+def next_state(load: Load, target: DataFrame | None, sources: Sequence[DataFrame], run_ts: Column, numbers: m.Numbered = None) -> DataFrame:
     """State of the table after loading ``sources`` one after another.
 
     A later source sees the rows an earlier one added, as when each is merged by its own statement. With several keyed
-    sources, only target rows with a key of any of them go through the merges; the others are read and passed on once."""
+    sources, only target rows with a key of any of them go through the merges; the others are read and passed on once.
+    ``numbers`` reserves surrogate keys, if the target is a part of a table or should not be looked through for them."""
     ready = [mapped(s, data_columns(load)) for s in sources]
     if load.kind == "stage":
         loaded = union_sources(ready, load.strategy)
@@ -109,11 +111,11 @@ def next_state(load: Load, target: DataFrame | None, sources: Sequence[DataFrame
     for i, source in enumerate(ready):
         if i:
             state = durable(state)
-        numbered = None
-        if rest is not None and roles.surrogate_key:
+        numbered = numbers
+        if numbers is None and rest is not None and roles.surrogate_key:
             numbered = state.select(roles.surrogate_key).union(rest.select(roles.surrogate_key))
         if not roles.business_key:
-            state = m.append_load(state, source, roles, run_ts)
+            state = m.insert_only(state, m.appended(state, source, roles, run_ts, numbered))
         elif load.kind == "fact":
             state = m.upsert_changed(state, source, roles, run_ts, load.compat)
         elif roles.tracked:
@@ -123,6 +125,30 @@ def next_state(load: Load, target: DataFrame | None, sources: Sequence[DataFrame
     return state if rest is None else state.unionByName(rest)
 
 
+def load_kept(load: Load, table: KeptTable, sources: Sequence[DataFrame], run_ts: Column, numbers: NumberRange | None = None) -> int:
+    """Load ``sources`` into a kept table: only buckets with a key of a source are read and rewritten; a load without keys
+    is appended, a stage replaces or extends its rows. Returns the number of the new state."""
+    roles, keys = load.roles, list(load.roles.business_key)
+    if roles.surrogate_key and numbers is None:
+        raise ValueError("a table with surrogate keys needs their NumberRange: a load does not read all of its target")
+    if load.kind == "stage":
+        rows = next_state(load, None, sources, run_ts)
+        return table.replace(rows) if load.truncate_before else table.append(rows)
+    reserve = numbers.reserve if numbers else None
+    if not keys:
+        shape = empty(table.spark, table_schema(load.columns))
+        added = [m.appended(shape, mapped(s, data_columns(load)), roles, run_ts, reserve) for s in sources]
+        return table.append(reduce(DataFrame.union, added))
+    ready = [durable(s) for s in sources]  # read for the touched buckets and for the merge
+    touched = reduce(DataFrame.union, [mapped(s, [c for c in load.columns if c.name in keys]).select(*keys) for s in ready])
+    return table.merge(touched, lambda rows: next_state(load, rows, ready, run_ts, reserve))
+
+
+def kept_table(spark: SparkSession, load: Load, path: str, buckets: int = 64) -> KeptTable:
+    """The kept table of a load, empty if nothing has been loaded yet."""
+    return KeptTable(spark, path, table_schema(load.columns), load.roles.business_key, buckets)
+
+
 def run(
     spark: SparkSession,
     load: Load,

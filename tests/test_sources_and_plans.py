@@ -11,6 +11,7 @@ from ledgerloom.operators.expectations import Expectation, ExpectationFailed
 from ledgerloom.plans import loads, marts, views
 from ledgerloom.plans.kpi_run import Period, adjustment_source, load_period_inputs, publish, run_period
 from ledgerloom.sources import files, schemas, snapshots
+from ledgerloom.sources.kept import KeptTable
 
 
 def put(folder, name, text):
@@ -63,8 +64,8 @@ def test_whole_run_from_files_to_history(spark, tmp_path):
     current, history = f"{tmp_path}/current", f"{tmp_path}/history"
     publish(spark, run, current, history)
     publish(spark, run, current, history)
-    assert rows(spark.read.parquet(current).select("matrix_id", F.col("value").cast("double"))) == [("K1_1", 55.0), ("K2_1", 2200.0)]
-    stored = snapshots.read_history(spark, history)
+    assert rows(KeptTable(spark, current).read().select("matrix_id", F.col("value").cast("double"))) == [("K1_1", 55.0), ("K2_1", 2200.0)]
+    stored = snapshots.VersionedHistory(spark, history).read()
     assert rows(stored.select("matrix_id", "version_id")) == [("K1_1", 1), ("K1_1", 2), ("K2_1", 1), ("K2_1", 2)]
     assert stored.schema["value"].dataType == T.DecimalType(36, 12)
 
