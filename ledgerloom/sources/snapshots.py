@@ -88,7 +88,7 @@ def write_version(spark: SparkSession, new: DataFrame, path: str, period: str =
         history = None
     if history is not None:
         history = history.join(new.select(period).distinct(), period, "left_semi")
-    with_next_version(history, new, period, version, value).write.mode("append").partitionBy(period).parquet(path)
+    with_next_version(history, new, period, version, value).hint("rebalance", period).write.mode("append").partitionBy(period).parquet(path)
 
 
 class VersionedHistory:

@@ -1,7 +1,7 @@
 """The provided tables re-skinned as KPI, ledger and warehouse tables, for Spark and for DuckDB.
 
 Every fixture reads its table whole and grows with it: a supplier is a site, a month of ship dates a
-period, a return flag the kind of value (A engine, R historic, N plan)."""
+period. In the plan table the return flag is the scenario (A actual, N budget, R forecast)."""
 
 from __future__ import annotations
 
@@ -76,17 +76,13 @@ class Tables:
             self.__dict__[name] = durable(getattr(self, name))
         return self
 
-    def _kpi_values(self, flag: str, dim: Column, **extra: Column) -> DataFrame:
+    def _kpi_values(self, dim: Column, **extra: Column) -> DataFrame:
         month = month_start("l_shipdate").alias("date_key")
         named = [c.alias(n) for n, c in extra.items()]
-        cells = (
-            self.lineitem.filter(F.col("l_returnflag") == flag)
-            .groupBy(dim.alias("kpi_dim_id"), month, *named)
-            .agg(
-                F.sum(money("l_extendedprice")).alias("K1"),
-                F.sum(money("l_quantity")).alias("K2"),
-                F.sum(money("l_discount")).alias("K3"),
-            )
+        cells = self.lineitem.groupBy(dim.alias("kpi_dim_id"), month, *named).agg(
+            F.sum(money("l_extendedprice")).alias("K1"),
+            F.sum(money("l_quantity")).alias("K2"),
+            F.sum(money("l_discount")).alias("K3"),
         )
         wide = "decimal(28,2)"
         rows = F.array(
@@ -114,11 +110,11 @@ class Tables:
     @cached_property
     def engine_history(self) -> DataFrame:
         version = F.when(F.col("l_linestatus") == "F", 1).otherwise(2)
-        return self._kpi_values("A", F.col("l_suppkey"), version_id=version)
+        return self._kpi_values(F.col("l_suppkey"), version_id=version)
 
     @cached_property
     def engine_output(self) -> DataFrame:
-        return self._kpi_values("A", F.col("l_suppkey"))
+        return self._kpi_values(F.col("l_suppkey"))
 
     @staticmethod
     def _dim_text() -> Column:
@@ -127,16 +123,15 @@ class Tables:
 
     @cached_property
     def actuals_historic(self) -> DataFrame:
-        rows = self._kpi_values("R", self._dim_text())
+        rows = self._kpi_values(self._dim_text())
         return rows.withColumnRenamed("matrix_id", "metric_id").withColumnRenamed("kpi_engine_key", "kpi_unique_id")
 
     @cached_property
     def budget_forecast(self) -> DataFrame:
         q = F.col("l_quantity")
         rows = self._kpi_values(
-            "N",
             self._dim_text(),
-            scenario=F.when(F.col("l_linestatus") == "F", "Budgets").otherwise("Forecast"),
+            scenario=F.when(F.col("l_returnflag") == "A", "Actual").when(F.col("l_returnflag") == "N", "Budgets").otherwise("Forecast"),
             version_id=F.when(q < 17, 1).when(q < 34, 2).otherwise(3),
         )
         return rows.withColumnRenamed("matrix_id", "metric_id").withColumnRenamed("kpi_engine_key", "kpi_unique_id")
@@ -282,14 +277,14 @@ _MONTH = "CAST(date_trunc('month', l_shipdate) AS DATE)"
 _DIM_TEXT = "CASE WHEN l_discount = 0 THEN 'S' || CAST(l_suppkey AS VARCHAR) ELSE CAST(l_suppkey AS VARCHAR) END"
 
 
-def _kpi_sql(flag: str, dim: str, extra: str = "", names: str = "") -> str:
+def _kpi_sql(dim: str, extra: str = "", names: str = "") -> str:
     def null_or_text(v):
         return "CAST(NULL AS VARCHAR)" if v is None else f"'{v}'"
 
     cells = (
         f"SELECT {dim} AS kpi_dim_id, {_MONTH} AS date_key{extra}, SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS K1, "
         "SUM(CAST(l_quantity AS DECIMAL(18,2))) AS K2, SUM(CAST(l_discount AS DECIMAL(18,2))) AS K3 "
-        f"FROM lineitem WHERE l_returnflag = '{flag}' GROUP BY ALL"
+        "FROM lineitem GROUP BY ALL"
     )
     parts = [
         f"SELECT kpi_dim_id, date_key{names}, '{k}' AS kpi_id, '{n}' AS kpi_name, '{c}' AS category, '{s}' AS subcategory, "
@@ -308,14 +303,13 @@ def _kpi_sql(flag: str, dim: str, extra: str = "", names: str = "") -> str:
 _RENAMED = "SELECT * RENAME (matrix_id AS metric_id, kpi_engine_key AS kpi_unique_id) FROM"
 
 CTES = {
-    "engine_history": _kpi_sql("A", "l_suppkey", ", CASE WHEN l_linestatus = 'F' THEN 1 ELSE 2 END AS version_id", ", version_id"),
-    "engine_output": _kpi_sql("A", "l_suppkey"),
-    "actuals_historic": f"{_RENAMED} ({_kpi_sql('R', _DIM_TEXT)})",
+    "engine_history": _kpi_sql("l_suppkey", ", CASE WHEN l_linestatus = 'F' THEN 1 ELSE 2 END AS version_id", ", version_id"),
+    "engine_output": _kpi_sql("l_suppkey"),
+    "actuals_historic": f"{_RENAMED} ({_kpi_sql(_DIM_TEXT)})",
     "budget_forecast": f"{_RENAMED} ("
     + _kpi_sql(
-        "N",
         _DIM_TEXT,
-        ", CASE WHEN l_linestatus = 'F' THEN 'Budgets' ELSE 'Forecast' END AS scenario"
+        ", CASE l_returnflag WHEN 'A' THEN 'Actual' WHEN 'N' THEN 'Budgets' ELSE 'Forecast' END AS scenario"
         ", CASE WHEN l_quantity < 17 THEN 1 WHEN l_quantity < 34 THEN 2 ELSE 3 END AS version_id",
         ", scenario, version_id",
     )

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import scalar as sc
-from ledgerloom.operators.latest import all_versions_pivot, latest_scenario_pivot, rows_at_max_version
+from ledgerloom.operators.latest import all_versions_pivot, keep_last, latest_scenario_pivot, rows_at_max_version
 from ledgerloom.operators.numbering import assign_surrogate_keys, global_row_number
 from ledgerloom.plans import marts, views
 from ledgerloom.sources.snapshots import append_version
@@ -54,7 +54,8 @@ def latest_pivot(t: Tables) -> DataFrame:
 
 
 _PIVOT = """SELECT kpi_id, kpi_dim_id, date_key, arg_max(value, version_id) FILTER (scenario = 'Budgets') AS budget_value,
-    arg_max(value, version_id) FILTER (scenario = 'Forecast') AS forecast_value FROM budget_forecast GROUP BY ALL"""
+    arg_max(value, version_id) FILTER (scenario = 'Forecast') AS forecast_value FROM budget_forecast
+    WHERE scenario IN ('Budgets', 'Forecast') GROUP BY ALL"""
 
 
 def allversions_pivot(t: Tables) -> DataFrame:
@@ -156,8 +157,8 @@ def variance_history_concat(t: Tables) -> DataFrame:
 
 
 def _known_kpis(t: Tables) -> DataFrame:
-    """The current output of one month: one row per KPI and dim."""
-    return t.engine_output.filter(F.col("date_key") == as_date(REPORTING_MONTH))
+    """What the output says of each KPI and dim in its latest month."""
+    return keep_last(t.engine_output, ["matrix_id"], ["date_key"])
 
 
 def _variances(facts: str) -> str:
@@ -179,7 +180,7 @@ _PLAN = "SELECT concat(kpi_id, '_', kpi_dim_id::BIGINT) AS matrix, * EXCLUDE (kp
 # actuals of KPIs that the current output knows, likewise
 _KNOWN_ACTUALS = f"""SELECT a.*, k.kpi_engine_key AS known_key, k.matrix_id AS matrix, {", ".join(f"k.{c}" for c in _KPI_NAMES.split(", "))}
     FROM (SELECT kpi_id, kpi_dim_id, date_key, value, uom, kpi_unique_id FROM actuals_historic WHERE TRY_CAST(kpi_dim_id AS BIGINT) IS NOT NULL) a
-    JOIN engine_output k ON k.date_key = {MONTH} AND k.matrix_id = concat(a.kpi_id, '_', TRY_CAST(a.kpi_dim_id AS BIGINT))"""
+    JOIN (FROM engine_output QUALIFY row_number() OVER (PARTITION BY matrix_id ORDER BY date_key DESC) = 1) k ON k.matrix_id = concat(a.kpi_id, '_', TRY_CAST(a.kpi_dim_id AS BIGINT))"""
 _VARIANCE = {
     "pivoted": _PIVOT,
     "plan_now": _PLAN.format("pivoted"),
