@@ -8,7 +8,7 @@ last logistic function combines the calibrated views, and all documents are scor
 Text view: sizes, shares of repeated and distinct words and word triples, of capitals, digits, marks and line ends in the
 whole text. Metadata view: source and language (hashed to METADATA_CELLS columns) and the stated length. Labels and ids are
 inputs of neither. The fit uses a bounded sample (SAMPLE_DOCS labelled per label and POOL_DOCS unlabelled, chosen by a hash
-of the id; a tenth of the labelled ones calibrates), and the classifiers are trained on the driver on its small feature
+of the id, one row for each id and label; a tenth of the labelled ones calibrates), and the classifiers are trained on the driver on its small feature
 rows. Scoring reads every whole text once.
 
 Null or empty texts have a feature row of zeros, null metadata a value of its own. Without labels of both kinds all scores
@@ -154,7 +154,10 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
                     views = [pa.array(list(v), pa.list_(pa.float64())) for v in _views(part)]
                     yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("label"), *views], ["doc_id", "label", "a", "b"])
 
-    found = docs.join(picked, "doc_id").select("doc_id", "label", "text", "source", "lang", "n_chars").mapInArrow(run, "doc_id bigint, label int, a array<double>, b array<double>").collect()
+    # one row per id and label, however many rows an id has: that with the least hash of its columns
+    columns = ["text", "source", "lang", "n_chars"]
+    once = docs.join(picked, "doc_id").groupBy("doc_id", "label").agg(F.min(F.struct(F.xxhash64(*columns).alias("h"), *columns)).alias("r"))
+    found = once.select("doc_id", "label", *[f"r.{c}" for c in columns]).mapInArrow(run, "doc_id bigint, label int, a array<double>, b array<double>").collect()
     found.sort(key=lambda r: (r["doc_id"], r["label"] or 0))
     known = [r for r in found if r["label"] is not None]
     y = np.array([r["label"] for r in known], int)

@@ -8,10 +8,11 @@ they are: assignments with a value of 8 or more characters, access identifiers a
     key40     a bare run of exactly 40 key characters                   needs an identifier near it
     endpoint  an address with a scheme                                  needs an identifier and a secret near it
 
-A secret is an assignment of either length or a key40. Near is: in one scope (texts are divided at empty lines) and starts
-at most REACH code points apart. The parts of all texts are joined on text, scope and stretch of REACH code points, with
-each partner in its own stretch and the two beside it, so a text with very many parts is spread over its stretches; the
-joins are semi-joins and give no pairs.
+A secret is an assignment of either length or a key40. Near is: in one scope (texts are divided at empty lines, where the
+scope of a part is that of its start), with at most REACH code points between the end of the one and the start of the other,
+however long they are. The parts of all texts are joined on text, scope and stretch of REACH code points: a candidate is in
+all stretches that it covers, its partner in all that it covers or that lie within REACH of it. So a text with very many
+parts is spread over its stretches; the joins are semi-joins and give no pairs.
 
 Positions are code points. A null or empty text has no part. Rows with one id and text have the same parts and are each
 returned. An empty table gives an empty result. Other columns are not read. Everything is Spark's own functions."""
@@ -79,13 +80,14 @@ def linked(parts: DataFrame) -> DataFrame:
     """The weak parts that have their complementary parts near them."""
 
     def near(weak: DataFrame, partners: DataFrame) -> DataFrame:
-        stretch = F.floor(F.col("start") / REACH)
-        one = weak.withColumn("stretch", stretch)
-        two = partners.select(
-            F.col("key").alias("k"), F.col("scope").alias("s"), F.col("start").alias("at"), F.explode(F.array(stretch - 1, stretch, stretch + 1)).alias("t")
-        )
+        def stretches(by: int) -> Column:
+            return F.explode(F.sequence(F.floor((F.col("start") - by) / REACH), F.floor((F.col("end") + by) / REACH)))
+
+        one = weak.withColumn("stretch", stretches(0))
+        two = partners.select(F.col("key").alias("k"), F.col("scope").alias("s"), F.col("start").alias("from"), F.col("end").alias("to"), stretches(REACH).alias("t"))
         same = (F.col("key") == F.col("k")) & (F.col("scope") == F.col("s")) & (F.col("stretch") == F.col("t"))
-        return one.join(two, same & (F.abs(F.col("start") - F.col("at")) <= REACH), "left_semi").drop("stretch")
+        close = (F.col("start") - F.col("to") <= REACH) & (F.col("from") - F.col("end") <= REACH)
+        return one.join(two, same & close, "left_semi").drop("stretch").distinct()
 
     identifiers, secrets = parts.filter(F.col("kind").isin(ACCESS, LOGIN)), parts.filter(F.col("kind").isin(ASSIGN, SHORT, KEY40))
     by_identifier = near(parts.filter(F.col("kind").isin(SHORT, KEY40, ENDPOINT)), identifiers)

@@ -21,6 +21,7 @@ import hashlib
 import zlib
 from collections.abc import Iterator, Sequence
 from datetime import datetime, timezone
+from itertools import accumulate
 from urllib.parse import urlsplit
 
 import pyarrow as pa
@@ -251,25 +252,42 @@ def merged(runs: DataFrame, rows_per_range: int = MERGE_ROWS) -> DataFrame:
     return placed.mapInArrow(merge, f"{_RUN}, range bigint, position bigint")
 
 
+def in_order(history: DataFrame) -> DataFrame:
+    """The merged history with ``place``, each capture's number in the global order from 0; stored."""
+    rows = durable(history)
+    # one count per range goes to the driver
+    sizes = {r["range"]: r["n"] for r in rows.groupBy("range").agg(F.count("*").alias("n")).collect()}
+    before = list(accumulate([0, *(sizes.get(i, 0) for i in range(max(sizes, default=0) + 1))]))
+    offset = F.get(F.array(*[F.lit(b).cast("bigint") for b in before]), F.col("range").cast("int"))
+    return rows.withColumn("place", offset + F.col("position")).drop("range", "position")
+
+
 def op2_warc(spark, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     path = new_folder(spark, "warc")
     # the table has no capture time: one page a second in the order of ids
     write_archives(pages, path, F.lit(1_704_067_200) + F.pmod(F.coalesce(F.col("page_id"), F.lit(0)), F.lit(1 << 30)))
-    history = merged(read_runs(spark, path))
-    return history.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    history = in_order(merged(read_runs(spark, path)))
+    return history.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "urlkey", "captured", "place")
 
 
-WARC_SQL = """
+WARC_SQL = r"""
 WITH p AS (
-  SELECT page_id, coalesce(html, '') AS html FROM pages
+  SELECT page_id, coalesce(html, '') AS html, 1704067200 + coalesce(page_id, 0) % 1073741824 AS captured,
+         regexp_extract(trim(coalesce(url, '')), '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)(?::([0-9]*))?([^?#]*)(\?[^#]*)?', ['host', 'port', 'path', 'query']) AS u, url
+  FROM pages
+), k AS (
+  SELECT page_id, html, captured, lower(CASE WHEN u.host = '' THEN coalesce(url, '') ELSE
+           array_to_string(list_reverse(string_split(regexp_replace(lower(u.host), '^www\.', ''), '.')), ',') || CASE WHEN u.port IN ('', '80', '443') THEN '' ELSE ':' || u.port END
+           || ')' || CASE WHEN u.path = '' THEN '/' ELSE u.path END || CASE WHEN u.query IN ('', '?') THEN '' ELSE u.query END END) AS urlkey FROM p
 ), d AS (
-  SELECT page_id, octet_length(encode(html)) AS payload_bytes, sha1(html) AS payload_digest FROM p
+  SELECT page_id, urlkey, captured, octet_length(encode(html)) AS payload_bytes, sha1(html) AS payload_digest,
+         row_number() OVER (ORDER BY urlkey, captured, page_id NULLS FIRST) - 1 AS place FROM k
 ), latest AS (
   SELECT payload_digest, max(page_id) AS top FROM d WHERE payload_bytes >= 1000 GROUP BY payload_digest
 )
 SELECT page_id, payload_bytes::BIGINT AS payload_bytes, d.payload_digest AS payload_digest,
-       CASE WHEN page_id < top THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN page_id < top THEN top END AS refers_to
+       CASE WHEN page_id < top THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN page_id < top THEN top END AS refers_to, urlkey, captured::BIGINT AS captured, place
 FROM d LEFT JOIN latest ON d.payload_digest = latest.payload_digest
 """
 

@@ -72,3 +72,15 @@ def test_nothing_to_learn_and_empty_table(spark, docs):
     assert model is None
     assert [r.score for r in q.scored(docs([(1, "a"), (2, None)]), model).collect()] == [0.5, 0.5]
     assert q.scored(docs([]), model).count() == 0
+
+
+def test_an_id_with_very_many_rows_is_one_row_of_the_fit(spark, docs, monkeypatch):
+    """The fit collects at most one row per id and label, whatever the table repeats."""
+    seen = []
+    real = q.cotrain
+    monkeypatch.setattr(q, "cotrain", lambda views, y, pool, **k: seen.append((len(y), len(pool[0]))) or real(views, y, pool, **k))
+    rows = [(i, ("good words here " if i % 2 else "spam ! ") * (5 + i % 7), "en", "s") for i in range(300)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id bigint, label int")
+    hot = [(5, f"other text {j}", "en", "s") for j in range(4000)] + [(250, "pool text", "en", "s")] * 3000
+    model = q.fit(q.prepared(docs(rows + hot)), labels)
+    assert model is not None and seen and seen[0][0] <= 200 and seen[0][1] <= 100

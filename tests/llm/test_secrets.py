@@ -22,7 +22,7 @@ def brute(text):
     parts = [p for p in parts if p[0]]
     breaks = [m.start() for m in re.finditer(r"\n\s*\n", text, re.A)]
     scope = lambda p: sum(b < p[1] for b in breaks)
-    near = lambda p, kinds: any(q[0] in kinds and scope(q) == scope(p) and abs(q[1] - p[1]) <= sc.REACH for q in parts)
+    near = lambda p, kinds: any(q[0] in kinds and scope(q) == scope(p) and max(p[1], q[1]) - min(p[2], q[2]) <= sc.REACH for q in parts)
     ids, keys = ("access", "login"), ("assign", "short", "key40")
     keep = lambda p: p[0] in ("assign", "access", "hex") or (p[0] in ("short", "key40") and near(p, ids)) or (p[0] == "login" and near(p, keys)) or (p[0] == "endpoint" and near(p, ids) and near(p, keys))
     out = sorted((p for p in parts if keep(p)), key=lambda p: (p[1], ORDER[p[0]], p[2]))
@@ -37,6 +37,8 @@ TEXTS = [
     f"user=bob\n\n{K}", "user=bob " + "é" * 301 + f" {K}", "user=bob " + "x " * 140 + K, "login: ann password: abcde https://h.example.com/p", "https://h.example.com only",
     "0123456789abcdef" * 2 + "g" + "0123456789abcdef" * 3, "😀😀 token: 😀 token: abcdefgh😀", "password=abcdefgh\n\n\n  \nuser=x1y user=zoe", "secret: abc token=abcdefghi" * 400,
     "password=" + "a" * 200_000, "user=bob " * 3_000 + "secret=12345", "x" * 299 + "user=eve " + "y" * 270 + " token=1234",
+    f"token={'s' * 800} user=bob", f"user=bob https://s.example.com/{'q' * 5_000}?signature=1 token=1234", f"https://s.example.com/{'q' * 5_000} " + "z" * 298 + " user=bob token=1234",
+    f"user=bob {'z' * 299} token=12345", f"user=bob {'z' * 298} token=12345", f"user=bob https://h.example.com/{'p' * 900} token=12345", f"user={'b' * 2_000} token=12345",
 ]
 
 
@@ -54,6 +56,12 @@ def test_weak_parts_alone_are_not_reported(docs):
     assert got == {1: "", 2: "login:0:8,key40:9:49", 3: ""}
 
 
+def test_long_parts_do_not_hide_their_neighbours(docs):
+    text = f"token={'s' * 800} user=bob"
+    (got,) = sc.secrets(docs([(1, text)])).collect()
+    assert got.spans == "assign:0:806,login:807:815"
+
+
 def test_empty_table_and_only_spark_functions(docs):
     df = sc.secrets(docs([]))
     assert df.count() == 0

@@ -72,3 +72,18 @@ def test_archives_are_gzip_members_and_damage_is_found(spark):
     assert gzip.decompress(content[at : at + n]) == data
     with pytest.raises(ValueError, match="digest"):
         warc.parse(data.replace(b"text", b"tent"))
+
+
+def test_places_are_the_order_of_url_keys_and_times(spark):
+    """Range and position of the merge are one global order, from 0 without gaps, whatever run a capture was in."""
+    rows = [(i, f"https://{'abc'[i % 3]}.example.com/{i * 7919 % 101}", "x" * (i % 5)) for i in range(400)] + [(None, "https://a.example.com/0", None), (3, None, "y")]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    path = new_folder(spark, "warc")
+    warc.write_archives(pages.repartition(5), path, F.lit(1000) + F.coalesce(F.col("page_id"), F.lit(0)))
+    runs = warc.read_runs(spark, path)
+    merged = warc.merged(runs, rows_per_range=50)
+    assert merged.select("range").distinct().count() > 3
+    got = warc.in_order(merged).orderBy("place").collect()
+    assert [r.place for r in got] == list(range(len(rows)))
+    keys = [(r.urlkey, r.captured, r.page_id is not None, r.page_id or 0) for r in got]
+    assert keys == sorted((warc.url_key(u), 1000 + (i or 0), i is not None, i or 0) for i, u, _ in rows)
