@@ -6,29 +6,46 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerloom.functions.scalar import MEASURE_TYPE, clean_ref, key_text, matrix_id
 
 TRIAL_BALANCE_SOURCE = "trial balance adjustments"
 
 
-#: Measures in units of their last decimal: sums and products by counts stay exact.
-UNITS = "decimal(38,0)"
-_DECIMALS = 12
+#: A measure is summed as whole units and as 10^-12 parts of one, each in a decimal that has room for any number of rows.
+_WHOLE, _PART, _PARTS = "decimal(25,0)", "decimal(13,0)", 10**12
 
 
-def units(measure: Column) -> Column:
-    """A DECIMAL(36,12) as a whole number of its last decimals, by dropping the point of its text."""
-    return F.replace(measure.cast(MEASURE_TYPE).cast("string"), F.lit("."), F.lit("")).cast(UNITS)
+def whole_and_part(measure: Column) -> tuple[Column, Column]:
+    """A measure's whole units (rounded down) and the rest in 10^-12 parts, which is never negative."""
+    v = measure.cast(MEASURE_TYPE)
+    whole = F.floor(v).cast(_WHOLE)
+    return whole, ((v - whole).cast("decimal(13,12)") * _parts()).cast(_PART)
 
 
-def from_units(n: Column) -> Column:
-    """Back to DECIMAL(36,12); raises if that has no room for the number."""
-    plain = F.replace(n.cast("string"), F.lit("-"), F.lit(""))  # abs() and negation keep 34 digits only
-    digits = F.lpad(plain, F.greatest(F.length(plain), F.lit(_DECIMALS + 1)), F.lit("0"))
-    whole = F.length(digits) - _DECIMALS
-    text = F.concat(F.when(n < 0, "-").otherwise(""), F.substring(digits, F.lit(1), whole), F.lit("."), F.substring(digits, whole + 1, F.lit(_DECIMALS)))
-    return F.when(n.isNotNull(), _checked(text.try_cast(MEASURE_TYPE)))
+def summed(df: DataFrame, measure: str) -> tuple[Column, Column]:
+    """Aggregates: the exact sum of a measure as whole units and parts. A narrow decimal is summed as it is and divided
+    once per group; a wide one, or a number of another type, is divided row by row."""
+    kind = df.schema[measure].dataType
+    if isinstance(kind, T.DecimalType) and kind.precision <= 18 and kind.scale <= 12:
+        total = checked_sum(measure)
+        whole = F.floor(total)
+        return whole.cast("decimal(38,0)"), ((total - whole).cast("decimal(13,12)") * _parts()).cast("decimal(38,0)")
+    whole, part = whole_and_part(F.col(measure))
+    return checked_sum(whole).cast("decimal(38,0)"), checked_sum(part).cast("decimal(38,0)")
+
+
+def _parts() -> Column:
+    return F.lit(_PARTS).cast(_PART)
+
+
+def measure_of(whole: Column, part: Column) -> Column:
+    """Back to DECIMAL(36,12), with the carry of the parts; raises if that has no room for the number."""
+    carry = F.floor((part - F.pmod(part, _parts())) / _parts()).cast("decimal(38,0)")
+    rest = (F.pmod(part, _parts()).cast(_PART) / _parts()).cast("decimal(13,12)")
+    units = _checked(_checked(F.try_add(whole.cast("decimal(38,0)"), carry)).try_cast(_WHOLE))
+    return F.when(whole.isNotNull(), _checked((units.cast("decimal(37,12)") + rest).try_cast(MEASURE_TYPE)))
 
 
 def _checked(value: Column) -> Column:
@@ -95,30 +112,36 @@ def trial_balance_override(
     hot account is one row per input when it is shuffled, and the affected inputs fall out of the
     same aggregation instead of a second pass."""
     gl_keys = ["input_ref", "account_number", "fiscal_year", "fiscal_month", *on]
+    wide = "decimal(38,0)"
+    zero = F.lit(0).cast(wide)
+    measure = dict(zip(("_measure", "_measure_parts"), summed(gl, "measure_value")))
+    listing = dict(zip(("_override", "_override_parts"), summed(trial_balance, override)))
     ledger = (
         gl.withColumn("account_number", F.col("gl_account").cast("string"))
         .groupBy(*gl_keys)
-        .agg(
-            F.count("*").cast("decimal(19,0)").alias("_rows"),
-            F.coalesce(checked_sum(units(F.col("measure_value"))), F.lit(0).cast(UNITS)).alias("_measure"),
-        )
+        .agg(F.count("*").cast("decimal(19,0)").alias("_rows"), *[F.coalesce(v, zero).alias(n) for n, v in measure.items()])
     )
     listed = (
         trial_balance.withColumn("account_number", F.col("account_number").cast("string"))
         .groupBy("account_number", *on)
         .agg(
-            checked_sum(units(F.col(override))).alias("_override"),
+            *[v.alias(n) for n, v in listing.items()],
             F.sum(F.when(F.col(override).isNull(), 1).otherwise(0)).cast("decimal(19,0)").alias("_plain"),
         )
     )
-    zero = F.lit(0).cast(UNITS)
-    overridden = F.when(F.col("_override").isNull(), zero).otherwise(_checked(F.try_multiply("_rows", "_override").cast(UNITS)))
-    plain = F.when(F.col("_plain").isNull(), F.col("_measure")).otherwise(_checked(F.try_multiply("_plain", "_measure").cast(UNITS)))
-    total = _checked(F.try_add(overridden, plain).cast(UNITS))
+
+    def total(name: str, own: str) -> Column:
+        overridden = F.when(F.col(name).isNull(), zero).otherwise(_checked(F.try_multiply("_rows", name).cast(wide)))
+        plain = F.when(F.col("_plain").isNull(), F.col(own)).otherwise(_checked(F.try_multiply("_plain", own).cast(wide)))
+        return checked_sum(_checked(F.try_add(overridden, plain).cast(wide)))
+
     return (
         ledger.join(listed, ["account_number", *on], "left")
         .groupBy(*[k for k in gl_keys if k != "account_number"])
-        .agg(checked_sum(total).alias("_sum"), F.max(F.col("_override").isNotNull()).alias("_touched"))
+        .agg(
+            total("_override", "_measure").alias("_whole"), total("_override_parts", "_measure_parts").alias("_part"),
+            F.max(F.col("_override").isNotNull()).alias("_touched"),
+        )
         .filter("_touched")
         .select(
             clean_ref("input_ref").alias("input_ref"),
@@ -126,6 +149,6 @@ def trial_balance_override(
             F.col("fiscal_month").alias("fin_period"),
             F.col("fiscal_year").alias("fin_year"),
             *on,
-            from_units(F.col("_sum")).alias("value"),
+            measure_of(F.col("_whole"), F.col("_part")).alias("value"),
         )
     )
