@@ -16,9 +16,8 @@ def _run(t: Tables, **options) -> EngineRun:
 
 
 def _values(run: EngineRun) -> DataFrame:
-    """Values in thousandths; the offset keeps exact halves away from the cut."""
-    milli = F.floor(F.col("value").cast("double") * F.lit(1000.0) + F.lit(0.2537)).cast("bigint")
-    return run.results.select("site_code", "date_key", "kpi_id", "kpi_dim_id", milli.alias("value_milli"))
+    """Values with all their twelve decimals."""
+    return run.results.select("site_code", "date_key", "kpi_id", "kpi_dim_id", F.col("value").cast("string").alias("value"))
 
 
 def formula_levels(t: Tables) -> DataFrame:
@@ -61,6 +60,12 @@ def formula_stamped(t: Tables) -> DataFrame:
     )
 
 
+def formula_audit_text(t: Tables) -> DataFrame:
+    """All columns of a corrected run as they are stored: values with twelve decimals, formulas with their operands."""
+    r = _run(t, adjustments=_net_corrections(t)).results
+    return r.withColumn("value", F.col("value").cast("string"))
+
+
 def formula_names(t: Tables) -> DataFrame:
     named = formula_with_names(prepare_definitions(t.definitions, ["site_code"]), t.definitions, ["site_code"])
     return named.select("site_code", "kpi_id", "kpi_dim_id", "resolved_formula_names")
@@ -74,21 +79,31 @@ def formula_skipped(t: Tables) -> DataFrame:
     return skipped_definitions(t.definitions).select("site_code", "kpi_id", "kpi_dim_id", "kpi_name")
 
 
-def _values_sql(adj: str = "0.0", empty: str = "0.0", seed: str = "0.0") -> str:
+def _levels_sql(adj: str = "0.0", empty: str = "0.0", seed: str = "0.0") -> dict[str, str]:
+    """One CTE per level: the values of its formulas as doubles."""
+    return {
+        "l1": f"SELECT *, (I1 - I3) + CAST({adj} AS DOUBLE) AS k11, I1 / I2 AS k12, CAST({empty} AS DOUBLE) AS k33 FROM formula_values",
+        "l2": "SELECT *, CASE WHEN I4 > 0 THEN k11 / I4 ELSE 0.0::DOUBLE END AS k21, 0.0::DOUBLE + k12 + 1 AS k22 FROM l1",
+        "l3": f"""SELECT *, CASE WHEN k21 > 1000 THEN (k21 + k12) * 2 ELSE CAST({seed} AS DOUBLE) + 5 END AS k31,
+            greatest(k11, k21, 0.0::DOUBLE) - least(k12, 3.0::DOUBLE) AS k32 FROM l2""",
+    }
+
+
+def _stored(value: str) -> str:
+    """A double as it is stored, with twelve decimals."""
+    return f"{value}::VARCHAR::DECIMAL(36,12)::VARCHAR"
+
+
+def _values_sql(**options: str) -> str:
     return typed(
         with_ctes(
             ["formula_values"],
-            """SELECT site_code, date_key, kpi_id, kpi_dim_id, CAST(floor(v * 1000.0::DOUBLE + 0.2537::DOUBLE) AS BIGINT) AS value_milli FROM (
+            f"""SELECT site_code, date_key, kpi_id, kpi_dim_id, {_stored("v")} AS value FROM (
                  SELECT site_code, date_key, 'K1' AS kpi_id, 1 AS kpi_dim_id, k11 AS v FROM l3 UNION ALL SELECT site_code, date_key, 'K1', 2, k12 FROM l3
                  UNION ALL SELECT site_code, date_key, 'K2', 1, k21 FROM l3 UNION ALL SELECT site_code, date_key, 'K2', 2, k22 FROM l3
                  UNION ALL SELECT site_code, date_key, 'K3', 1, k31 FROM l3 UNION ALL SELECT site_code, date_key, 'K3', 2, k32 FROM l3
                  UNION ALL SELECT site_code, date_key, 'K3', 3, k33 FROM l3)""",
-            {
-                "l1": f"SELECT *, (I1 - I3) + CAST({adj} AS DOUBLE) AS k11, I1 / I2 AS k12, CAST({empty} AS DOUBLE) AS k33 FROM formula_values",
-                "l2": "SELECT *, CASE WHEN I4 > 0 THEN k11 / I4 ELSE 0.0::DOUBLE END AS k21, 0.0::DOUBLE + k12 + 1 AS k22 FROM l1",
-                "l3": f"""SELECT *, CASE WHEN k21 > 1000 THEN (k21 + k12) * 2 ELSE CAST({seed} AS DOUBLE) + 5 END AS k31,
-                    greatest(k11, k21, 0.0::DOUBLE) - least(k12, 3.0::DOUBLE) AS k32 FROM l2""",
-            },
+            _levels_sql(**options),
         ),
         text="date_key",
         integer="kpi_dim_id",
@@ -125,6 +140,38 @@ _STAMPED_SQL = typed(
     text="date_key",
     integer="fiscal_year fiscal_month",
 )
+# what each formula shows with its operands; references that are missing or later show 0 or 0.0
+_OPERANDS = {
+    "K1_1": "I1::VARCHAR || ' - ' || I3::VARCHAR",
+    "K1_2": "I1::VARCHAR || ' / ' || I2::VARCHAR",
+    "K2_1": "k11::VARCHAR || ' / ' || CASE WHEN I4 > 0 THEN I4::VARCHAR ELSE '0.0' END",
+    "K2_2": "'0.0 + ' || k12::VARCHAR || ' + 1'",
+    "K3_1": "'(' || k21::VARCHAR || ' + ' || k12::VARCHAR || ') * 2 if ' || k21::VARCHAR || ' > 1000 else 0 + 5'",
+    "K3_2": "'max(' || k11::VARCHAR || ', ' || k21::VARCHAR || ', 0) - min(' || k12::VARCHAR || ', 3)'",
+    "K3_3": "''",
+}
+_CORRECTED = {"K1_1": "+250.500000000000000 [ADJ]", "K3_3": "-1.000000000000000 [ADJ]"}
+
+
+def _audit_sql() -> str:
+    rows = []
+    for k, d, level, name, text in DEFINITIONS:
+        if level == "n/a":
+            continue
+        key, shown = f"{k}_{d}", _OPERANDS[f"{k}_{d}"]
+        if key in _CORRECTED:
+            marked = f"'{_CORRECTED[key]}'" if shown == "''" else f"'(' || {shown} || ') {_CORRECTED[key]}'"
+            shown = f"CASE WHEN I4 > 0 THEN {marked} ELSE {shown} END"
+        rows.append(
+            f"""SELECT sha256('{key}||' || CAST(date_key AS VARCHAR)) AS kpi_engine_key, '{key}' AS matrix_id, date_key, year(date_key + INTERVAL 6 MONTH) AS fiscal_year,
+              month(date_key + INTERVAL 6 MONTH) AS fiscal_month, '{k}' AS kpi_id, {d} AS kpi_dim_id, NULL::VARCHAR AS dim_name, {k[1:]}::DOUBLE AS sort_key, {level}::DOUBLE AS execution_level,
+              'cat' AS category, 'sub' AS subcategory, '{name}' AS kpi_name, '{text.strip()}' AS python_formula, 'USD' AS uom, {_stored(f"k{k[1:]}{d}")} AS value,
+              {shown} AS resolved_formula, 'model' AS source, '{_shown(text)}' AS resolved_formula_names, '{RUN_1}.000' AS created_date, 'loader' AS created_by, site_code FROM l3"""
+        )
+    levels = _levels_sql(adj=_IF_RETURNED.format(250.5), empty=_IF_RETURNED.format(-1.0))
+    return typed(with_ctes(["formula_values"], " UNION ALL ".join(rows), levels), text="date_key", integer="fiscal_year fiscal_month kpi_dim_id")
+
+
 _SCOPES = "SELECT COUNT(*) AS n FROM (SELECT DISTINCT l_suppkey, date_trunc('month', l_shipdate) FROM lineitem)"
 
 QUERIES = {
@@ -140,6 +187,7 @@ QUERIES = {
         ),
     ),
     "formula_stamped": (formula_stamped, _STAMPED_SQL),
+    "formula_audit_text": (formula_audit_text, _audit_sql()),
     "formula_names": (formula_names, _NAMES_SQL),
     "formula_skipped": (formula_skipped, "SELECT s_suppkey AS site_code, 'K4' AS kpi_id, CAST(1 AS INTEGER) AS kpi_dim_id, 'Unused' AS kpi_name FROM supplier"),
     "run_summary": (
