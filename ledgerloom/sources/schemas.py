@@ -4,11 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from typing import TYPE_CHECKING
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerloom.operators.numbering import assign_surrogate_keys
+
+if TYPE_CHECKING:
+    from ledgerloom.sources.kept import NumberRange
+
 INPUT_COLUMNS = ("input_ref", "source", "fin_period", "fin_year", "value")
 
 # Columns and types of the two companion tables that a run creates empty.
@@ -68,3 +74,27 @@ def mapped(df: DataFrame, columns: Sequence[ColumnSpec]) -> DataFrame:
             value = F.coalesce(value, F.expr(c.default).cast(c.data_type))
         out.append(value.alias(c.name, metadata={"comment": c.comment}) if c.comment else value.alias(c.name))
     return df.select(*out)
+
+
+def enforced(
+    df: DataFrame, columns: Sequence[ColumnSpec], identity: str | None = None, numbers: NumberRange | None = None, order: Sequence[str] = ()
+) -> DataFrame:
+    """Rows as a table with these columns takes them: types, defaults, constraints, identity and comments.
+
+    A missing column takes its DEFAULT, or NULL. NULL in a NOT NULL column becomes its DEFAULT; without one the row raises
+    when it is written. The ``identity`` column is generated, in a range that ``numbers`` reserves and in ``order`` (of all
+    other columns if none is given); values for it may not come with the rows."""
+    if identity is not None:
+        if numbers is None or identity in df.columns:
+            raise ValueError(f"the identity column {identity} is generated from a NumberRange and cannot be given")
+        names = list(order) or [c.name for c in columns if c.name in df.columns]
+        df = assign_surrogate_keys(df, numbers.reserve, identity, names)
+    out = []
+    for c in columns:
+        default = None if c.default is None else F.expr(c.default).cast(c.data_type)
+        value = F.col(f"`{c.name}`").cast(c.data_type) if c.name in df.columns else F.lit(None).cast(c.data_type) if default is None else default
+        if not c.nullable:
+            last = default if default is not None else F.raise_error(F.lit(f"{c.name} must not be NULL")).cast(c.data_type)
+            value = F.coalesce(value, last)
+        out.append(value.alias(c.name, metadata={"comment": c.comment}) if c.comment else value.alias(c.name))
+    return df.select(*out)

@@ -8,11 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import merge as m
+from ledgerloom.operators.expectations import Expectation
 from ledgerloom.operators.numbering import assign_surrogate_keys
 from ledgerloom.plans.loads import Load, kept_table, load_kept
+from ledgerloom.plans.measured import load_measured
+from ledgerloom.sources import views
 from ledgerloom.sources.durable import checkpoint_dir
 from ledgerloom.sources.kept import KeptTable, NumberRange
-from ledgerloom.sources.schemas import table_schema
+from ledgerloom.sources.schemas import ColumnSpec, enforced, table_schema
 from ledgerloom.sources.snapshots import VersionedHistory
 from workload import loads
 from workload.fixtures import FIRST_LOAD, RUN_1, RUN_2, Tables, as_ts, typed, with_ctes
@@ -109,6 +112,93 @@ KEYS = """SELECT row_number() OVER (ORDER BY nation_key, kind NULLS FIRST) AS pa
     UNION ALL SELECT (SELECT COUNT(*) FROM customer) + (SELECT COUNT(*) FROM supplier) + row_number() OVER (ORDER BY n_nationkey), n_nationkey, n_name FROM nation"""
 
 
+CHECKED = (
+    ColumnSpec("nation_key", "int", "nation_key", tests={"in the first twenty": "nation_key < 20"}),
+    ColumnSpec("kind", "string", "kind", tests={"known": "kind <> 'MACHINERY'"}),
+    ColumnSpec("in_debt", "boolean", "balance < 0"),
+)
+
+
+def load_tests_report(t: Tables) -> DataFrame:
+    """Tests before, in and after a load of customers and suppliers; what the column tests say is counted by the write."""
+    table = KeptTable(t.spark, _path(t, "party"), table_schema(CHECKED))
+    tests = [
+        Expectation("customers have a nation", lambda: t.customer.filter("c_nationkey is null"), "Before"),
+        Expectation("no debt", lambda: t.customer.filter("c_acctbal < 0"), "Before", continue_on_failure=True),
+        Expectation("no debt loaded", lambda: table.read().filter("in_debt"), "After", continue_on_failure=True),
+    ]
+    outcome = load_measured(Load("party", "stage", CHECKED, strategy="UNION ALL", tests=tests), table, loads._parties(t), as_ts(RUN_1))
+    report = t.spark.createDataFrame([tuple(r.values()) for r in outcome.report], "moment string, test string, status string, failed_rows bigint")
+    sums = table.read().agg(F.count("*").alias("loaded")).crossJoin(outcome.aside.agg(F.count("*").alias("aside")))  # one row each
+    return report.crossJoin(sums)
+
+
+LOAD_TESTS = """WITH p AS (SELECT c_nationkey AS nation_key, nullif(c_mktsegment, 'FURNITURE') AS kind, c_acctbal AS balance, TRUE AS is_customer FROM customer
+      UNION ALL SELECT s_nationkey, 'SUPPLIER', s_acctbal, FALSE FROM supplier),
+    q AS (SELECT *, coalesce(nation_key < 20, FALSE) AS first_ok, coalesce(kind <> 'MACHINERY', FALSE) AS kind_ok FROM p),
+    r(moment, test, failed_rows) AS (
+      SELECT 'Before', 'customers have a nation', count(*) FILTER (nation_key IS NULL AND is_customer) FROM q UNION ALL SELECT 'Before', 'no debt', count(*) FILTER (balance < 0 AND is_customer) FROM q
+      UNION ALL SELECT 'Load', 'nation_key: in the first twenty', count(*) FILTER (NOT first_ok) FROM q UNION ALL SELECT 'Load', 'kind: known', count(*) FILTER (NOT kind_ok) FROM q
+      UNION ALL SELECT 'After', 'no debt loaded', count(*) FILTER (first_ok AND kind_ok AND balance < 0) FROM q)
+    SELECT moment, test, CASE WHEN failed_rows > 0 THEN 'FAILED' ELSE 'PASSED' END AS status, failed_rows,
+      (SELECT count(*) FROM q WHERE first_ok AND kind_ok) AS loaded, (SELECT count(*) FROM q WHERE NOT (first_ok AND kind_ok)) AS aside FROM r"""
+
+CONSTRAINED = (
+    ColumnSpec("party_key", "bigint", comment="generated"),
+    ColumnSpec("nation_key", "int", nullable=False),
+    ColumnSpec("kind", "string", nullable=False, default="'none'"),
+    ColumnSpec("note", "string", default="'as loaded'"),
+)
+
+
+def table_constraints(t: Tables) -> DataFrame:
+    """Customers into a table with NOT NULL, defaults, an identity and a comment; then a load that breaks NOT NULL."""
+    table, numbers = KeptTable(t.spark, _path(t, "constrained"), table_schema(CONSTRAINED)), NumberRange(t.spark, _path(t, "numbers"))
+    rows = loads._parties(t)[0].select("nation_key", "kind")
+    table.replace(enforced(rows, CONSTRAINED, "party_key", numbers))
+    try:
+        table.append(enforced(rows.withColumn("nation_key", F.nullif("nation_key", F.lit(3))), CONSTRAINED, "party_key", numbers))
+        refused = "written"
+    except Exception as e:  # noqa: BLE001 - the error is the result
+        refused = "nation_key must not be NULL" if "nation_key must not be NULL" in str(e) else str(e)
+    kept = table.read()
+    return kept.withColumns({"comment": F.lit(kept.schema["party_key"].metadata["comment"]), "refused": F.lit(refused)})
+
+
+CONSTRAINTS = """SELECT row_number() OVER (ORDER BY nation_key, kind NULLS FIRST) AS party_key, nation_key, coalesce(kind, 'none') AS kind, 'as loaded' AS note, 'generated' AS comment,
+    'nation_key must not be NULL' AS refused FROM (SELECT c_nationkey AS nation_key, nullif(c_mktsegment, 'FURNITURE') AS kind FROM customer)"""
+
+
+def views_by_dependence(t: Tables) -> DataFrame:
+    """A chain of views whose names are in the wrong order, two that read each other, and what reads a failing one."""
+    at = uuid.uuid4().hex
+
+    def broken() -> DataFrame:
+        raise ValueError("no such source")
+
+    read = lambda name: t.spark.table(f"{name}_{at}")
+    found = views.register(
+        {
+            f"{name}_{at}": views.View(build, [f"{r}_{at}" for r in reads])
+            for name, build, reads in (
+                ("a_totals", lambda: read("m_lines").groupBy("l_suppkey").agg(F.sum("quantity").alias("quantity")), ["m_lines"]),
+                ("m_lines", lambda: read("z_base").select("l_suppkey", F.col("l_quantity").cast("bigint").alias("quantity")), ["z_base"]),
+                ("z_base", lambda: t.lineitem, []),
+                ("c_one", lambda: read("c_two"), ["c_two"]),
+                ("c_two", lambda: read("c_one"), ["c_one"]),
+                ("f_root", broken, []),
+                ("f_above", lambda: read("f_root"), ["f_root"]),
+            )
+        }
+    )
+    report = ", ".join(f"{r['view']} {r['status']} {r['error']}".strip() for r in found).replace(f"_{at}", "")
+    return read("a_totals").withColumn("report", F.lit(report))
+
+
+_VIEWS_REPORT = (
+    "a_totals SUCCESS, c_one FAILED reads itself: c_one -> c_two -> c_one, c_two FAILED reads itself: c_two -> c_one -> c_two, "
+    "f_above SKIPPED not there: f_root, f_root FAILED no such source, m_lines SUCCESS, z_base SUCCESS"
+)
 QUERIES = {
     "kept_fact_upsert": (kept_fact_upsert, loads.FACT_UPSERT),
     "kept_scd2": (kept_scd2, loads.QUERIES["scd2_dimension"][1]),
@@ -116,4 +206,7 @@ QUERIES = {
     "versions_of_interleaved_runs": (versions_of_interleaved_runs, VERSIONS),
     "replaced_by_own_rows": (replaced_by_own_rows, "SELECT l_suppkey, SUM(CAST(l_quantity AS BIGINT))::BIGINT AS quantity, COUNT(DISTINCT l_partkey) AS parts FROM lineitem GROUP BY 1"),
     "keys_of_interleaved_loads": (keys_of_interleaved_loads, KEYS),
+    "load_tests_report": (load_tests_report, LOAD_TESTS),
+    "table_constraints": (table_constraints, CONSTRAINTS),
+    "views_by_dependence": (views_by_dependence, f"SELECT l_suppkey, SUM(CAST(l_quantity AS BIGINT))::BIGINT AS quantity, '{_VIEWS_REPORT}' AS report FROM lineitem GROUP BY 1"),
 }
