@@ -1,11 +1,20 @@
 """Toxicity by a weighted finite-state grammar over clauses.
 
 Words become classes: insults (with weights learned from labels: whole words, and stems for languages that inflect them),
-threats, targets, negations, reports, and the ends of clauses. Four transducers rewrite the sequence of classes and are
-composed into one machine: negation weakens what follows it within a few words, a reported clause is weakened as a whole, a
-target strengthens, and the last one turns what is left into matches with weights. Each clause with a match has a score, the
-weights of its matches times the factors on their paths; a document's features are its largest clause score, the sum, the
-number of clauses and the part of words, and a logistic function fitted on labelled documents gives its score.
+modifiers, threats, targets, negations, reports, and the ends of clauses. Five transducers rewrite the sequence of classes,
+one after the other, and are composed into one machine:
+
+    threat      target ... threat verb becomes a match; a threat verb without a target is an ordinary verb
+    insult      target ... insult, modifier ... insult and insult ... insult (a second word strengthens) become matches; an
+                insult that stands alone becomes a match of lower weight
+    negation    weakens the next match within a few words
+    report      weakens all matches of a clause that says who said it
+    target      strengthens matches that are aimed at somebody
+
+Each clause with a match has a score, the weights of its matches times the factors on their paths; a document's features are
+its largest clause score, the sum, the number of clauses and the part of words, and a logistic function fitted on labelled
+documents gives its score. The classes other than insults are fixed lists; the weight of a threat is that of the heaviest
+insult.
 
 The fit uses a bounded sample (SAMPLE_DOCS per label, chosen by a hash of the id, equal texts once). Entries are found by
 covering: the word or stem that explains most toxic documents not yet explained is taken, until no further one explains
@@ -41,11 +50,13 @@ _MEMO_WORDS = 200_000
 THREATS = "kill hurt destroy beat shoot burn töte töten schlagen vernichten tuer tuerai frapper détruire matar mataré golpear destruir".split()
 TARGETS = "you your he him she her they them du dich dein er ihn sie ihr tu te toi vous il elle ils tú usted él ella ellos".split()
 NEGATIONS = "not no never nobody isn't aren't wasn't don't doesn't nicht kein keine nie ne pas jamais aucun nunca ningún tampoco".split()
+MODIFIERS = "such total utter complete absolute damn dirty solch solcher völliger verdammter dreckiger espèce gros sale pauvre pedazo maldito completo sucio".split()
 REPORTS = "said says wrote writes called quote quoted quoting allegedly sagte schrieb nannte dit écrit appelé dijo escribió llamó".split()
 
-OTHER, END, GAP, INSULT, THREAT, TARGET, NEGATION, REPORT = range(8)
+SYMBOLS = range(10)
+OTHER, END, GAP, INSULT, THREAT, TARGET, NEGATION, REPORT, MODIFIER, MATCH = SYMBOLS
 #: Factors of the grammar on a match.
-NEGATED, REPORTED, DIRECTED = 0.25, 0.4, 1.25
+NEGATED, REPORTED, DIRECTED, ALONE, AGAIN = 0.25, 0.4, 1.25, 0.8, 1.25
 
 
 @dataclass(frozen=True)
@@ -81,18 +92,25 @@ def composed(machines: list[Transducer], symbols: range) -> Transducer:
     return Transducer(start, arcs)
 
 
-def grammar() -> Transducer:
-    match = (INSULT, THREAT)
-    # a negation reaches SCOPE words; a gap symbol stands for more words than that
-    negation = Transducer("plain", {("plain", NEGATION): ("negated", OTHER, 1.0), **{("negated", m): ("plain", m, NEGATED) for m in match}, ("negated", NEGATION): ("plain", OTHER, 1.0), ("negated", GAP): ("plain", GAP, 1.0), ("negated", END): ("plain", END, 1.0)})
-    report = Transducer("direct", {("direct", REPORT): ("reported", OTHER, 1.0), **{("reported", m): ("reported", m, REPORTED) for m in match}, ("reported", END): ("direct", END, 1.0)})
-    target = Transducer("none", {("none", TARGET): ("aimed", OTHER, 1.0), **{("aimed", m): ("aimed", m, DIRECTED) for m in match}, ("aimed", GAP): ("none", GAP, 1.0), ("aimed", END): ("none", END, 1.0)})
-    # a threat counts only once its clause has a target: alone it is read as an ordinary verb
-    threat = Transducer("calm", {("calm", TARGET): ("met", TARGET, 1.0), ("calm", THREAT): ("calm", OTHER, 1.0), ("met", END): ("calm", END, 1.0)})
-    return composed([threat, negation, report, target], range(8))
+def _machines() -> list[Transducer]:
+    """The transducers in their order. A gap symbol stands for more than SCOPE words."""
+    threat = Transducer("calm", {("calm", TARGET): ("met", TARGET, 1.0), ("calm", THREAT): ("calm", OTHER, 1.0), ("met", THREAT): ("met", MATCH, 1.0), ("met", END): ("calm", END, 1.0)})
+    insult = Transducer(
+        "alone",
+        {
+            ("alone", TARGET): ("led", TARGET, 1.0), ("alone", MODIFIER): ("led", OTHER, 1.0), ("led", MODIFIER): ("led", OTHER, 1.0), ("again", MODIFIER): ("again", OTHER, 1.0),
+            ("alone", INSULT): ("again", MATCH, ALONE), ("led", INSULT): ("again", MATCH, 1.0), ("again", INSULT): ("again", MATCH, AGAIN),
+            **{(s, x): ("alone", x, 1.0) for s in ("led", "again") for x in (GAP, END)},
+        },
+    )
+    negation = Transducer("plain", {("plain", NEGATION): ("negated", OTHER, 1.0), ("negated", MATCH): ("plain", MATCH, NEGATED), ("negated", NEGATION): ("plain", OTHER, 1.0), ("negated", GAP): ("plain", GAP, 1.0), ("negated", END): ("plain", END, 1.0)})
+    report = Transducer("direct", {("direct", REPORT): ("reported", OTHER, 1.0), ("reported", MATCH): ("reported", MATCH, REPORTED), ("reported", END): ("direct", END, 1.0)})
+    target = Transducer("none", {("none", TARGET): ("aimed", OTHER, 1.0), ("aimed", MATCH): ("aimed", MATCH, DIRECTED), ("aimed", GAP): ("none", GAP, 1.0), ("aimed", END): ("none", END, 1.0)})
+    return [threat, insult, negation, report, target]
 
 
-MACHINE = grammar()
+MACHINES = _machines()
+MACHINE = composed(MACHINES, SYMBOLS)
 
 
 def clause_scores(classes: list[int], weights: list[float], gaps: list[int], ends: list[int]) -> list[float]:
@@ -108,7 +126,7 @@ def clause_scores(classes: list[int], weights: list[float], gaps: list[int], end
         if gap > SCOPE:
             state = MACHINE.arcs[state, GAP][0]
         state, written, factor = MACHINE.arcs[state, symbol]
-        if written in (INSULT, THREAT):
+        if written == MATCH:
             clause += weight * factor
     return [*out, clause] if clause else out
 
@@ -119,7 +137,7 @@ class Lexicon:
     def __init__(self, entries: dict[str, float]):
         self.entries = entries
         heaviest = max(entries.values(), default=1.0)
-        self.fixed = {w: (c, heaviest if c == THREAT else 0.0) for c, ws in ((THREAT, THREATS), (TARGET, TARGETS), (NEGATION, NEGATIONS), (REPORT, REPORTS)) for w in ws}
+        self.fixed = {w: (c, heaviest if c == THREAT else 0.0) for c, ws in ((MODIFIER, MODIFIERS), (THREAT, THREATS), (TARGET, TARGETS), (NEGATION, NEGATIONS), (REPORT, REPORTS)) for w in ws}
         self.seen = tx.Numbers(_MEMO_WORDS)
         self.classes, self.weights, self.closes = (np.zeros(1 << 12, k) for k in (np.int8, float, bool))
 

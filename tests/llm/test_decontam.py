@@ -130,6 +130,13 @@ def test_scores_do_not_depend_on_the_number_of_shards(spark, docs):
     assert {k: tuple(round(z, 9) for z in v) for k, v in got.items()} == {(d, i): tuple(round(z, 9) for z in x) for d, i, *x in results[0]}
 
 
+def test_words_of_one_pattern_are_different_terms():
+    pair = ["".join("ab"[(bin(i).count("1") + k) & 1] for i in range(1024)) for k in (0, 1)]
+    index = dc.Index.alone([(1, f"one two {pair[0]} three? four five")])
+    texts = [f"one two {pair[0]} three four five", f"{pair[1]} {pair[0]}", pair[1], pair[0]]
+    assert {row for row, *_ in index.texts(pa.array(texts))} == {0}
+
+
 def test_empty_tables(spark, docs):
     none = spark.createDataFrame([], ITEMS)
     assert dc.leaks(docs([(1, "a b c")]), none).count() == 0

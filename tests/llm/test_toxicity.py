@@ -1,5 +1,9 @@
+import math
 import random
+import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,8 +14,6 @@ LEX = {"idiot": 4.0, "grob*": 3.0}
 
 
 def clauses(text):
-    import pyarrow as pa
-
     found = []
     original = tox.clause_scores
 
@@ -28,14 +30,17 @@ def clauses(text):
 
 
 def test_grammar_scores_clauses_not_words():
-    assert clauses("the idiot sat") == [4.0]
+    assert clauses("the idiot sat") == [4.0 * tox.ALONE]
+    assert clauses("such an idiot") == [4.0] and clauses("total grober idiot") == [3.0 + 4.0 * tox.AGAIN]
+    assert clauses("idiot a b c d e f idiot") == [8.0 * tox.ALONE]  # too far apart to be one insult
+    assert clauses("such a. idiot") == [4.0 * tox.ALONE]
     assert clauses("you idiot") == [4.0 * tox.DIRECTED]
     assert clauses("he is not an idiot") == [4.0 * tox.NEGATED * tox.DIRECTED]
-    assert clauses("not that it mattered very much idiot") == [4.0]  # beyond the negation's scope
-    assert clauses("not. idiot") == [4.0]
-    assert clauses("never not idiot") == [4.0]
-    assert clauses("she said idiot and idiot; idiot") == [2 * 4.0 * tox.REPORTED * tox.DIRECTED, 4.0]
-    assert clauses("Grobian! GROBER.") == [3.0, 3.0]
+    assert clauses("not that it mattered very much idiot") == [4.0 * tox.ALONE]  # beyond the negation's scope
+    assert clauses("not. idiot") == [4.0 * tox.ALONE]
+    assert clauses("never not idiot") == [4.0 * tox.ALONE]
+    assert clauses("she said idiot and idiot; idiot") == [4.0 * tox.REPORTED * tox.DIRECTED * (1 + tox.AGAIN), 4.0 * tox.ALONE]
+    assert clauses("Grobian! GROBER.") == [3.0 * tox.ALONE] * 2
     assert clauses("grob") == []  # a stem needs an ending
     assert clauses("kill it") == [] and clauses("we kill you") == [] and clauses("you we kill") == [4.0 * tox.DIRECTED]
     assert clauses("nothing at all") == [] and clauses(None) == []
@@ -54,6 +59,53 @@ def test_composition_does_what_the_machines_do_in_turn():
         assert (got, h, st) == (out, f * g, (s, t))
 
 
+def brute(text, entries):
+    """Features from the machines run one after another over the whole text, without composing them."""
+    fixed = {w: c for c, ws in ((tox.MODIFIER, tox.MODIFIERS), (tox.THREAT, tox.THREATS), (tox.TARGET, tox.TARGETS), (tox.NEGATION, tox.NEGATIONS), (tox.REPORT, tox.REPORTS)) for w in ws}
+    words, symbols, last, ended = re.findall(r"[^\x20\x09-\x0D]+", text or ""), [], -1, False
+    for i, word in enumerate(words):
+        bare = re.sub(r"^[\W_]+|[\W_]+$", "", word.lower())
+        weight = entries.get(bare) or next((entries[f"{bare[:n]}*"] for n in tox.STEMS if len(bare) > n and f"{bare[:n]}*" in entries), None)
+        kind = tox.INSULT if weight else fixed.get(bare, tox.OTHER)
+        if kind != tox.OTHER:
+            symbols += [(tox.END, 0.0)] * (ended and last >= 0) + [(tox.GAP, 0.0)] * (i - last - 1 > tox.SCOPE)
+            symbols.append((kind, weight or (max(entries.values()) if kind == tox.THREAT else 0.0)))
+            last, ended = i, False
+        ended |= word[-1] in ".!?;:"
+    for machine in tox.MACHINES:
+        state, out = machine.start, []
+        for symbol, weight in symbols:
+            state, written, factor = machine.step(state, symbol)
+            out.append((written, weight * factor))
+        symbols = out
+    scores = [0.0]
+    for symbol, weight in symbols:
+        if symbol == tox.END:
+            scores.append(0.0)
+        elif symbol == tox.MATCH:
+            scores[-1] += weight
+    scores = [s for s in scores if s]
+    return [max(scores), math.log1p(sum(scores)), math.log1p(len(scores)), math.sqrt(len(scores) / len(words))] if scores else [0.0] * 4
+
+
+def test_equals_the_machines_one_after_another(spark):
+    """Whole texts, real and made: the composed machine over remembered words against plain loops."""
+    r = random.Random(5)
+    vocab = ["idiot", "grober", "w1", "w2", "w3", "kill", "you", "not", "said", "such", "x.", "y!", "idiot.", "du", "nie", "Kill;", "total", "GROBIAN?", "—", "w4"]
+    texts = [" ".join(r.choices(vocab, k=r.randint(0, 60))) for _ in range(400)] + [None, "", "...", "idiot", "you " * 3000 + "idiot"]
+    texts += [x.text for x in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    entries = {**LEX, "the": 1.5, "und": 0.5, "tion*": 2.0}
+    got = tox.Lexicon(entries).texts(pa.array(texts, pa.string()))
+    want = [brute(t, entries) for t in texts]
+    assert np.allclose(got, want, atol=1e-12) and sum(any(w) for w in want) > 300
+
+
+def test_words_of_one_pattern_are_told_apart():
+    pair = ["".join("ab"[(bin(i).count("1") + k) & 1] for i in range(1024)) for k in (0, 1)]
+    x = tox.Lexicon({pair[0]: 4.0}).texts(pa.array([pair[0], pair[1], " ".join(pair)]))
+    assert (x[:, 0] > 0).tolist() == [True, False, True]
+
+
 def corpus(n=900):
     r = random.Random(4)
     vocab = [f"w{i}" for i in range(500)]
