@@ -268,8 +268,40 @@ def float_text(x: Column | str) -> Column:
     )
 
 
+def whole_digits(whole: Column) -> Column:
+    """The decimal digits of a finite double that is a whole number and not negative.
+
+    The number is cut into 24-bit pieces, which is exact, and its digits grow from the highest piece down: nine of them to a
+    limb, lowest limb first, with one carry over the limbs for each piece. A small number has few pieces and limbs."""
+    base, limb = 1 << 24, 10**9
+
+    def piece(i: Column) -> Column:
+        scaled = whole / F.pow(F.lit(float(base)), i)
+        return F.try_mod(scaled - F.try_mod(scaled, F.lit(1.0)), F.lit(float(base))).cast("bigint")
+
+    def push(limbs: Column, i: Column) -> Column:
+        def carried(state: Column, x: Column) -> Column:
+            total = x * base + state["carry"]
+            # a multiple of the limb below 2^62 is a double without loss
+            above = ((total - total % limb) / limb).cast("bigint")
+            return F.struct(F.concat(state["limbs"], F.array(total % limb)).alias("limbs"), above.alias("carry"))
+
+        start = F.struct(F.array().cast("array<bigint>").alias("limbs"), piece(i).alias("carry"))
+        return let(
+            F.aggregate(limbs, start, carried),
+            lambda end: F.when(end["carry"] > 0, F.concat(end["limbs"], F.array(end["carry"]))).otherwise(end["limbs"]),
+        )
+
+    top = F.floor(F.log2(F.greatest(whole, F.lit(1.0))) / 24).cast("int")
+    limbs = F.aggregate(F.sequence(top + 1, F.lit(0), F.lit(-1)), F.array().cast("array<bigint>"), push)
+    text = F.aggregate(
+        F.reverse(limbs), F.lit(""), lambda shown, x: F.concat(shown, F.when(shown == "", x.cast("string")).otherwise(F.lpad(x.cast("string"), 9, "0")))
+    )
+    return let(text, lambda shown: F.when(shown == "", "0").otherwise(shown))
+
+
 def signed_fixed(x: Column | str, digits: Column | int = 15) -> Column:
-    """Signed text with ``digits`` (1 to 15) decimals, rounded half-even from the exact binary value.
+    """Signed text with ``digits`` (1 to 15) decimals, rounded half-even from the exact binary value, of any double.
 
     The fraction is cut into eight 13-bit pieces, which covers every double that does not round to
     zero; multiplying by 10^digits runs from the lowest piece up in whole numbers, so nothing is lost."""
@@ -277,8 +309,8 @@ def signed_fixed(x: Column | str, digits: Column | int = 15) -> Column:
     n = F.lit(digits) if isinstance(digits, int) else digits.cast("int")
     unit = F.rint(F.pow(F.lit(10.0), n)).cast("bigint")
     size = F.abs(d)
-    whole = F.floor(size)
-    fraction = size - whole.cast("double")
+    fraction = F.try_mod(size, F.lit(1.0))
+    whole = size - fraction
     base = 1 << 13
 
     def piece(i: Column) -> Column:
@@ -300,12 +332,14 @@ def signed_fixed(x: Column | str, digits: Column | int = 15) -> Column:
         up = (left_over > half) | ((left_over == half) & (end["lost"] | (quotient % 2 == 1)))
         return quotient + F.when(up, 1).otherwise(0)
 
+    sign = F.when(d.cast("string").startswith("-"), "-").otherwise("+")
+
     def text(fraction_units: Column) -> Column:
         carry = fraction_units >= unit
-        whole_text = (whole + F.when(carry, 1).otherwise(0)).cast("string")
+        # a number with a fraction is below 2^52, where one more is exact
+        whole_text = whole_digits(whole + F.when(carry, 1.0).otherwise(0.0))
         frac_text = F.lpad(F.when(carry, F.lit(0)).otherwise(fraction_units).cast("string"), n, F.lit("0"))
-        sign = F.when(d.cast("string").startswith("-"), "-").otherwise("+")
         return F.concat(sign, whole_text, F.lit("."), frac_text)
 
-    exact = let(let(folded, rounded), text)
-    return F.when(size < F.lit(float(2**62)), exact).otherwise(F.format_string("%+.15f", d))
+    # no number has digits for these
+    return F.when(F.isnan(d), "+nan").when(size == F.lit(float("inf")), F.concat(sign, F.lit("inf"))).otherwise(let(let(folded, rounded), text))

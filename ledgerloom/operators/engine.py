@@ -305,7 +305,9 @@ def _missing_log(definitions: DataFrame, scopes: DataFrame, outside: DataFrame,
 def _stamped(results: DataFrame, dim_names: DataFrame | None, site: list[str], period: str, run_ts: Column, run_user: str) -> DataFrame:
     day = F.trunc(F.col(period).cast("date"), "MM")
     if dim_names is not None:
-        results = results.join(dim_names.select(F.col("kpi_dim_id").cast("bigint").alias("_d"), F.col("kpi_dim_name").cast("string").alias("dim_name")), F.col("kpi_dim_id").cast("bigint") == F.col("_d"), "left").drop("_d")
+        # an id with several names has one of them: the greatest, as no sequence is given
+        named = dim_names.groupBy(F.col("kpi_dim_id").cast("bigint").alias("_d")).agg(F.max(F.col("kpi_dim_name").cast("string")).alias("dim_name"))
+        results = results.join(named, F.col("kpi_dim_id").cast("bigint") == F.col("_d"), "left").drop("_d")
     elif "dim_name" not in results.columns:
         results = results.withColumn("dim_name", F.lit(None).cast("string"))
     results = results.withColumns(

@@ -42,6 +42,15 @@ def adjustment_source(environment: str, period: Period) -> str:
     return "file" if environment == "ba" or period.fiscal == (2026, 9) else "table"
 
 
+def period_corrections(environment: str, period: Period, file_rows: DataFrame, table_rows: DataFrame) -> DataFrame:
+    """Summed KPI corrections of one period, from the source that its environment and fiscal period call for.
+
+    The file belongs to the period; of the table only the period's and the site's adjusted rows count."""
+    if adjustment_source(environment, period) == "file":
+        return kpi_adjustments(file_rows)
+    return table_adjustments(table_rows, period=period.date, site=period.site)
+
+
 def all_inputs(
     unified: DataFrame,
     overlays: Sequence[DataFrame | None],

@@ -53,15 +53,20 @@ def normalised_header(name: str) -> str:
     return name.strip().replace(" ", "_").lower()
 
 
-def find_period_file(spark: SparkSession, base: str, year: int, month: int, file_path: str, suffix: str) -> str | None:
-    """First file, in name order, of ``{base}/{year}/{MM}/{folder}/{prefix}*{suffix}``; None if there is none."""
+def period_candidates(spark: SparkSession, base: str, year: int, month: int, file_path: str, suffix: str) -> list[str]:
+    """All ``{base}/{year}/{MM}/{folder}/{prefix}*{suffix}`` in name order; a folder of part files counts as one file.
+
+    Only the folder is listed, on the driver; hidden names do not count."""
     folder, _, prefix = file_path.partition("/")
-    pattern = f"{base}/{year}/{month:02d}/{folder}/{prefix}*{suffix}"
-    try:
-        listed = spark.read.format("binaryFile").load(pattern).agg(F.min("path").alias("p"))
-        return listed.first()["p"]
-    except AnalysisException:
-        return None
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/{year}/{month:02d}/{folder}/{prefix}*{suffix}")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
+    paths = [s.getPath() for s in found]
+    return [p.toString() for p in sorted(paths, key=lambda p: p.getName()) if not p.getName().startswith(("_", "."))]
+
+
+def find_period_file(spark: SparkSession, base: str, year: int, month: int, file_path: str, suffix: str) -> str | None:
+    """The first of ``period_candidates``; None if there is none."""
+    return next(iter(period_candidates(spark, base, year, month, file_path, suffix)), None)
 
 
 def read_period_file(

@@ -94,3 +94,14 @@ def test_number_texts_match_python(spark):
     for r in df.select("v", sc.float_text("v").alias("t"), sc.signed_fixed("v").alias("s")).collect():
         assert r["t"] == repr(r["v"])
         assert r["s"] == f"{r['v']:+.15f}"
+
+
+def test_number_texts_of_all_sizes(spark):
+    """One rule on both sides of 2^62, and where nine digits fill a limb."""
+    rng = random.Random(9)
+    values = [2.0**k for k in range(-60, 1024, 5)] + [2.0**k - 2.0 ** max(k - 53, 0) for k in range(2, 1024, 7)]
+    values += [10.0**k for k in range(309)] + [float(n * 10**9 - 1) for n in (1, 10**6, 9007198)] + [1.7976931348623157e308, 5e-324]
+    values += [rng.uniform(-1, 1) * 10.0 ** rng.randint(10, 308) for _ in range(300)] + [float("inf"), float("-inf"), float("nan"), -0.0, None]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    for r in df.select("v", sc.signed_fixed("v").alias("s")).collect():
+        assert r["s"] == (None if r["v"] is None else f"{r['v']:+.15f}")

@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from workload import formulas, functions_and_inputs, kept, loads, marts, run_path
+from workload import formulas, functions_and_inputs, kept, loads, marts, run_options, run_path
 from workload.fixtures import Tables, portable
 
-_ALL = {**functions_and_inputs.QUERIES, **marts.QUERIES, **formulas.QUERIES, **loads.QUERIES, **run_path.QUERIES, **kept.QUERIES}
+_ALL = {**functions_and_inputs.QUERIES, **marts.QUERIES, **formulas.QUERIES, **loads.QUERIES, **run_path.QUERIES, **kept.QUERIES, **run_options.QUERIES}
 
 
 def _bound(fn: Callable[[Tables], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
