@@ -1,4 +1,8 @@
+import math
 import random
+import re
+import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -84,3 +88,90 @@ def test_an_id_with_very_many_rows_is_one_row_of_the_fit(spark, docs, monkeypatc
     hot = [(5, f"other text {j}", "en", "s") for j in range(4000)] + [(250, "pool text", "en", "s")] * 3000
     model = q.fit(q.prepared(docs(rows + hot)), labels)
     assert model is not None and seen and seen[0][0] <= 200 and seen[0][1] <= 100
+
+
+def plain_text(text):
+    data = (text or "").encode()
+    if not data:
+        return [0.0] * q.TEXT_FEATURES
+    words = re.findall(rb"[^\x20\x09-\x0d]+", data)
+    n, triples = len(words), list(zip(words, words[1:], words[2:]))
+    out = [math.log1p(n), len(data) / max(n, 1), sum(a == b for a, b in zip(words, words[1:])) / max(n, 1)]
+    out += [len(set(words)) / math.sqrt(n), max(Counter(words).values()) / n, len(set(triples)) / len(triples) if triples else 1.0] if n else [0.0] * 3
+    marks = ["ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", ".", ",", "!?", "|", "#$%&*@^~<>{}[]\\_+=", "\n"]
+    return out + [math.sqrt(sum(data.count(c.encode()) for c in kind) / len(data)) for kind in marks]
+
+
+def plain_metadata(source, lang, n_chars):
+    out = [0.0] * (q.METADATA_CELLS + 1)
+    for kind, value in ((0, source), (1, lang)):
+        out[zlib.crc32(f"{kind}:{value!r}".encode()) % q.METADATA_CELLS] += 1
+    out[-1] = math.log1p(max(0, n_chars or 0))
+    return out
+
+
+class PlainLogistic:
+    """The least penalized loss, row by row."""
+
+    def __init__(self, rows, y):
+        columns = list(zip(*rows))
+        self.mean = [sum(c) / len(c) for c in columns]
+        self.scale = [math.sqrt(sum((v - m) ** 2 for v in c) / len(c)) or 1.0 for c, m in zip(columns, self.mean)]
+        z, pull = [self.row(r) for r in rows], np.array([1e-6] + [1.0] * len(columns))
+        self.b = np.zeros(len(pull))
+        for _ in range(40):
+            slope, curve = -pull * self.b, np.diag(pull)
+            for x, label in zip(z, y):
+                p = 1 / (1 + math.exp(-max(-30.0, min(30.0, float(x @ self.b)))))
+                slope = slope + x * (label - p)
+                curve = curve + np.outer(x, x) * (p * (1 - p))
+            move = np.linalg.solve(curve, slope)
+            self.b = self.b + move
+            if max(abs(move)) < 1e-8:
+                break
+
+    def row(self, r):
+        return np.array([1.0] + [max(-8.0, min(8.0, (v - m) / s)) for v, m, s in zip(r, self.mean, self.scale)])
+
+    def odds(self, r):
+        return max(-30.0, min(30.0, float(self.row(r) @ self.b)))
+
+    def sure(self, r):
+        return 1 / (1 + math.exp(-self.odds(r)))
+
+
+def plain_scores(rows, labels):
+    """Co-training as the module text tells it, document by document."""
+    views = {i: (plain_text(text), plain_metadata(source, lang, n)) for i, text, lang, source, n in rows}
+    known = sorted(labels)
+    aside = [i for i in known if zlib.crc32(f"aside {i}".encode()) % 10 == 0]
+    taught, pool = [i for i in known if i not in aside], sorted(set(views) - set(known))
+    ones = sum(labels[i] for i in taught) / len(taught)
+    given = [{}, {}]
+    for turn in range(q.ROUNDS + 1):
+        models = [PlainLogistic([views[i][v] for i in [*taught, *given[v]]], [labels[i] for i in taught] + list(given[v].values())) for v in (0, 1)]
+        answers = []
+        for v in (0, 1):
+            p, most = {i: models[v].sure(views[i][v]) for i in pool}, len(pool) * (turn + 1) // (2 * q.ROUNDS)
+            best, worst = sorted(pool, key=lambda i: -p[i]), sorted(pool, key=lambda i: p[i])
+            answer = {i: 1 for i in best[: round(most * ones)] if p[i] >= q.CONFIDENT}
+            answers.append(answer | {i: 0 for i in worst[: round(most * (1 - ones))] if p[i] <= 1 - q.CONFIDENT})
+        given = answers[::-1]
+    odds = {i: [models[v].odds(x[v]) for v in (0, 1)] for i, x in views.items()}
+    calibrated = [PlainLogistic([[odds[i][v]] for i in aside], [labels[i] for i in aside]) for v in (0, 1)]
+    steps = {i: [calibrated[v].odds([o[v]]) for v in (0, 1)] for i, o in odds.items()}
+    both = PlainLogistic([steps[i] for i in aside], [labels[i] for i in aside])
+    return {i: (*(1 / (1 + math.exp(-o)) for o in steps[i]), both.sure(steps[i])) for i in views}
+
+
+def test_all_scores_are_those_of_a_plain_cotraining_loop(spark):
+    rows, labels = corpus(420)
+    r = random.Random(8)
+    rows = [(*row, len(row[1]) + r.randrange(10**6)) for row in rows]  # stated lengths, no two alike
+    rows += [(1000, None, None, None, None), (1001, "", "en", "a", -3), (1002, " \n\t", "de", "z", 7), (1003, "É É ß, A|B\n#1 9.", "fr", "q", 11)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    found = q.scored(docs, q.fit(q.prepared(docs), spark.createDataFrame(labels, LABELS))).collect()
+    want = plain_scores(rows, dict(labels))
+    assert len(found) == len(rows)
+    for f in found:
+        assert np.allclose((f.text_score, f.metadata_score, f.score), want[f.doc_id], atol=1e-6), f
