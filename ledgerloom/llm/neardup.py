@@ -2,11 +2,15 @@
 
 1. Each document gets its set of distinct word shingles, as 64-bit hashes, a 128-bit fingerprint of the set and a signature
    of SIGNATURE minima. Documents with one set are a class; the one with the smallest id stands for it from here on.
-2. TREES orders of the signature's positions give each class a place in each of them. Classes that have the first DEPTH
-   minima of an order in common are a region of that tree: neighbours with a longest common prefix of at least DEPTH.
-3. A region of at most SMALL classes gives all its pairs whose signatures agree in at least LEAST_AGREEMENT of the positions
-   and whose sizes allow the similarity. The pairs of all trees are joined with the full sets and confirmed.
-4. A larger region is confirmed as a block in one task: each member against all others on full sets, and only links that
+2. TREES sorted orders: a class's label in a tree is LAST_DEPTH of its minima, from a place of the signature that differs
+   from tree to tree, and each tree sorts all classes by their labels. Classes whose labels begin with the same minima are
+   next to each other there; they are a region. Its depth is chosen by its size: SHALLOW minima in common if at most SMALL
+   classes have these, else DEPTH, and where more than SMALL have those too, as many as step 4 needs.
+3. In an order, range-partitioned by prefixes of the regions' depths, every class is compared with the neighbours whose
+   longest common prefix with it is at least the depth of its region. Pairs whose signatures agree in at least
+   LEAST_AGREEMENT of the positions and whose sizes allow the similarity are candidates; those of all trees are joined with
+   the full sets and confirmed.
+4. A region with more than SMALL classes is confirmed as a block in one task: each member against all others on full sets, and only links that
    join two groups of the block are returned. If a block is too large for a task (BLOCK_MEMBERS, BLOCK_COST), it goes
    deeper along its order, region by region, until it fits; what still does not fit at the last depth is dealt out by a
    hash. The parts of such a region are tied together by pivots, the members nearest to its consensus signature: every
@@ -17,7 +21,8 @@
    its members too, and each part of the ones meets each part of the others in a tile that fits a task. A tile compares on
    full sets all its pairs that are not connected yet and have no region of an earlier tree in common; its links complete 5.
 
-A pair of similarity 0.8 is in one region of at least one tree with probability 1 - (1 - 0.8^3)^20 > 0.999999.
+A pair of similarity 0.8 is in one region of at least one tree with probability 1 - (1 - 0.8^3)^20 > 0.999999; in a tree
+where its region is shallow, with probability 0.8^2 instead of 0.8^3.
 
 Rows with one doc_id are one document: they are in one component. A null doc_id is compared with nothing: its component is
 null and it is kept. Without words (null or empty text) a document is a component of its own. An empty table gives an empty
@@ -29,22 +34,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from ledgerloom.llm import text as tx
 from ledgerloom.llm.store import durable
 
-SIGNATURE, TREES, DEPTH, LAST_DEPTH = 128, 20, 3, 19
+SIGNATURE, TREES, SHALLOW, DEPTH, LAST_DEPTH = 128, 20, 2, 3, 19
 SMALL, BLOCK_MEMBERS, BLOCK_COST, PIVOTS = 64, 4096, 4_000_000_000, 8
 #: Five standard deviations of the agreement of two signatures below a similarity of 0.8.
 LEAST_AGREEMENT = 0.62
 _seeds = np.random.default_rng(77)
 _TIMES = (_seeds.integers(0, 2**32, SIGNATURE, dtype=np.uint32) | np.uint32(1))[None, :]
 _PLUS = _seeds.integers(0, 2**32, SIGNATURE, dtype=np.uint32)[None, :]
-#: Order of the positions in each tree: the first DEPTH differ from tree to tree.
-_ORDERS = (np.arange(TREES)[:, None] * DEPTH + np.arange(LAST_DEPTH)[None, :] * 1) % SIGNATURE
+#: The positions of each tree's label, which is a stretch of the signature: the first DEPTH differ from tree to tree.
+_ORDERS = np.arange(TREES)[:, None] * DEPTH + np.arange(LAST_DEPTH)[None, :]
 _SHORT, _OTHER, _STEP = np.uint64(0xA24BAED4963EE407), np.uint64(0x9FB21C651E98DF25), np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -113,19 +118,32 @@ def _prefixes(sig: np.ndarray, tree: np.ndarray, depth: int) -> np.ndarray:
     return x.view(np.int64)
 
 
-def regions(classes: DataFrame) -> DataFrame:
-    """(region, tree, id, n): the classes of every region that has more than one, and how many it has."""
+def regions(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The regions that have more than one class, as (region, tree, id, depth) of those with at most SMALL classes and
+    (region, tree, id) of the others, which have DEPTH minima in common."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sig, ids = _matrix(batch.column("sig")), batch.column("id")
-            for tree in range(TREES):
-                key = _prefixes(sig, np.full(len(sig), tree), DEPTH)
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(np.full(len(sig), tree, np.int32)), ids], ["region", "tree", "id"])
+            for number in range(TREES):
+                tree = np.full(len(sig), number, np.int32)
+                columns = [pa.array(_prefixes(sig, tree, SHALLOW)), pa.array(_prefixes(sig, tree, DEPTH)), pa.array(tree), ids]
+                yield pa.RecordBatch.from_arrays(columns, ["shallow", "deep", "tree", "id"])
 
-    rows = classes.select("id", "sig").mapInArrow(run, "region bigint, tree int, id bigint")
-    shared = rows.groupBy("region").agg(F.count("*").alias("n")).filter("n > 1")
-    return durable(rows.join(shared, "region"))
+    rows = classes.select("id", "sig").mapInArrow(run, "shallow bigint, deep bigint, tree int, id bigint")
+    some = rows.groupBy("shallow").agg(F.count("*").alias("n")).filter("n > 1")
+    rows = durable(rows.join(some, "shallow"))
+    crowded = rows.filter(F.col("n") > SMALL).select("deep", "tree", "id")
+    many = crowded.groupBy("deep").agg(F.count("*").alias("n")).filter("n > 1")
+    crowded = durable(crowded.join(many, "deep").withColumnRenamed("deep", "region"))
+    few = crowded.filter(F.col("n") <= SMALL).select("region", "tree", "id", F.lit(DEPTH).alias("depth"))
+    shallow = rows.filter(F.col("n") <= SMALL).select(F.col("shallow").alias("region"), "tree", "id", F.lit(SHALLOW).alias("depth"))
+    return shallow.unionByName(few), crowded.filter(F.col("n") > SMALL).select("region", "tree", "id")
+
+
+def _label(minima: str) -> Column:
+    """The first ``minima`` of a row's label in its tree, as bytes; their order is that of the tree."""
+    return F.expr(f"substring(sig, {4 * DEPTH} * tree + 1, 4 * {minima})")
 
 
 def _by_region(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -143,17 +161,26 @@ def _by_region(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield rest.combine_chunks()
 
 
-def small_pairs(members: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Distinct candidate pairs (a, b), a < b, of regions with at most SMALL members."""
+def common_prefix(sig: np.ndarray, tree: np.ndarray) -> np.ndarray:
+    """How many minima the labels of each row and the next one have in common from the start; 0 in different trees."""
+    places = _ORDERS[tree[:-1]]
+    rows = np.arange(len(places))[:, None]
+    same = (sig[rows, places] == sig[rows + 1, places]) & (tree[1:] == tree[:-1])[:, None]
+    return np.where(same.all(axis=1), LAST_DEPTH, same.argmin(axis=1))
+
+
+def neighbour_pairs(members: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Distinct candidate pairs (a, b), a < b, of the regions with at most SMALL members, from the sorted orders."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _by_region(batches):
-            region, ids, n = (table.column(c).to_numpy() for c in ("region", "id", "n_shingles"))
+            tree, depth, ids, n = (table.column(c).to_numpy() for c in ("tree", "depth", "id", "n_shingles"))
             sig = _matrix(table.column("sig").combine_chunks() if table.column("sig").num_chunks != 1 else table.column("sig").chunk(0))
-            found = [np.zeros((0, 2), np.int64)]
-            # the neighbours at distance 1, 2, ... within a region
-            for step in range(1, SMALL):
-                i = np.flatnonzero(region[step:] == region[:-step])
+            next_one = common_prefix(sig, tree)
+            common, found = next_one, [np.zeros((0, 2), np.int64)]
+            # the prefix that a row has in common with the one 1, 2, ... places on is the least one between them
+            for step in range(1, len(ids)):
+                i = np.flatnonzero(common >= depth[:-step])
                 if not len(i):
                     break
                 j = i + step
@@ -163,14 +190,17 @@ def small_pairs(members: DataFrame, classes: DataFrame, percent: int) -> DataFra
                     p, q = i[at : at + 20_000], j[at : at + 20_000]
                     ok = (sig[p] == sig[q]).mean(axis=1) >= LEAST_AGREEMENT
                     found.append(np.stack([np.minimum(ids[p[ok]], ids[q[ok]]), np.maximum(ids[p[ok]], ids[q[ok]])], 1))
+                common = np.minimum(common[:-1], next_one[step:])
             pairs = np.unique(np.concatenate(found), axis=0)
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
-    rows = members.filter(F.col("n") <= SMALL).select("region", "id").join(classes.select("id", "n_shingles", "sig"), "id")
-    return rows.repartition("region").sortWithinPartitions("region").mapInArrow(run, "a bigint, b bigint").distinct()
+    rows = members.join(classes.select("id", "n_shingles", "sig"), "id")
+    # a region has one prefix of its depth, so it is in one range whole; ranges and rows follow each tree's order
+    ordered = rows.repartitionByRange("tree", _label("depth")).sortWithinPartitions("tree", _label(str(LAST_DEPTH)))
+    return ordered.select("region", "tree", "depth", "id", "n_shingles", "sig").mapInArrow(run, "a bigint, b bigint").distinct()
 
 
-def blocks(members: DataFrame, classes: DataFrame, most: int, cost: int) -> tuple[DataFrame, DataFrame | None]:
+def blocks(large: DataFrame, classes: DataFrame, most: int, cost: int) -> tuple[DataFrame, DataFrame | None]:
     """(block, region, id) of the classes in large regions; and those of them whose region is in several blocks."""
 
     def keyed(depth: int):
@@ -182,7 +212,7 @@ def blocks(members: DataFrame, classes: DataFrame, most: int, cost: int) -> tupl
 
         return run
 
-    left = durable(members.filter(F.col("n") > SMALL).select("region", "tree", "id").join(classes.select("id", "n_shingles", "sig"), "id"))
+    left = durable(large.join(classes.select("id", "n_shingles", "sig"), "id"))
     done, split = None, None
     for depth in (DEPTH, DEPTH + 2, DEPTH + 5, DEPTH + 9, LAST_DEPTH):
         rows = left.select("region", "tree", "id", "n_shingles", "sig").mapInArrow(keyed(depth), f"block bigint, {_LARGE}")
@@ -370,9 +400,9 @@ def near_duplicates(docs: DataFrame, size: int = 4, percent: int = 80, most: int
     classes = durable(
         known.groupBy("f1", "f2", "n_shingles").agg(F.min("doc_id").alias("id"), F.count("*").alias("copies"), F.min("sig").alias("sig"))
     )
-    members = regions(classes)
-    pairs = small_pairs(members, classes, percent)
-    placed, parted = blocks(members, classes, most, cost)
+    members, large = regions(classes)
+    pairs = neighbour_pairs(members, classes, percent)
+    placed, parted = blocks(large, classes, most, cost)
     if parted is not None:
         pairs = pairs.unionByName(pivot_pairs(parted)).distinct()
     pairs = durable(pairs)

@@ -1,5 +1,7 @@
 import random
+from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -117,6 +119,42 @@ def test_odd_rows(docs):
     assert result(extra) == brute(rows)
 
 
+def test_candidates_are_prefix_neighbours(docs):
+    """Against plain sorted lists: pairs by the longest common prefix of their labels, at the depth of their region."""
+    rows = neardup.sketched(docs(corpus(3, 40, 200)), 4).filter("n_shingles > 0")
+    classes = rows.groupBy("f1", "f2", "n_shingles").agg(F.min("doc_id").alias("id"), F.min("sig").alias("sig")).cache()
+    sig = {r.id: (r.n_shingles, np.frombuffer(bytes(r.sig), np.uint32).tolist()) for r in classes.collect()}
+    want, depths, left = set(), set(), set()
+    for tree in range(neardup.TREES):
+        start = tree * neardup.DEPTH
+        label = {i: tuple(s[start : start + neardup.LAST_DEPTH]) for i, (_, s) in sig.items()}
+        size = Counter(x[:d] for x in label.values() for d in (neardup.SHALLOW, neardup.DEPTH))
+        for a in sig:
+            depth = next((d for d in (neardup.SHALLOW, neardup.DEPTH) if size[label[a][:d]] <= neardup.SMALL), None)
+            if depth is None:
+                left.add((tree, a))
+                continue
+            depths |= {depth} if size[label[a][:depth]] > 1 else set()
+            for b in sig:
+                (n, x), (m, y) = sig[a], sig[b]
+                if a < b and label[a][:depth] == label[b][:depth] and 100 * min(n, m) >= 80 * max(n, m):
+                    if sum(p == q for p, q in zip(x, y)) >= neardup.LEAST_AGREEMENT * len(x):
+                        want.add((a, b))
+    assert depths == {neardup.SHALLOW, neardup.DEPTH} and left
+    members, large = neardup.regions(classes)
+    assert {(r.tree, r.id) for r in large.collect()} == left
+    assert {(r.a, r.b) for r in neardup.neighbour_pairs(members, classes, 80).collect()} == want
+
+
+def test_common_prefix():
+    sig = np.arange(4 * neardup.SIGNATURE, dtype=np.uint32).reshape(4, -1)
+    sig[1:3] = sig[0]
+    sig[2, 3 * neardup.DEPTH + 2] += 1
+    sig[3] = sig[2]
+    assert neardup.common_prefix(sig, np.array([3, 3, 3, 4])).tolist() == [neardup.LAST_DEPTH, 2, 0]
+    assert neardup.common_prefix(sig[:1], np.array([3])).tolist() == []
+
+
 def test_empty_table_and_stage(docs):
     assert result(docs([])) == []
     rows = docs([(1, "a b c d e f"), (2, "a b c d e f"), (3, "other words in this one"), (None, "a b c d e f")]).withColumn("_drop", F.lit(1))
