@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.sources.commits import CommitConflict, Commits
+from ledgerloom.sources.durable import CODEC
 from ledgerloom.sources.schemas import empty
 
 BUCKET = "_bucket"
@@ -75,7 +76,7 @@ class KeptTable:
         """Store rows under a new name; the name and the buckets that got rows. Rebalancing keeps files of a bucket few and
         splits a bucket that is too large for a task."""
         run = f"rows-{uuid.uuid4()}"
-        rows.withColumn(BUCKET, self.bucket()).hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(f"{self.path}/{run}")
+        rows.withColumn(BUCKET, self.bucket()).hint("rebalance", BUCKET).write.option("compression", CODEC).partitionBy(BUCKET).parquet(f"{self.path}/{run}")
         jvm = self.spark._jvm
         folder = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{run}")
         names = (s.getPath().getName() for s in folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).listStatus(folder))

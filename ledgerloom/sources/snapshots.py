@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from ledgerloom.functions.scalar import MEASURE_TYPE
 from ledgerloom.sources.commits import Commits
+from ledgerloom.sources.durable import CODEC
 
 MEASURE = T.DecimalType(36, 12)
 
@@ -31,13 +32,16 @@ def save_table(df: DataFrame, name: str, append: bool = False) -> None:
 def with_next_version(
     history: DataFrame | None, new: DataFrame, period: str = "date_key", version: str = "version_id", value: str = "value"
 ) -> DataFrame:
-    """New rows numbered one above their period's greatest version in the history (1 if there is none)."""
+    """New rows numbered one above their period's greatest version in the history (1 if there is none).
+
+    The versions are one row per period, so they are broadcast: joined by period, the rows would be shuffled and a month with
+    many of them would be one task."""
     typed = new.withColumn(value, F.col(value).cast(MEASURE_TYPE))
     if history is None:
         return typed.withColumn(version, F.lit(1))
     newest = history.groupBy(period).agg(F.max(version).alias("_top"))
     return (
-        typed.join(newest, period, "left")
+        typed.join(F.broadcast(newest), period, "left")
         .withColumn(version, (F.coalesce("_top", F.lit(0)) + 1).cast("int"))
         .select(*typed.columns, version)
     )
@@ -88,7 +92,7 @@ def write_version(spark: SparkSession, new: DataFrame, path: str, period: str =
         history = None
     if history is not None:
         history = history.join(new.select(period).distinct(), period, "left_semi")
-    with_next_version(history, new, period, version, value).hint("rebalance", period).write.mode("append").partitionBy(period).parquet(path)
+    with_next_version(history, new, period, version, value).hint("rebalance", period).write.mode("append").option("compression", CODEC).partitionBy(period).parquet(path)
 
 
 class VersionedHistory:
@@ -106,7 +110,7 @@ class VersionedHistory:
         """Write rows that nobody sees yet; returns the name under which they can be committed."""
         run = str(uuid.uuid4())
         wide = new.withColumn(self.value, F.col(self.value).cast(MEASURE_TYPE)).hint("rebalance", self.period)  # few files per period
-        wide.write.partitionBy(self.period).parquet(f"{self.path}/rows/_run={run}")
+        wide.write.option("compression", CODEC).partitionBy(self.period).parquet(f"{self.path}/rows/_run={run}")
         return run
 
     def commit(self, run: str) -> dict[str, int]:

@@ -13,7 +13,7 @@ from ledgerloom.operators.latest import keep_any
 from ledgerloom.operators.overlay import overlay_chain
 from ledgerloom.plans import publish
 from ledgerloom.sources import files, snapshots
-from ledgerloom.sources.durable import checkpoint_dir
+from ledgerloom.sources.durable import CODEC, checkpoint_dir
 from workload.fixtures import Tables, money, typed, with_ctes
 
 N_FILES = 10
@@ -71,7 +71,7 @@ def history_stored(t: Tables) -> DataFrame:
     path = _new_path(t)
     new = t.engine_output.select("kpi_engine_key", "date_key", "value", "kpi_name")
     old = new.select("kpi_engine_key", "date_key", F.col("value").cast("decimal(18,2)").alias("value"), F.lit(1).alias("version_id"))
-    old.write.partitionBy("date_key").parquet(path)
+    old.write.option("compression", CODEC).partitionBy("date_key").parquet(path)
     for _ in range(2):
         snapshots.write_version(t.spark, new, path)
     columns = T.StructType([*new.schema.fields, T.StructField("version_id", T.IntegerType())])
