@@ -108,3 +108,11 @@ def test_numbering_stores_no_column_that_follows_from_others(spark, monkeypatch)
     test_lines_are_numbered_by_key_text_and_multiplied_by_places(spark, 1)
     assert not {"budget_variance", "forecast_variance_pct"} & set(seen[0].columns)
     assert dict(seen[0].dtypes)["kpi_engine_key"] == "binary"
+
+
+def test_plans_meet_their_actuals_by_short_keys(spark):
+    data = [(HEX, "1", 5), ("odd", "2", 6), (None, "3", 7), (HEX.upper(), "4", 8)]
+    actuals = views.engine_actuals(_kpi_rows(spark, "kpi_engine_key", [(k, d, v + 100) for k, d, v in data[:3]], version_id=1))
+    got = views.forecast_override(_kpi_rows(spark, "kpi_unique_id", data, version_id=1, scenario="Forecast"), actuals, F.lit("1998-06-30").cast("date"))
+    assert "unhex" in plan(got)
+    assert rows(got.select("kpi_unique_id", F.col("value").cast("int"))) == rows(spark.createDataFrame([(HEX, 105), ("odd", 106), (None, 7), (HEX.upper(), 8)], "k string, v int"))
