@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.sources.durable import checkpoint_dir, durable
+from ledgerloom.sources import durable as steps
+from ledgerloom.sources.durable import checkpoint_dir
 
 __all__ = ["durable", "held_out", "new_folder", "on_workers", "read_files", "write_files"]
 
@@ -16,6 +18,11 @@ __all__ = ["durable", "held_out", "new_folder", "on_workers", "read_files", "wri
 BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
 
 
+def durable(df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
+    """A stored step in the session's codec: frames of tokens are compressed already, a slower codec would only cost time."""
+    return steps.durable(df, partition_by, codec=None)
+
+
 def on_workers(spark: SparkSession) -> None:
     """Prepare the session for operators on whole texts: Python workers find this package where the driver has it (on a
     cluster that has it installed, this is only one more place to look in), and get texts in smaller Arrow batches, as

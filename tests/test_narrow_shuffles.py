@@ -33,6 +33,7 @@ def test_key_bytes_round_trip_and_stay_different(spark):
 def test_stored_steps_take_the_smaller_codec(spark):
     df = durable(spark.range(5))
     assert all(".zstd." in f for f in df.inputFiles()) and df.count() == 5
+    assert not any(".zstd." in f for f in durable(spark.range(5), codec=None).inputFiles())
 
 
 def test_versions_are_broadcast_to_the_rows(spark, tmp_path):
