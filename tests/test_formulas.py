@@ -7,8 +7,10 @@ import pytest
 from tests.helpers import rows
 from pyspark.sql import functions as F
 
+from ledgerloom.operators import engine
 from ledgerloom.operators import formula as fx
 from ledgerloom.operators.engine import RESULT_COLUMNS, run_levels, run_summary
+from ledgerloom.sources.durable import durable
 
 VALUES = {"K1_1": -5.0, "K2_1": 0.0, "KPREV4_10": 2.5, "I1": 1e300, "I22": 3.0, "I3": -0.75}
 
@@ -159,3 +161,50 @@ def test_formulas_need_a_site(spark):
     empty = spark.createDataFrame([], "a int")
     with pytest.raises(ValueError):
         run_levels(empty, empty, empty, site=())
+
+
+def test_values_are_gathered_by_hash_and_corrections_read_once(spark, monkeypatch):
+    plans = []
+
+    def kept(df, **options):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString() + df._jdf.queryExecution().executedPlan().toString())
+        return durable(df, **options)
+
+    monkeypatch.setattr(engine, "durable", kept)
+    one = spark.range(1).filter("id < 987654321")
+    adjustments = one.select(F.lit("S").alias("site_code"), F.lit(dt.date(2026, 4, 1)).alias("date_key"), F.lit("K1_1").alias("matrix_id"), (F.col("id") + 0.5).alias("adjustment"))
+    definitions = [definition("K1", 1, "1", "I1"), definition("K2", 1, "2", "K1_1 * 10"), definition("K3", 1, "3", "K2_1 + K1_1")]
+    result = run(spark, definitions, [("I1", "5")], adjustments=adjustments)
+    assert april(result) == {"K1_1": 5.5, "K2_1": 55.0, "K3_1": 60.5}
+    levels = [p for p in plans if "aggregate(" in p and "MapInArrow" not in p and "_operands" in p]
+    assert len(levels) == 3
+    assert not any("ObjectHashAggregate" in p or "SortAggregate" in p for p in levels)
+    assert sum("987654321" in p for p in plans) == 1
+
+
+@pytest.mark.parametrize("n", [engine.SLOTS, engine.SLOTS + 1, 3 * engine.SLOTS + 2])
+def test_formulas_with_many_references(spark, n):
+    given = {f"I{i}": float(i) for i in range(1, n + 1) if i % 3}
+    adjustments = spark.createDataFrame([("S", dt.date(2026, 4, 1), "K1_1", 0.25)], "site_code string, date_key date, matrix_id string, adjustment double")
+    definitions = [definition("K1", 1, "1", " + ".join(f"I{i}" for i in range(1, n + 1))), definition("K1", 2, "1", "I1"), definition("K1", 3, "1", "")]
+    result = run(spark, definitions, [(k, str(v)) for k, v in given.items()], adjustments=adjustments)
+    assert april(result) == {"K1_1": sum(given.values()) + 0.25, "K1_2": 1.0, "K1_3": 0.0}
+    shown = " + ".join(str(given.get(f"I{i}", 0.0)) for i in range(1, n + 1))
+    assert april(result, "resolved_formula")["K1_1"] == f"({shown}) +0.250000000000000 [ADJ]"
+    # without inputs in May, every operand is 0.0
+    assert [float(r["value"]) for r in result.results.filter("date_key = '2026-05-01'").collect()] == [0.0] * 3
+
+
+def test_null_periods_bad_values_and_repeated_definitions(spark):
+    scopes = spark.createDataFrame([("S", dt.date(2026, 4, 1)), ("S", None), ("T", None)], "site_code string, date_key date")
+    given = spark.createDataFrame(
+        [("S", dt.date(2026, 4, 1), "I1", 2.0), ("S", None, "I1", 7.0), ("S", dt.date(2026, 4, 1), "I2", None), ("S", dt.date(2026, 6, 1), "I1", 9.0), (None, dt.date(2026, 4, 1), "I1", 9.0)],
+        "site_code string, date_key date, input_ref string, value double",
+    )
+    same = definition("K1", 1, "1", "I1 + 1")
+    master = spark.createDataFrame([same, same, definition("K1", 2, "1", "I2 + 1"), definition("K2", 1, "2", "K1_1 + K1_2"), definition("K9", 1, "1", "1", site=None)], MASTER)
+    got = run_levels(master, scopes, given, run_ts=F.lit(dt.datetime(2026, 5, 2))).results
+    assert sorted((r["site_code"], str(r["date_key"]), r["matrix_id"], float(r["value"]), r["resolved_formula"]) for r in got.collect()) == [
+        ("S", "2026-04-01", "K1_1", 3.0, "2.0 + 1"), ("S", "2026-04-01", "K1_1", 3.0, "2.0 + 1"), ("S", "2026-04-01", "K1_2", 0.0, "nan + 1"), ("S", "2026-04-01", "K2_1", 3.0, "3.0 + 0.0"),
+        ("S", "None", "K1_1", 1.0, "0.0 + 1"), ("S", "None", "K1_1", 1.0, "0.0 + 1"), ("S", "None", "K1_2", 1.0, "0.0 + 1"), ("S", "None", "K2_1", 0.0, "0.0 + 0.0"),
+    ]
