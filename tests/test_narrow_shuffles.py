@@ -14,6 +14,8 @@ from ledgerloom.operators import merge as m
 from ledgerloom.plans import marts, views
 from ledgerloom.sources import snapshots
 from ledgerloom.sources.durable import durable
+from workload import marts as workload
+from workload.fixtures import Tables
 
 HEX = hashlib.sha256(b"x").hexdigest()
 KEYS = [HEX, HEX.upper(), HEX[:-1], HEX + "\n", HEX[:63] + "\n", "", "a" * 31, "a" * 32, "K1_1", "\u00fc\u00df", "\x00", None]
@@ -117,3 +119,23 @@ def test_plans_meet_their_actuals_by_short_keys(spark):
     got = views.forecast_override(_kpi_rows(spark, "kpi_unique_id", data, version_id=1, scenario="Forecast"), actuals, F.lit("1998-06-30").cast("date"))
     assert "unhex" in plan(got)
     assert rows(got.select("kpi_unique_id", F.col("value").cast("int"))) == rows(spark.createDataFrame([(HEX, 105), ("odd", 106), (None, 7), (HEX.upper(), 8)], "k string, v int"))
+
+
+def test_plans_are_shuffled_once_before_any_sum(spark, tmp_path):
+    day = "timestamp_ntz'1998-03-02'"
+    lines = spark.createDataFrame(
+        [
+            (1, 5.0, 10.0, 0.0, "N"), (1, 5.0, 2.5, 0.0, "N"), (1, 20.0, 1.0, 0.0, "N"), (1, 40.0, 7.0, 0.0, "R"), (1, 40.0, 9.0, 0.0, "A"),
+            (2, 5.0, 3.0, 0.1, "R"), (None, 5.0, 4.0, 0.1, "N"), (2, 5.0, None, 0.1, "R"),
+        ],
+        "l_suppkey long, l_quantity double, l_extendedprice double, l_discount double, l_returnflag string",
+    )
+    lines.selectExpr("*", f"{day} as l_shipdate").unionByName(lines.filter("l_suppkey = 2").selectExpr("*", "cast(null as timestamp_ntz) as l_shipdate")).write.parquet(f"{tmp_path}/lineitem.parquet")
+    for query, width in ((workload.latest_pivot, 3), (workload.allversions_pivot, 4)):
+        got = query(Tables(spark, str(tmp_path)))
+        assert plan(got).count("Exchange hashpartitioning") == 1
+        assert "Aggregate" not in plan(got).split("Exchange hashpartitioning")[1]
+        values = rows(got.filter("kpi_id = 'K1'").select("kpi_dim_id", F.year("date_key"), F.col("budget_value").cast("double"), F.col("forecast_value").cast("double")))
+        latest = 1.0 if width == 3 else 12.5
+        assert sorted(values, key=str) == sorted([("S1", 1998, latest, 7.0), ("2", 1998, None, 3.0), (None, 1998, 4.0, None), ("2", None, None, 3.0)], key=str)
+    assert Tables(spark, str(tmp_path)).budget_forecast.rdd.getNumPartitions() >= int(spark.conf.get("spark.sql.shuffle.partitions"))
