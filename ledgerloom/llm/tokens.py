@@ -99,17 +99,21 @@ class Encoder:
 
     def learn(self, numbers: np.ndarray, words: list[str]) -> None:
         """Encode new words and keep their ids under their numbers."""
-        parts, pieces, other = [], np.zeros(len(words), np.int64), []
-        for i, word in enumerate(words):
-            m = _PLAIN.match(word)
-            if m:
-                parts.append(m[1].lower().translate(self.letters))
-                if m[2]:
-                    parts.append(m[2])
-                pieces[i] = 1 + bool(m[2])
-            else:
+        parts, counts, other = [], [], []
+        for i, m in enumerate(map(_PLAIN.match, words)):
+            if not m:
                 other.append(i)
-        lines = [" ".join(parts[i : i + 1000]) for i in range(0, len(parts), 1000)]
+                counts.append(0)
+            elif m[2]:
+                parts += m.groups()
+                counts.append(2)
+            else:
+                parts.append(m[1])
+                counts.append(1)
+        pieces = np.array(counts, np.int64)
+        # a call for each line, not for each word: letters become small and then their bytes' letters one by one
+        lines = [" ".join(parts[i : i + 1000]).lower() for i in range(0, len(parts), 1000)]
+        lines = [x if x.isascii() else x.translate(self.letters) for x in lines]
         coded = self.encoded(lines, bare=True)
         plain = np.concatenate([np.zeros(0, np.uint32), *coded])
         bounds = np.concatenate([np.zeros(1, np.int64), np.flatnonzero(self.last[plain]) + 1])
