@@ -10,7 +10,8 @@ outside its bound can be missed.
 
 Every row is indexed, in blocks of BLOCK rows; queries come in blocks of QUERY_BLOCK and meet every block of candidates once.
 Centres are fitted on a bounded sample (SAMPLE rows chosen by a hash). Work is divided by rows, so equal vectors or a
-crowded cell load no task more than others.
+crowded cell load no task more than others. The blocks of queries are shuffled to LANES lanes of rows (or one for each
+core, if those are more) and never broadcast: the driver holds the sample and counts, whatever the number of queries.
 
 Vectors that are null, zero or hold null or non-finite components take no part, and neither do vectors of another length
 than the most frequent one (the shortest of those equally frequent). A query id on several rows is asked once, with the
@@ -25,11 +26,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
-from ledgerloom.llm.store import durable, partitions_for
+from ledgerloom.llm.store import durable
 
-BLOCK, QUERY_BLOCK, SAMPLE, CELLS, BOUND = 4096, 512, 8192, 32, 4.0
+BLOCK, QUERY_BLOCK, SAMPLE, CELLS, BOUND, LANES = 4096, 512, 8192, 32, 4.0, 64
 _BLOCK_COLUMNS = ("ids", "vectors", "codes", "cells", "numbers")
 
 
@@ -116,15 +118,15 @@ def fit(rows: DataFrame) -> Coder | None:
     return Coder(np.array(sample, float), len(sample[0]))
 
 
-def _blocks(rows: DataFrame, size: int, coder: Coder | None) -> DataFrame:
-    """One row per block of ``size`` vectors: ids, vectors and, with a coder, their codes, as bytes."""
+def _blocks(rows: DataFrame, size: int, coder: Coder | None, kind: str) -> DataFrame:
+    """One row per block of ``size`` vectors: ids, vectors (numbers of ``kind``) and, with a coder, their codes, as bytes."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, size):
                 part = batch.slice(at, size)
                 v = _vectors(part.column("v"))
-                out = [part.column("id").to_numpy().tobytes(), v.tobytes()]
+                out = [part.column("id").to_numpy().tobytes(), v.astype(kind).tobytes()]
                 if coder is not None:
                     codes, cell, numbers = coder.encode(v)
                     out += [codes.tobytes(), cell.tobytes(), numbers.tobytes()]
@@ -142,11 +144,13 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec
     coder = fit(rows.select("id", "v"))
     if coder is None:
         return vectors.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
-    index = _blocks(rows.select("id", "v"), BLOCK, coder)
-    asked = _blocks(rows.filter("q").groupBy("id").agg(F.min("v").alias("v")), QUERY_BLOCK, None)
+    # single precision holds what was given in it
+    kind = "float32" if isinstance(vectors.schema[embedding].dataType.elementType, T.FloatType) else "float64"
+    index = _blocks(rows.select("id", "v"), BLOCK, coder, kind)
+    asked = _blocks(rows.filter("q").groupBy("id").agg(F.min("v").alias("v")), QUERY_BLOCK, None, kind)
     blocks = index.count()
     # an index block is in one lane and a block of queries in all: each pair meets once, in an ordinary equi-join
-    lanes = max(1, min(blocks, 4 * partitions_for(index)))
+    lanes = max(1, min(blocks, max(LANES, vectors.sparkSession.sparkContext.defaultParallelism)))
     index = index.withColumn("lane", F.pmod(F.xxhash64("block"), F.lit(lanes)))
     asked = asked.select(
         F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(lanes - 1).cast("bigint"))).alias("lane")
@@ -157,7 +161,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec
             for row in range(batch.num_rows):
                 get = lambda name, kind: np.frombuffer(batch.column(name)[row].as_buffer(), kind)
                 ids, qids = get("ids", np.int64), get("q_ids", np.int64)
-                v, q = get("vectors", float).reshape(len(ids), -1), get("q_vectors", float).reshape(len(qids), -1)
+                v, q = get("vectors", kind).reshape(len(ids), -1).astype(float), get("q_vectors", kind).reshape(len(qids), -1).astype(float)
                 codes, numbers = get("codes", np.uint8).reshape(len(ids), -1), get("numbers", float).reshape(len(ids), 4)
                 estimate, error = coder.bounds(codes, get("cells", np.int32), numbers, _unit(q))
                 own = ids[:, None] == qids[None, :]
@@ -180,7 +184,8 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec
                 columns = list(zip(*found)) if found else [(), (), ()]
                 yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.float64())], ["query_id", "vec_id", "score"])
 
-    found = asked.join(index, "lane").mapInArrow(search, "query_id bigint, vec_id bigint, score double")
+    # Spark takes the queries for as small as they are before they are in all lanes and would broadcast them
+    found = asked.hint("merge").join(index, "lane").mapInArrow(search, "query_id bigint, vec_id bigint, score double")
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

@@ -54,3 +54,24 @@ def test_bounds_hold(spark):
     q = nearest._unit(r.standard_normal((40, 48)))
     estimate, error = c.bounds(*c.encode(v), q)
     assert (np.abs(estimate - nearest._unit(v) @ q.T) <= error).all()
+
+
+def test_queries_of_all_lanes_are_not_broadcast(spark):
+    df = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(120)], "vec_id bigint, embedding array<float>")
+    found = nearest.nearest(df, F.col("vec_id") % 50 == 0)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    assert [(r.query_id, r["rank"], r.vec_id) for r in found.collect() if r.query_id == 100] == [(100, n + 1, i) for n, i in enumerate((101, 99, 102, 98, 103))]
+    assert "BroadcastHashJoin" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_single_precision_is_kept_in_it(spark, monkeypatch):
+    kinds = []
+    real = nearest._blocks
+    monkeypatch.setattr(nearest, "_blocks", lambda *a: kinds.append(a[3]) or real(*a))
+    r = np.random.default_rng(3)
+    rows = [(i, r.standard_normal(7).astype(np.float32).astype(float).tolist()) for i in range(200)]
+    single = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    got = sorted((x.query_id, x["rank"], x.vec_id, x.score) for x in nearest.nearest(single, F.col("vec_id") % 50 == 0).collect())
+    assert got == result(spark, rows)
+    assert kinds == ["float32"] * 2 + ["float64"] * 2
