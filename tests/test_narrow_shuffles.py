@@ -4,12 +4,14 @@ import glob
 import hashlib
 from datetime import date
 from decimal import Decimal
+from functools import reduce
 
 import pytest
 from pyspark.sql import functions as F
 from tests.helpers import rows
 
 from ledgerloom.functions.scalar import key_bytes, key_of_bytes
+from ledgerloom.operators import latest
 from ledgerloom.operators import merge as m
 from ledgerloom.plans import marts, views
 from ledgerloom.sources import snapshots
@@ -139,3 +141,78 @@ def test_plans_are_shuffled_once_before_any_sum(spark, tmp_path):
         latest = 1.0 if width == 3 else 12.5
         assert sorted(values, key=str) == sorted([("S1", 1998, latest, 7.0), ("2", 1998, None, 3.0), (None, 1998, 4.0, None), ("2", None, None, 3.0)], key=str)
     assert Tables(spark, str(tmp_path)).budget_forecast.rdd.getNumPartitions() >= int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def shuffled_joins(df):
+    """Joins of a plan for which both sides are shuffled, where tables are broadcast up to 100,000 bytes of known size."""
+    return plan(df).count("SortMergeJoin")
+
+
+@pytest.fixture
+def small_broadcasts(spark):
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100000")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+
+
+def _grouped(spark, spec, *rows_):
+    """Rows whose size Spark does not know, as it knows nothing of a distinct's rows."""
+    many = spark.range(20000).select((F.col("id") % len(rows_)).alias("i"))
+    return many.join(F.broadcast(spark.createDataFrame([(i, *r) for i, r in enumerate(rows_)], f"i long, {spec}")), "i").drop("i").distinct()
+
+
+def test_rows_at_their_greatest_version_are_not_shuffled(spark, small_broadcasts):
+    big = spark.range(60000).select(F.col("id").alias("v"), F.when(F.col("id") % 3 < 2, MONTH).alias("date_key"), (F.col("id") % 2).alias("version_id"), F.lit("x" * 40).alias("text"))
+    got = latest.rows_at_max_version(big)
+    assert shuffled_joins(got) == 0
+    assert got.agg(F.count("*"), F.min("version_id")).first()[:] == (20000, 1)
+
+
+def test_units_and_levels_of_unknown_size_do_not_shuffle_the_rows(spark, small_broadcasts):
+    spec = "kpi_id string, uom string"
+    uom = _grouped(spark, spec, ("K1", "EA"), ("K2", "USD"))
+    assert uom.count() == 2
+    rows_ = spark.range(60000).select(F.concat(F.lit("K"), (F.col("id") % 3).cast("string")).alias("kpi_ref"), "id", F.lit("x" * 40).alias("text"))
+    got = rows_.join(marts._units(uom, "kpi_ref", "_uom"), "kpi_ref", "left")
+    assert shuffled_joins(got) == 0 and shuffled_joins(rows_.join(uom.select(F.col("kpi_id").alias("kpi_ref"), "uom"), "kpi_ref", "left")) == 1
+    assert rows(got.groupBy("kpi_ref", "_uom").count()) == [("K0", None, 20000), ("K1", "EA", 20000), ("K2", "USD", 20000)]
+    places = rows_.select(F.col("kpi_ref").alias("k"), F.element_at(F.array(F.lit("Site"), F.lit("Company")), (F.col("id") % 2 + 1).cast("int")).alias("level"), "text")
+    flagged = views.level_flag(places, ["k"], "level")
+    assert shuffled_joins(flagged) == 0
+    assert rows(flagged.groupBy("level", "location_level_flag").count()) == [("Company", 1, 30000), ("Site", 0, 30000)]
+
+
+def test_only_plans_that_show_actuals_meet_them(spark):
+    data = [(HEX, "1", 5), ("odd", "2", 6), (None, "3", 7)]
+    history = _kpi_rows(spark, "kpi_engine_key", [(HEX, "1", 100), (HEX, "1", 200), ("odd", "2", 300)], version_id=1)
+    none = _kpi_rows(spark, "kpi_unique_id", data).limit(0)
+    plans = _kpi_rows(spark, "kpi_unique_id", data, version_id=1)
+    late = plans.withColumns({"date_key": F.lit("1998-07-01").cast("date"), "scenario": F.lit("Forecast")})
+    all_plans = reduce(lambda a, b: a.unionByName(b), [plans.withColumn("scenario", F.lit(s).cast("string")) for s in ("Forecast", "Budgets", None)]).unionByName(late)
+    got = views.report_rows(history, none, all_plans, F.lit("1998-06-30").cast("date"))
+    found = sorted(((r[0], r[1], r[2].month, int(r[3])) for r in got.select("kpi_unique_id", "scenario", "date_key", "value").collect()), key=str)
+    wanted = [(HEX, "Actual", 5, 100), (HEX, "Actual", 5, 200), ("odd", "Actual", 5, 300), (HEX, "Forecast", 5, 100), (HEX, "Forecast", 5, 200), ("odd", "Forecast", 5, 300), (None, "Forecast", 5, 7)]
+    wanted += [(k, s, m, v) for k, _, v in data for s, m in (("Budget", 5), (None, 5), ("Forecast", 7))]
+    assert found == sorted(wanted, key=str)
+    joined = [part for part in plan(got).split("Join") if "LeftOuter" in part]
+    assert joined
+
+
+def test_a_query_reads_and_shuffles_only_the_numbers_it_uses(spark):
+    t = Tables(spark, "/root/testdata/sf0.001")
+    for table in (t.engine_output, t.actuals_historic, t.budget_forecast):
+        text = plan(table.select("kpi_id", "uom").distinct())
+        assert "l_suppkey" in text and "l_extendedprice" not in text
+        first = table.filter("kpi_id = 'K2'").select("kpi_name", "category", "subcategory", "uom", "source", "execution_level").distinct()
+        assert rows(first) == [("Quantity", "Volume", "Units", "EA", None, 1.0)]
+
+
+def test_current_keys_travel_to_their_plans_in_few_bytes(spark):
+    data = [(HEX, "1", 5), ("odd", "2", 6), (None, "3", 7)]
+    output = _kpi_rows(spark, "kpi_engine_key", data, execution_level=1.0, source="s")
+    plans = _kpi_rows(spark, "kpi_unique_id", data[:1], version_id=1, scenario="Forecast")
+    got = marts.variance_current(output, plans)
+    text = plan(got)
+    assert text.index("unhex") > text.index("Join")
+    assert rows(got.select("kpi_engine_key", F.col("forecast_value").cast("int"))) == [(None, None), (HEX, 5), ("odd", None)]
